@@ -14,6 +14,7 @@ def join_within(
     anchor_on: str,
     lo: int,
     hi: int,
+    how: str = "inner",
 ) -> DataFrame:
     """Pairs with ``anchor_on + lo <= event_on <= anchor_on + hi`` and equal ``key``.
 
@@ -22,7 +23,7 @@ def join_within(
     Joining on (key, bucket) finds each pair once, spreads a key with many events
     over its dates, and leaves the join with another clustering than the
     per-key step after it, so adaptive skew splitting applies without an extra
-    exchange.
+    exchange.  ``how="left_semi"`` keeps each event once, whatever it matches.
     """
     width = hi - lo + 1
 
@@ -31,13 +32,19 @@ def join_within(
 
     anchor_day = F.unix_date(F.col(anchor_on).cast("date"))
     event_day = F.unix_date(F.col(event_on).cast("date"))
-    placed_anchors = anchors.where(F.col(anchor_on).isNotNull()).withColumn(
-        "_bucket", F.explode(F.sequence(bucket(anchor_day + lo), bucket(anchor_day + hi)))
+    placed_anchors = (
+        anchors.where(F.col(anchor_on).isNotNull())
+        .withColumn(
+            "_covered", F.explode(F.sequence(bucket(anchor_day + lo), bucket(anchor_day + hi)))
+        )
+        .withColumnRenamed(key, "_key")
     )
     placed_events = events.where(F.col(event_on).isNotNull()).withColumn(
         "_bucket", bucket(event_day)
     )
-    near = F.col(event_on).between(
-        F.date_add(F.col(anchor_on), lo), F.date_add(F.col(anchor_on), hi)
+    near = (
+        (F.col(key) == F.col("_key"))
+        & (F.col("_bucket") == F.col("_covered"))
+        & F.col(event_on).between(F.date_add(anchor_on, lo), F.date_add(anchor_on, hi))
     )
-    return placed_events.join(placed_anchors, [key, "_bucket"]).where(near).drop("_bucket")
+    return placed_events.join(placed_anchors, near, how).drop("_key", "_bucket", "_covered")

@@ -50,18 +50,6 @@ def baseline_window(
     )
 
 
-def closest_event(window: DataFrame) -> DataFrame:
-    """The event nearest to treatment start; the earlier specimen on a tie."""
-    nearest = F.min(
-        F.struct(F.abs("day_diff").alias("distance"), COLLECTED, START, RESULT, "day_diff")
-    )
-    return (
-        window.groupBy(PID)
-        .agg(nearest.alias("e"))
-        .select(PID, *[F.col("e")[c].alias(c) for c in (START, COLLECTED, RESULT, "day_diff")])
-    )
-
-
 def post_start_cultures(
     initiations: DataFrame, results: DataFrame, specimens: DataFrame, wanted: str
 ) -> DataFrame:
@@ -165,6 +153,22 @@ def culture_timeline(days: DataFrame, lo: int = BASELINE_LO, hi: int = BASELINE_
     )
 
 
+def closest_event(timeline: DataFrame, wanted: str) -> DataFrame:
+    """The wanted culture nearest to treatment start; the earlier specimen on a tie."""
+    pair = F.col({POSITIVE: "base", NEGATIVE: "base_neg"}[wanted])
+    return (
+        timeline.where(pair.isNotNull())
+        .select(
+            PID,
+            pair["start"].alias(START),
+            pair["event"].alias(COLLECTED),
+            F.lit(wanted).alias(RESULT),
+            F.date_diff(pair["event"], pair["start"]).alias("day_diff"),
+        )
+        .distinct()
+    )
+
+
 def culture_summary(
     timeline: DataFrame, confirm_after: int = CONFIRM_AFTER_DAYS
 ) -> DataFrame:

@@ -66,24 +66,25 @@ def first_drug_start(orders: DataFrame, drug: str) -> DataFrame:
 def orders_near_start(
     orders: DataFrame, initiations: DataFrame, days: int = NEAR_START_DAYS
 ) -> DataFrame:
-    """Drug orders that start within ``days`` of treatment start, both ends included."""
-    return join_within(
-        orders.where(F.col("coded_drug_name").isNotNull()).select(
-            PID,
-            F.col("coded_drug_name").alias("drug"),
-            "dose",
-            F.col("dose_units").alias("dose_unit"),
-            "start_date",
-        ),
-        initiations.select(
-            PID, F.col("tuberculosis_drug_treatment_start_date").alias("treatment_start")
-        ),
+    """Drug orders that start within ``days`` of treatment start, both ends included.
+
+    A semi join on the distinct starts: repeated initiation forms neither repeat
+    an order nor lengthen the search for its match.
+    """
+    named = orders.where(F.col("coded_drug_name").isNotNull()).select(
         PID,
+        F.col("coded_drug_name").alias("drug"),
+        "dose",
+        F.col("dose_units").alias("dose_unit"),
         "start_date",
-        "treatment_start",
-        -days,
-        days,
-    ).select(PID, "drug", "dose", "dose_unit")
+    )
+    starts = initiations.select(
+        PID, F.col("tuberculosis_drug_treatment_start_date").alias("treatment_start")
+    ).distinct()
+    near = join_within(
+        named, starts, PID, "start_date", "treatment_start", -days, days, "left_semi"
+    )
+    return near.drop("start_date")
 
 
 def regimen_near_start(
@@ -99,6 +100,5 @@ def regimen_pivot(near: DataFrame, drugs: Mapping[str, str] = DRUGS) -> DataFram
     Repeats do not change a maximum, so the orders near start need no distinct.
     """
     text = dose_text(number_text(near, "dose"), F.col("dose_unit"))
-    return near.groupBy(PID).agg(
-        *[F.max(F.when(F.col("drug") == d, text)).alias(c) for d, c in drugs.items()]
-    )
+    cells = near.groupBy(PID).pivot("drug", list(drugs)).agg(F.max(text))
+    return cells.toDF(PID, *drugs.values())

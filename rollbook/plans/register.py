@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,24 +22,28 @@ from rollbook.sources.schemas import PID
 START = cultures.START
 
 
-def district(programs: DataFrame, persons: DataFrame) -> DataFrame:
+def district(program_rows: DataFrame, persons: DataFrame) -> DataFrame:
     """Programme rows with the district of the patient."""
-    return programs.join(
+    return program_rows.join(
         persons.select(F.col("person_id").alias("patient_id"), "patientDistrict"),
         "patient_id",
         "left",
     )
 
 
-def enrolled(programs: DataFrame) -> DataFrame:
+def enrolled(program_rows: DataFrame) -> DataFrame:
     """Programme rows that are not voided; a missing flag drops the row."""
-    return programs.where(F.col("patient_program_voided").cast("string") == "false")
+    return program_rows.where(F.col("patient_program_voided").cast("string") == "false")
 
 
-def register_spine(programs: DataFrame, initiations: DataFrame) -> DataFrame:
+def treated(initiations: DataFrame) -> DataFrame:
+    """Initiation forms with a treatment start date."""
+    return initiations.where(F.col(START).isNotNull())
+
+
+def register_spine(program_rows: DataFrame, initiations: DataFrame) -> DataFrame:
     """Enrolments that are not voided and have a treatment start date."""
-    treated = initiations.where(F.col(START).isNotNull())
-    return enrolled(programs).join(treated, PID)
+    return enrolled(program_rows).join(treated(initiations), PID)
 
 
 def care_sources(mart: Mart, variant: Variant) -> tuple[list[DataFrame], list[str]]:
@@ -61,57 +69,146 @@ def culture_features(mart: Mart) -> DataFrame:
     return cultures.culture_summary(cultures.culture_timeline(days))
 
 
-def assemble(mart: Mart, variant: Variant) -> DataFrame:
-    """Spine joined to every feature.
+def programs(mart: Mart, variant: Variant) -> DataFrame:
+    """Programme rows with patient attributes.
 
-    Patient attributes are joined first, on the narrow programme rows, so the wide
-    rows are never moved to another key: everything after that joins on the
-    enrolment, and each feature arrives already clustered by it.  Repeated forms
-    multiply rows; ``grain`` reports where.
+    The joins on the patient come first, while the rows are narrow; everything
+    after them joins on the enrolment.
     """
-    programs = enrolled(mart["patient_program_view"])
+    rows = enrolled(mart["patient_program_view"])
     if variant.district:
-        programs = district(programs, mart["person_attributes"])
-    programs = programs.join(
-        mart["patient_identifier"].select(
-            "patient_id",
-            F.col("patient_id").alias("identified_patient_id"),
-            "Patient_Identifier",
-        ),
-        "patient_id",
-        "left",
+        rows = district(rows, mart["person_attributes"])
+    identifiers = mart["patient_identifier"].select(
+        "patient_id", F.col("patient_id").alias("identified_patient_id"), "Patient_Identifier"
     )
+    return rows.join(identifiers, "patient_id", "left")
+
+
+def forms(mart: Mart, variant: Variant) -> dict[str, DataFrame]:
+    """Tables that may hold several rows per enrolment; repeats multiply register rows.
+
+    A register row needs the first two; the others are optional.
+    """
+    attributes = mart["program_attributes"]
+    registered = facility.enrollment_facility(attributes, mart["patient_program_data_default"])
+    return {
+        "program": programs(mart, variant),
+        "initiation": treated(mart["treatment_initiation_template"]),
+        "attributes": attributes.select(PID, "Registration_Number"),
+        "baseline": mart["baseline_template"]
+        .drop("id_baseline_template")
+        .withColumnRenamed("return_visit_date", "baseline_return_date"),
+        "site": disease_site(mart["baseline_disease_site"]).drop("id_baseline_template"),
+        "registered": registered.select(PID, "facility", F.lit(True).alias("registered")),
+        "outcome": mart["outcome_end_of_treatment_template"],
+    }
+
+
+REQUIRED = ("program", "initiation")
+
+
+def features(mart: Mart, variant: Variant) -> list[DataFrame]:
+    """Tables with one row per enrolment, each clustered by it."""
     initiations = mart["treatment_initiation_template"]
     medications = mart["medication_data_default"]
-    stays, sources = care_sources(mart, variant)
-    care = facility.care_history(
-        stays, sources, "earliest" if variant.followup_return else None
-    )
-    registered = facility.enrollment_facility(
-        mart["program_attributes"], mart["patient_program_data_default"]
-    )
-    regimen = medication.regimen_pivot(medication.orders_near_start(medications, initiations))
-    baseline = mart["baseline_template"].withColumnRenamed(
-        "return_visit_date", "baseline_return_date"
-    )
-    features = [
-        mart["program_attributes"].select(PID, "Registration_Number"),
-        baseline.drop("id_baseline_template"),
-        disease_site(mart["baseline_disease_site"]).drop("id_baseline_template"),
+    return [
         medication.first_drug_starts(medications),
-        care,
-        registered.select(PID, "facility", F.lit(True).alias("registered")),
-        regimen,
+        facility.care_history(
+            *care_sources(mart, variant), "earliest" if variant.followup_return else None
+        ),
+        medication.regimen_pivot(medication.orders_near_start(medications, initiations)),
         serology.serology_results(mart["lab_results_serology_template"]),
         culture_features(mart).drop(START),
-        mart["outcome_end_of_treatment_template"],
     ]
-    rows = register_spine(programs, initiations)
-    for feature in features:
-        rows = rows.join(feature, PID, "left")
+
+
+@dataclass(frozen=True)
+class RepeatedForm:
+    """Enrolments with very many rows of one form, and the size of the rest of them."""
+
+    enrolments: list[int]
+    rest_rows: int
+
+
+Repeated = Mapping[str, RepeatedForm]
+
+REPEAT_LIMIT = 1_000_000
+MAX_REPEATED = 10_000
+BROADCAST_ROWS = 100_000
+
+
+def join_forms(tables: Mapping[str, DataFrame], extra: Iterable[DataFrame]) -> DataFrame:
+    """Required forms joined, then optional forms and features where present."""
+    required = [t for name, t in tables.items() if name in REQUIRED]
+    optional = [t for name, t in tables.items() if name not in REQUIRED]
+    rows = reduce(lambda left, right: left.join(right, PID), required)
+    for table in (*optional, *extra):
+        rows = rows.join(table, PID, "left")
     return rows
 
 
+def assemble(mart: Mart, variant: Variant, repeated: Repeated | None = None) -> DataFrame:
+    """One row per combination of an enrolment's forms, with every feature.
+
+    ``repeated`` (see ``repeated_forms``) takes enrolments with very many rows of
+    one form out of the hash joins: their form rows stay where they were read and
+    meet the rest of the enrolment, which is small, by broadcast.
+    """
+    tables, extra = forms(mart, variant), features(mart, variant)
+    if not repeated:
+        return join_forms(tables, extra)
+    pid = F.col(PID)
+
+    def kept(test, names):
+        return {n: t.where(test) if n in REQUIRED else t for n, t in tables.items() if n in names}
+
+    held_out = [p for group in repeated.values() for p in group.enrolments]
+    parts = [join_forms(kept(~pid.isin(held_out), tables), extra)]
+    for form, group in repeated.items():
+        test = pid.isin(group.enrolments)
+        rest = join_forms(kept(test, [n for n in tables if n != form]), extra)
+        if group.rest_rows <= BROADCAST_ROWS:
+            rest = F.broadcast(rest)
+        parts.append(tables[form].where(test).join(rest, PID))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def repeated_forms(
+    mart: Mart, variant: Variant | str = GENERIC, limit: int = REPEAT_LIMIT
+) -> dict[str, RepeatedForm]:
+    """Enrolments with more than ``limit`` rows of a form, under their largest form.
+
+    Runs two small jobs.  At most (form rows / ``limit``) enrolments can qualify,
+    so the answer fits the driver; more than ``MAX_REPEATED`` means that the limit
+    is too low for the data, and is refused.
+    """
+    tables = forms(mart, VARIANTS[variant] if isinstance(variant, str) else variant)
+    counts = reduce(
+        DataFrame.unionByName,
+        [
+            t.groupBy(PID).agg(F.count(F.lit(1)).alias("rows")).withColumn("form", F.lit(name))
+            for name, t in tables.items()
+        ],
+    ).where(F.col(PID).isNotNull())
+    large = counts.where(F.col("rows") > limit).limit(MAX_REPEATED + 1).collect()
+    if not large:
+        return {}
+    if len(large) > MAX_REPEATED:
+        raise ValueError(f"more than {MAX_REPEATED} enrolments exceed {limit} rows of a form")
+    found: dict[int, dict[str, int]] = {}
+    for row in counts.where(F.col(PID).isin([r[PID] for r in large])).collect():
+        found.setdefault(row[PID], {})[row["form"]] = row["rows"]
+    groups: dict[str, dict[int, int]] = {}
+    for pid, sizes in found.items():
+        form = max(sizes, key=sizes.get)
+        rest = math.prod(n for name, n in sizes.items() if name != form)
+        groups.setdefault(form, {})[pid] = rest
+    return {
+        form: RepeatedForm(sorted(rests), sum(rests.values()))
+        for form, rests in groups.items()
+    }
+
+
 def register_columns(variant: Variant, as_of: Column) -> dict[str, Column]:
     """Every reportable column over the assembled rows."""
     c = F.col
@@ -174,16 +271,18 @@ def register(
     variant: Variant | str = GENERIC,
     as_of: Column | date | datetime | str | None = None,
     ordered: bool = False,
+    repeated: Repeated | None = None,
 ) -> DataFrame:
     """The register of one site.
 
     ``as_of`` fixes the moment that open treatments are measured to (default: the
     clock).  ``ordered`` sorts by the patient of the identifier table, unknown
-    patients last; leave it off when writing at scale.
+    patients last; leave it off when writing at scale.  ``repeated`` names
+    enrolments to be joined apart (``repeated_forms`` finds them).
     """
     if isinstance(variant, str):
         variant = VARIANTS[variant]
-    rows = assemble(mart, variant)
+    rows = assemble(mart, variant, repeated)
     if ordered:
         rows = rows.orderBy(F.asc_nulls_last("identified_patient_id"))
     columns = register_columns(variant, as_of_moment(as_of))

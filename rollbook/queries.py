@@ -180,8 +180,8 @@ NAMED: dict[str, Query] = {
     ),
     "baseline_window_positive": lambda m: _window(m, cultures.POSITIVE),
     "baseline_window_negative": lambda m: _window(m, cultures.NEGATIVE),
-    "closest_positive": lambda m: cultures.closest_event(_window(m, cultures.POSITIVE)),
-    "closest_negative": lambda m: cultures.closest_event(_window(m, cultures.NEGATIVE)),
+    "closest_positive": lambda m: cultures.closest_event(_timeline(m), cultures.POSITIVE),
+    "closest_negative": lambda m: cultures.closest_event(_timeline(m), cultures.NEGATIVE),
     "baseline_positive": lambda m: cultures.baseline_positive(_summary(m)),
     "post_start_negative": lambda m: cultures.post_start_cultures(
         _initiations(m), *_cultures(m), cultures.NEGATIVE
