@@ -1,0 +1,352 @@
+"""Hand-made enrolments, one per rule, run through whole registers."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from minimart import DAY_0, MartBuilder, date, day
+
+from rollbook.plans.register import register, repeated_forms
+from rollbook.plans.variants import PK
+
+AS_OF = "2020-02-01"
+
+
+def build() -> MartBuilder:
+    b = MartBuilder()
+    # 1: an undated form is the newest
+    b.enrolment(1)
+    b.registration(1, "R")
+    b.visit(1, date("2020-02-01"), "A")
+    b.visit(1, None, "B")
+    # 2: a newer unknown facility of the same form hides an older known one
+    b.enrolment(2)
+    b.registration(2, "R")
+    b.visit(2, date("2020-02-01"), "A")
+    b.visit(2, date("2020-03-01"), "Other", None)
+    # 3: no baseline form, no programme row for the registration facility
+    b.enrolment(3)
+    b.registration(3, "R", enrolled=False)
+    # 4: dose without number; two doses as text
+    b.enrolment(4)
+    b.drug(4, "Isoniazid (H)", DAY_0, None, "mg")
+    b.drug(4, "Rifampicin (R)", DAY_0, 800, "mg")
+    b.drug(4, "Rifampicin (R)", DAY_0, 1000, "mg")
+    b.drug(4, "Ethambutol (E)", DAY_0)
+    # 5: regimen window of a week on both sides
+    b.enrolment(5)
+    for drug, offset in (
+        ("Isoniazid (H)", -8), ("Rifampicin (R)", -7), ("Ethambutol (E)", 7), ("Pyrazinamide (Z)", 8)
+    ):
+        b.drug(5, drug, day(offset), 1, "tab")
+    # 6, 7: disease sites
+    b.enrolment(6)
+    b.site(6, "Pulmonary")
+    b.site(6, "Pulmonary")
+    b.enrolment(7)
+    b.site(7, "Pulmonary")
+    b.site(7, None)
+    b.enrolment(8)
+    b.site(8, "Pulmonary")
+    b.site(8, "Extrapulmonary")
+    # 9: the earliest result counts, rows without a date last
+    b.enrolment(9)
+    b.lab(9, date("2020-01-05"), hiv="Negative", hep_b="Indeterminate", hep_c="Reactive")
+    b.lab(9, date("2020-06-01"), hiv="Positive", hep_b="Reactive")
+    b.lab(9, None, hiv="Positive")
+    b.baseline(9, baseline_hepatitis_b="True", baseline_hiv_serostatus_result="Positive")
+    # 10: inconclusive laboratory result, positive baseline
+    b.enrolment(10)
+    b.lab(10, DAY_0, hiv="Indeterminate")
+    b.baseline(10, baseline_hiv_serostatus_result="Positive", diabetes_mellitus="True")
+    # 11: unknown baselines
+    b.enrolment(11)
+    b.baseline(
+        11, baseline_hiv_serostatus_result="Unknown", baseline_hepatitis_b="Unknown",
+        baseline_hepatitis_c="Unknown", diabetes_mellitus="Unknown",
+        return_visit_date=date("2020-05-05"), baseline_date_of_baseline=date("2020-04-30"),
+    )
+    b.visit(11, date("2020-02-01"), returns=None)
+    b.visit(11, date("2020-03-01"), returns=date("2020-04-01"))
+    # 12: two baseline forms, each with a site
+    b.enrolment(12)
+    for form in (1, 2):
+        b.baseline(12, form)
+        b.site(12, "Pulmonary", form)
+    # 13: two initiation forms, one more without a start date
+    b.enrolment(13)
+    b.start(13, date("2020-03-01"))
+    b.start(13, None)
+    # 14, 15, 16: voided, voided flag missing, no start date
+    b.program(14, voided="true")
+    b.start(14)
+    b.program(15, voided=None)
+    b.start(15)
+    b.program(16)
+    b.start(16, None)
+    # 17, 18, 19: new drugs
+    for pid, dlm in ((17, date("2020-01-08")), (18, date("2020-01-09"))):
+        b.enrolment(pid)
+        b.drug(pid, "Bedaquiline (Bdq)", DAY_0)
+        b.drug(pid, "Delamanid (Dlm)", dlm)
+        b.drug(pid, "Delamanid (Dlm)", None)
+    b.enrolment(19)
+    b.drug(19, "Delamanid (Dlm)", DAY_0)
+    # 20, 21: treatment duration
+    b.enrolment(20)
+    b.outcome(20, date("2020-12-31"))
+    b.enrolment(21, ti_type_of_treatment_regimen="PNG Regimen List 2")
+    b.outcome(21, None, "Pending")
+    # 22: newest form wins over the forms, hospital included
+    b.enrolment(22, ti_treatment_facility_at_start="T")
+    b.registration(22, "R")
+    b.visit(22, date("2020-02-01"), "F")
+    b.add(
+        "hospital_admission_notification_template", 22,
+        han_hospital_admission_date=date("2020-03-01"), treatment_facility_name="Other",
+        other_treatment_facility_name="Clinic", han_hospital_name="Hospital",
+    )
+    # 23: patient attributes are shared by the enrolments of a patient
+    b.program(23, patient=900)
+    b.start(23)
+    b.program(24, patient=900)
+    b.start(24)
+    b.identifier(900, "EMR900")
+    b.person(900, "North")
+    # 25: no facility form at all
+    b.enrolment(25)
+    b.registration(25, "R")
+    # 30-41: culture conversion, days from treatment start
+    for pid, positives, negatives in CONVERSION:
+        b.enrolment(pid)
+        b.positive(pid, *positives)
+        b.negative(pid, *negatives)
+    # 50-52: baseline culture
+    b.enrolment(50)
+    b.positive(50, -5, 5)
+    b.enrolment(51)
+    b.positive(51, -5)
+    b.negative(51, 10)
+    b.enrolment(52)
+    b.positive(52, -5)
+    b.negative(52, -7)
+    b.culture(52, None, "Positive for M. tuberculosis")
+    return b
+
+
+# Enrolment, days of positive cultures, days of negative cultures.
+CONVERSION = [
+    (30, (-10,), (30, 60)),
+    (31, (-10,), (30, 45)),
+    (32, (-10,), (30, 46)),
+    (33, (-10, 60), (30, 60)),
+    (34, (-10, 90), (30, 60)),
+    (35, (-10, 40), (30, 60, 90)),
+    (36, (), (30, 60)),
+    (37, (10,), (5, 40, 70)),
+    (38, (-91,), (30, 60)),
+    (39, (15,), (30, 60)),
+    (40, (16,), (30, 60)),
+    (41, (-10, 90), (30, 60, 120, 150)),
+]
+# Enrolment: day of conversion and reversion flag; none where absent.
+CONVERTED = {
+    30: (30, None),
+    32: (30, None),
+    34: (30, "Y"),
+    35: (60, None),
+    37: (40, None),
+    39: (30, None),
+    41: (30, "Y"),
+}
+
+
+@pytest.fixture(scope="module")
+def mart(spark, tmp_path_factory):
+    return build().mart(spark, tmp_path_factory.mktemp("cases"))
+
+
+def _rows(mart, variant):
+    rows: dict[int, list[dict]] = {}
+    for row in register(mart, variant, AS_OF).collect():
+        plain = {k[3:] if k[:2].isdigit() else k: v for k, v in row.asDict().items()}
+        rows.setdefault(plain["patient_program_id"], []).append(plain)
+    return rows
+
+
+@pytest.fixture(scope="module")
+def generic(mart):
+    return _rows(mart, "generic")
+
+
+@pytest.fixture(scope="module")
+def pk(mart):
+    return _rows(mart, "pk")
+
+
+@pytest.fixture(scope="module")
+def png(mart):
+    return _rows(mart, "png")
+
+
+def one(rows, pid):
+    assert len(rows[pid]) == 1
+    return rows[pid][0]
+
+
+@pytest.mark.parametrize(
+    "pid, facility", [(1, "B"), (2, "R"), (3, None), (22, "Clinic"), (25, "R")]
+)
+def test_last_facility(generic, pid, facility):
+    assert one(generic, pid)["Last_Facility"] == facility
+
+
+def test_last_facility_by_site(pk, png):
+    assert one(pk, 22)["Last_Facility"] == "Hospital"
+    assert one(png, 22)["Last_Facility"] == "F"
+
+
+def test_quarter_of_a_missing_date(generic):
+    row = one(generic, 3)
+    assert row["Clinic_Enrollment_Quarter"] == " - Q"
+    assert row["Clinic_Enrollment_Date"] is None
+    assert row["Treatment_Start_Quarter"] == "2020 - Q1"
+    assert one(generic, 11)["Clinic_Enrollment_Quarter"] == "2020 - Q2"
+
+
+def test_dose_text(generic):
+    row = one(generic, 4)
+    assert row["Initial_Drug_H"] == " mg"
+    assert row["Initial_Drug_R"] == "800 mg"
+    assert row["Initial_Drug_E"] == " "
+    assert row["Initial_Drug_Z"] is None
+
+
+def test_regimen_window(generic):
+    row = one(generic, 5)
+    assert [row[f"Initial_Drug_{d}"] for d in "HREZ"] == [None, "1 tab", "1 tab", None]
+
+
+@pytest.mark.parametrize("pid, site", [(6, None), (7, "Pulmonary"), (8, "Both"), (9, None)])
+def test_disease_site(generic, pid, site):
+    assert one(generic, pid)["Baseline_Disease_Site"] == site
+
+
+def test_serology(generic):
+    row = one(generic, 9)
+    assert (row["HIV_Lab"], row["HIV_Status"]) == ("Negative", "HIV Negative")
+    assert (row["Hep_B_Lab"], row["Hep_B_Status"]) == ("Indeterminate", "Hep B Positive")
+    assert (row["Hep_C_Baseline"], row["Hep_C_Status"]) == (None, "Hep C Positive")
+    row = one(generic, 10)
+    assert (row["HIV_Lab"], row["HIV_Status"]) == ("Indeterminate", "HIV Positive")
+    assert row["Diabetes_Baseline"] == "Positive"
+
+
+def test_unrecorded(generic, pk):
+    row, site = one(generic, 11), one(pk, 11)
+    assert row["Hep_B_Baseline"] == site["Hep_B_Baseline"] == "Unknown"
+    assert row["Hep_C_Baseline"] is None and site["Hep_C_Baseline"] is None
+    for name in ("HIV_Status", "Hep_B_Status", "Hep_C_Status", "Diabetes_Baseline"):
+        assert row[name] is None
+        assert site[name] == "Not Recorded"
+
+
+def test_next_visit(generic):
+    assert one(generic, 11)["Next_Visit"] == date("2020-05-05")
+    assert one(generic, 10)["Next_Visit"] is None
+
+
+def test_repeated_forms_multiply_rows(generic):
+    assert len(generic[12]) == 4
+    assert sorted(r["Treatment_Start_Date"] for r in generic[13]) == [DAY_0, date("2020-03-01")]
+
+
+def test_spine(generic):
+    assert not {14, 15, 16} & set(generic)
+
+
+def test_new_drugs(generic):
+    row = one(generic, 17)
+    assert row["Start_Date_(Dlm)"] == date("2020-01-08")
+    assert row["Start_Date_(Dlm_or_Bdq)"] == row["Start_Date_(Dlm_and_Bdq)"] == DAY_0
+    assert one(generic, 18)["Start_Date_(Dlm_and_Bdq)"] is None
+    row = one(generic, 19)
+    assert (row["Start_Date_(Bdq)"], row["Start_Date_(Dlm_or_Bdq)"]) == (None, DAY_0)
+
+
+def test_duration_and_activity(generic, png):
+    assert one(generic, 19)["Treatment_Duration_(months)"] == 1.0
+    assert one(generic, 20)["Treatment_Duration_(months)"] == 12.0
+    assert one(png, 20)["Active_Treatment"] is None
+    assert one(png, 21)["Active_Treatment"] == "Yes"
+
+
+def test_regimen_type_and_district(png):
+    assert one(png, 21)["Type_of_Regimen"] == "Conventional Regimen without new drugs"
+    assert {one(png, p)["District"] for p in (23, 24)} == {"North"}
+    assert {one(png, p)["EMR_ID"] for p in (23, 24)} == {"EMR900"}
+    assert one(png, 1)["District"] is None
+
+
+@pytest.mark.parametrize("pid", [case[0] for case in CONVERSION])
+def test_conversion(generic, pid):
+    row = one(generic, pid)
+    found = row["Initial_Culture_Conversion_Date"]
+    flag = row["Reconversion_after_Initial_Culture_Conversion"]
+    assert (found and (found - DAY_0).days, flag) == CONVERTED.get(pid, (None, None))
+    converted = row["Culture_Conversion_(for_positive_at_baseline_only)"]
+    assert converted == ("Y" if pid in CONVERTED else None)
+
+
+def test_baseline_culture(generic):
+    closer = "Negative_Culture_Closer_to_Baseline_Than_Positive_Culture"
+    assert one(generic, 50)["Positive_Culture_at_Baseline"] == "Y"
+    assert one(generic, 51)[closer] == "Y"
+    assert one(generic, 52)[closer] is None
+    assert one(generic, 36)["Positive_Culture_at_Baseline"] is None
+    assert one(generic, 40)["Positive_Culture_at_Baseline"] is None
+
+
+def test_clock_is_the_default(mart):
+    row = register(mart, "generic").where("patient_program_id = 19").first()
+    days = (dt.date.today() - DAY_0).days
+    found = row["Treatment_Duration_(months)"]
+    assert abs(found - days / 365 * 12) < 0.2
+
+
+def test_ordered(mart):
+    rows = register(mart, "generic", AS_OF, ordered=True).collect()
+    assert [r["patient_id"] for r in rows[:2]] == [900, 900]
+
+
+def test_repeated_forms_are_joined_apart(spark, tmp_path):
+    """Very repeated forms give the same rows on the separate path."""
+    b = build()
+    for _ in range(40):
+        b.baseline(1, 7, diabetes_mellitus="True")
+        b.start(2, date("2020-01-03"))
+        b.outcome(4, date("2020-05-05"))
+    for form in range(30):
+        b.site(5, "Pulmonary", form)
+    for _ in range(4):
+        b.start(1, date("2020-01-02"))
+    mart = b.mart(spark, tmp_path)
+    repeated = repeated_forms(mart, PK, 3)
+    assert 1 in repeated["baseline"].enrolments
+    assert 2 in repeated["initiation"].enrolments
+    assert 4 in repeated["outcome"].enrolments
+    assert 5 in repeated["site"].enrolments
+    plain = register(mart, PK, AS_OF)
+    apart = register(mart, PK, AS_OF, repeated=repeated)
+    assert apart.columns == plain.columns
+    assert sorted(map(str, apart.collect())) == sorted(map(str, plain.collect()))
+    assert repeated_forms(mart, PK, 1000) == {}
+
+
+def test_repeated_forms_refuses_a_low_limit(mart, monkeypatch):
+    import rollbook.plans.register as plan
+
+    monkeypatch.setattr(plan, "MAX_REPEATED", 2)
+    with pytest.raises(ValueError):
+        repeated_forms(mart, PK, 0)
