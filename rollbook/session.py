@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # The register compiles more generated classes than the default cache holds, so
-# with the default every executor compiles them again for every job.
+# with the default every executor compiles them again for every job.  The hash map
+# threshold lets a join whose shuffled partitions all proved small skip the sort;
+# larger ones keep the sort-merge join, which spills.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.sql.session.timeZone": "UTC",
 }
