@@ -74,32 +74,55 @@ def _all_days() -> Window:
     return _by_day().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def culture_days(
+# Marks of a day, one bit each.
+STARTED, WAS_POSITIVE, WAS_NEGATIVE = 1, 2, 4
+KINDS = {"start": STARTED, "positive": WAS_POSITIVE, "negative": WAS_NEGATIVE}
+
+
+def culture_marks(
     initiations: DataFrame, results: DataFrame, specimens: DataFrame
 ) -> DataFrame:
-    """One row per (enrolment, day): treatment starts, positive and negative cultures."""
+    """(enrolment, day, mark): treatment starts stacked with dated culture results.
+
+    Results become marks before they meet their specimen, so no text is moved.
+    """
     result = F.col(RESULT)
-    dated = culture_events(results, specimens, POSITIVE, NEGATIVE).where(
-        F.col(COLLECTED).isNotNull()
-    )
-    cultures = dated.select(
+    marked = results.where(result.isin(POSITIVE, NEGATIVE)).select(
         PID,
-        F.col(COLLECTED).cast("date").alias("day"),
-        F.lit(0).alias("start"),
-        (result == POSITIVE).cast("int").alias("positive"),
-        (result == NEGATIVE).cast("int").alias("negative"),
+        SPECIMEN,
+        F.when(result == POSITIVE, WAS_POSITIVE).otherwise(WAS_NEGATIVE).alias("mark"),
+    )
+    dated = specimens.where(F.col(COLLECTED).isNotNull())
+    cultures = marked.join(dated, SPECIMEN).select(
+        PID, F.col(COLLECTED).cast("date").alias("day"), "mark"
     )
     starts = initiations.where(F.col(START).isNotNull()).select(
+        PID, F.col(START).cast("date").alias("day"), F.lit(STARTED).alias("mark")
+    )
+    return cultures.unionByName(starts)
+
+
+def culture_days(marks: DataFrame) -> DataFrame:
+    """One row per (enrolment, day), with 0/1 columns ``start``, ``positive``, ``negative``.
+
+    The marks of a day are one integer up to here, and the rows are clustered by
+    enrolment while they are that narrow.
+    """
+    days = marks.groupBy(PID, "day").agg(F.bit_or("mark").alias("marks")).repartition(PID)
+    return days.select(
         PID,
-        F.col(START).cast("date").alias("day"),
-        F.lit(1).alias("start"),
-        F.lit(0).alias("positive"),
-        F.lit(0).alias("negative"),
+        "day",
+        *[
+            (F.col("marks").bitwiseAND(bit) != 0).cast("int").alias(kind)
+            for kind, bit in KINDS.items()
+        ],
     )
-    return (
-        cultures.unionByName(starts)
-        .groupBy(PID, "day")
-        .agg(*[F.sum(c).alias(c) for c in ("start", "positive", "negative")])
+
+
+def culture_counts(marks: DataFrame) -> DataFrame:
+    """As ``culture_days``, with the number of starts and of cultures on the day."""
+    return marks.groupBy(PID, "day").agg(
+        *[F.count_if(F.col("mark") == bit).alias(kind) for kind, bit in KINDS.items()]
     )
 
 

@@ -61,12 +61,12 @@ def care_sources(mart: Mart, variant: Variant) -> tuple[list[DataFrame], list[st
 
 
 def culture_features(mart: Mart) -> DataFrame:
-    days = cultures.culture_days(
+    marks = cultures.culture_marks(
         mart["treatment_initiation_template"],
         mart["bacteriology_culture_results_details"],
         mart["bacteriology_concept_set"],
     )
-    return cultures.culture_summary(cultures.culture_timeline(days))
+    return cultures.culture_summary(cultures.culture_timeline(cultures.culture_days(marks)))
 
 
 def programs(mart: Mart, variant: Variant) -> DataFrame:

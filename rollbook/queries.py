@@ -71,8 +71,12 @@ def _window(m: Mart, result: str) -> DataFrame:
     return cultures.baseline_window(_initiations(m), events)
 
 
+def _marks(m: Mart) -> DataFrame:
+    return cultures.culture_marks(_initiations(m), *_cultures(m))
+
+
 def _timeline(m: Mart) -> DataFrame:
-    return cultures.culture_timeline(cultures.culture_days(_initiations(m), *_cultures(m)))
+    return cultures.culture_timeline(cultures.culture_days(_marks(m)))
 
 
 def _summary(m: Mart) -> DataFrame:
@@ -189,7 +193,9 @@ NAMED: dict[str, Query] = {
     "post_start_positive": lambda m: cultures.post_start_cultures(
         _initiations(m), *_cultures(m), cultures.POSITIVE
     ),
-    "conversion_pairs": lambda m: cultures.conversion_pairs(_timeline(m)),
+    "conversion_pairs": lambda m: cultures.conversion_pairs(
+        cultures.culture_timeline(cultures.culture_counts(_marks(m)))
+    ),
     "initial_conversion": lambda m: cultures.initial_conversion(_summary(m)),
     "treatment_period": lambda m: _keyed(_spine(m), col_ops.treatment_period(F.col(START))),
     "treatment_duration": _treatment_duration,

@@ -64,17 +64,20 @@ def case(request, spark, tmp_path_factory):
 
 
 @pytest.fixture(scope="module")
-def timeline(case):
+def marks(case):
     mart, _ = case
-    return cultures.culture_timeline(
-        cultures.culture_days(
-            mart["treatment_initiation_template"],
-            mart["bacteriology_culture_results_details"],
-            mart["bacteriology_concept_set"],
-        )
+    return cultures.culture_marks(
+        mart["treatment_initiation_template"],
+        mart["bacteriology_culture_results_details"],
+        mart["bacteriology_concept_set"],
     )
 
 
+@pytest.fixture(scope="module")
+def timeline(marks):
+    return cultures.culture_timeline(cultures.culture_days(marks))
+
+
 def nearest(fact, kind):
     pairs = [
         (abs(e - s), e, s)
@@ -136,8 +139,9 @@ def test_closest_event(case, timeline):
         )
 
 
-def test_conversion_pairs(case, timeline):
+def test_conversion_pairs(case, marks):
     _, facts = case
+    counted = cultures.culture_timeline(cultures.culture_counts(marks))
     wanted = {}
     for pid, fact in facts.items():
         base = nearest(fact, "positive")
@@ -167,7 +171,7 @@ def test_conversion_pairs(case, timeline):
             r.cc_after_pos,
             r.pos_after_cc,
         )
-        for r in cultures.conversion_pairs(timeline).collect()
+        for r in cultures.conversion_pairs(counted).collect()
     }
     assert found == wanted
 
