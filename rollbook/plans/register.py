@@ -22,15 +22,27 @@ from rollbook.sources.schemas import PID
 START = cultures.START
 
 
-def district(program_rows: DataFrame, persons: DataFrame) -> DataFrame:
-    """Programme rows with the district of the patient."""
-    return program_rows.join(
-        persons.select(F.col("person_id").alias("patient_id"), "patientDistrict"),
-        "patient_id",
-        "left",
+def with_patient(rows: DataFrame, attributes: DataFrame, split: bool = False) -> DataFrame:
+    """Rows left-joined to attributes of their patient.
+
+    ``split`` writes the outer join as an inner join and the rows without a match:
+    Spark divides a heavy patient on either side of an inner join, but never on the
+    optional side of an outer one.
+    """
+    if not split:
+        return rows.join(attributes, "patient_id", "left")
+    known = attributes.select("patient_id").distinct()
+    return rows.join(attributes, "patient_id").unionByName(
+        rows.join(known, "patient_id", "left_anti"), allowMissingColumns=True
     )
 
 
+def district(program_rows: DataFrame, persons: DataFrame, split: bool = False) -> DataFrame:
+    """Programme rows with the district of the patient."""
+    districts = persons.select(F.col("person_id").alias("patient_id"), "patientDistrict")
+    return with_patient(program_rows, districts, split)
+
+
 def enrolled(program_rows: DataFrame) -> DataFrame:
     """Programme rows that are not voided; a missing flag drops the row."""
     return program_rows.where(F.col("patient_program_voided").cast("string") == "false")
@@ -69,7 +81,7 @@ def culture_features(mart: Mart) -> DataFrame:
     return cultures.culture_summary(cultures.culture_timeline(cultures.culture_days(marks)))
 
 
-def programs(mart: Mart, variant: Variant) -> DataFrame:
+def programs(mart: Mart, variant: Variant, split: bool = False) -> DataFrame:
     """Programme rows with patient attributes.
 
     The joins on the patient come first, while the rows are narrow; everything
@@ -77,14 +89,14 @@ def programs(mart: Mart, variant: Variant) -> DataFrame:
     """
     rows = enrolled(mart["patient_program_view"])
     if variant.district:
-        rows = district(rows, mart["person_attributes"])
+        rows = district(rows, mart["person_attributes"], split)
     identifiers = mart["patient_identifier"].select(
         "patient_id", F.col("patient_id").alias("identified_patient_id"), "Patient_Identifier"
     )
-    return rows.join(identifiers, "patient_id", "left")
+    return with_patient(rows, identifiers, split)
 
 
-def forms(mart: Mart, variant: Variant) -> dict[str, DataFrame]:
+def forms(mart: Mart, variant: Variant, split: bool = False) -> dict[str, DataFrame]:
     """Tables that may hold several rows per enrolment; repeats multiply register rows.
 
     A register row needs the first two; the others are optional.
@@ -92,7 +104,7 @@ def forms(mart: Mart, variant: Variant) -> dict[str, DataFrame]:
     attributes = mart["program_attributes"]
     registered = facility.enrollment_facility(attributes, mart["patient_program_data_default"])
     return {
-        "program": programs(mart, variant),
+        "program": programs(mart, variant, split),
         "initiation": treated(mart["treatment_initiation_template"]),
         "attributes": attributes.select(PID, "Registration_Number"),
         "baseline": mart["baseline_template"]
@@ -154,7 +166,8 @@ def assemble(mart: Mart, variant: Variant, repeated: Repeated | None = None) ->
     one form out of the hash joins: their form rows stay where they were read and
     meet the rest of the enrolment, which is small, by broadcast.
     """
-    tables, extra = forms(mart, variant), features(mart, variant)
+    tables = forms(mart, variant, split="program" in (repeated or {}))
+    extra = features(mart, variant)
     if not repeated:
         return join_forms(tables, extra)
     pid = F.col(PID)
@@ -182,7 +195,8 @@ def repeated_forms(
     so the answer fits the driver; more than ``MAX_REPEATED`` means that the limit
     is too low for the data, and is refused.
     """
-    tables = forms(mart, VARIANTS[variant] if isinstance(variant, str) else variant)
+    site = VARIANTS[variant] if isinstance(variant, str) else variant
+    tables = forms(mart, site, split=True)
     counts = reduce(
         DataFrame.unionByName,
         [

@@ -8,7 +8,7 @@ import pytest
 from minimart import DAY_0, MartBuilder, date, day
 
 from rollbook.plans.register import register, repeated_forms
-from rollbook.plans.variants import PK
+from rollbook.plans.variants import PK, PNG
 
 AS_OF = "2020-02-01"
 
@@ -327,18 +327,23 @@ def test_repeated_forms_are_joined_apart(spark, tmp_path):
         b.baseline(1, 7, diabetes_mellitus="True")
         b.start(2, date("2020-01-03"))
         b.outcome(4, date("2020-05-05"))
+        b.identifier(900, "EMR900")
+        b.person(901, "South")
     for form in range(30):
         b.site(5, "Pulmonary", form)
+    b.program(60, patient=901)
+    b.start(60)
     for _ in range(4):
         b.start(1, date("2020-01-02"))
     mart = b.mart(spark, tmp_path)
-    repeated = repeated_forms(mart, PK, 3)
+    repeated = repeated_forms(mart, PNG, 3)
+    assert {23, 24, 60} <= set(repeated["program"].enrolments)
     assert 1 in repeated["baseline"].enrolments
     assert 2 in repeated["initiation"].enrolments
     assert 4 in repeated["outcome"].enrolments
     assert 5 in repeated["site"].enrolments
-    plain = register(mart, PK, AS_OF)
-    apart = register(mart, PK, AS_OF, repeated=repeated)
+    plain = register(mart, PNG, AS_OF)
+    apart = register(mart, PNG, AS_OF, repeated=repeated)
     assert apart.columns == plain.columns
     assert sorted(map(str, apart.collect())) == sorted(map(str, plain.collect()))
     assert repeated_forms(mart, PK, 1000) == {}
