@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import byte_bpe, chat, feistel
+from rollbook.llm import byte_bpe, chat, decontaminate, feistel
 from rollbook.llm.storage import table
 
 SHARDS = 40
@@ -51,8 +51,20 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(own)))
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 NAMED = {
     "op3_feistel_sharding": feistel_sharding,
+    "op5_benchmark_decontamination": benchmark_decontamination,
     "op9_byte_bpe": byte_bpe_round_trip,
     "op10_chat_formatting": chat_formatting,
 }
