@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import byte_bpe, chat, decontaminate, feistel
+from rollbook.llm import byte_bpe, chat, decontaminate, feistel, pii
 from rollbook.llm.storage import table
 
 SHARDS = 40
@@ -62,9 +62,25 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    kinds = F.transform(F.split("base", ","), lambda x: F.substring_index(x, ":", 1))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(kinds, lambda x: x == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 NAMED = {
     "op3_feistel_sharding": feistel_sharding,
     "op5_benchmark_decontamination": benchmark_decontamination,
+    "op7_personal_data": personal_data,
     "op9_byte_bpe": byte_bpe_round_trip,
     "op10_chat_formatting": chat_formatting,
 }
