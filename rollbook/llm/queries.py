@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import byte_bpe, chat, decontaminate, feistel, pii
+from rollbook.llm import byte_bpe, chat, decontaminate, feistel, langid, pii
 from rollbook.llm.storage import table
 
 SHARDS = 40
@@ -51,6 +51,14 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(own)))
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", F.coalesce(langid.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    )
+    model = langid.trained(docs.filter(~F.col("held_out")))
+    return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -79,6 +87,7 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NAMED = {
     "op3_feistel_sharding": feistel_sharding,
+    "op4_language_id": language_id,
     "op5_benchmark_decontamination": benchmark_decontamination,
     "op7_personal_data": personal_data,
     "op9_byte_bpe": byte_bpe_round_trip,
