@@ -45,7 +45,7 @@ CELLS = 8_000_000
 CALIBRATION_ROWS = 20_000
 REMEMBERED = 200_000
 #: A rejected text's entropy is this many times that of all but a thousandth of the calibration rows.
-SLACK = 1.5
+SLACK = 2.0
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 

@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import byte_bpe, chat, decontaminate, feistel, langid, pii
-from rollbook.llm.storage import table
+from rollbook.llm import byte_bpe, chat, decontaminate, feistel, langid, pii, rules
+from rollbook.llm.storage import table, written
 
 SHARDS = 40
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(langid.remainder("doc_id", 5) == 0, F.lit(False))
+    stats = written(rules.with_statistics(docs).withColumn("held_out", held_out), "statistics")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = rules.trained(stats.filter(~F.col("held_out")).join(labels, "doc_id"), "quality")
+    scored = stats.select("doc_id", "held_out", model.score().alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -86,6 +96,7 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMED = {
+    "op1_quality_rules": quality_rules,
     "op3_feistel_sharding": feistel_sharding,
     "op4_language_id": language_id,
     "op5_benchmark_decontamination": benchmark_decontamination,
