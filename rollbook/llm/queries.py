@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import byte_bpe, chat, decontaminate, feistel, langid, pii, rules
+from rollbook.llm import byte_bpe, chat, decontaminate, feistel, jaccard, langid, pages, pii, rules
 from rollbook.llm.storage import table, written
 
 SHARDS = 40
@@ -80,6 +80,16 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def page_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), out="text")
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     kinds = F.transform(F.split("base", ","), lambda x: F.substring_index(x, ":", 1))
@@ -100,7 +110,9 @@ NAMED = {
     "op3_feistel_sharding": feistel_sharding,
     "op4_language_id": language_id,
     "op5_benchmark_decontamination": benchmark_decontamination,
+    "op6_jaccard_components": jaccard_components,
     "op7_personal_data": personal_data,
+    "op8_page_extraction": page_extraction,
     "op9_byte_bpe": byte_bpe_round_trip,
     "op10_chat_formatting": chat_formatting,
 }
