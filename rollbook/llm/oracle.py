@@ -2,4 +2,25 @@
 
 from __future__ import annotations
 
-STATEMENTS: dict[str, str] = {}
+COVER_TREE_TOP_K = """
+WITH valid AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM valid q JOIN valid c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+),
+ranked AS (
+    SELECT query_id, vec_id, score,
+        row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+STATEMENTS: dict[str, str] = {
+    "op2_cover_tree_top_k": COVER_TREE_TOP_K,
+}

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import byte_bpe, chat, decontaminate, feistel, jaccard, langid, pages, pii, rules
+from rollbook.llm import byte_bpe, chat, covertree, decontaminate, feistel, jaccard, langid, pages, pii, rules
 from rollbook.llm.storage import table, written
 
 SHARDS = 40
+NEIGHBOURS = 10
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,11 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = covertree.vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", scale=1024)
+    return covertree.top_k(rows, rows.filter(F.col("id") % 100 == 0), NEIGHBOURS)
+
+
 def feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -107,6 +113,7 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NAMED = {
     "op1_quality_rules": quality_rules,
+    "op2_cover_tree_top_k": cover_tree_top_k,
     "op3_feistel_sharding": feistel_sharding,
     "op4_language_id": language_id,
     "op5_benchmark_decontamination": benchmark_decontamination,
