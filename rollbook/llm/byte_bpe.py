@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook.llm.arrowtext import slices, texts
@@ -309,3 +310,14 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | No
 def _binary(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))]
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+
+
+def digests(coded: DataFrame, *kept: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Counts and digests of each row's ids and of the bytes they decode to."""
+    joined = F.array_join(F.col(ids).cast("array<string>"), " ")
+    return coded.select(
+        *kept,
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"),
+    )

@@ -160,7 +160,7 @@ def _verified(inside: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         ranked.filter(F.col("rarest.rows") > 0)
         .select("window", F.col("rarest.shingle").alias("shingle"), F.col("rarest.at").alias("offset"))
         .join(wanted.select("window", "items", "length"), "window"),
-        "prefix", files=1,
+        "prefix",
     )
     bits = bitmap(prefix.select(F.split("shingle", " ").alias("w")).select(shingle_hash(F.col("w"), F.lit(0), k).alias("h")))
     salted = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -387,3 +387,19 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     by_node = own.join(named, "node", "left").select("node", F.coalesce("least_", "own_").alias("component"))
     joined = documents.filter("n > 0").join(by_node, "node").select(key, "n", "node", "component")
     return joined.unionAll(documents.filter("n = 0").select(key, "n", "node", F.col(key).alias("component")))
+
+
+def deduplicated(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, least: tuple[int, int] = LEAST
+) -> DataFrame:
+    """One document of each component, that of least key, and all documents without words; columns as they were.
+
+    Documents that share an id are told apart by their texts; of fully repeated ones one stays.
+    """
+    own = F.struct(F.col(key).alias("key"), F.md5(F.col(text).cast("binary")).alias("digest"))
+    blank = F.col(text).isNull() | ~F.col(text).rlike(r"[^\x20\x09-\x0D]")
+    keyed = docs.filter(~blank).withColumn("own_", own)
+    found = linked(keyed.select("own_", text), "own_", text, size, least)
+    first = found.filter(F.col("own_") == F.col("component")).select(F.col("own_").alias("first_")).distinct()
+    kept = keyed.join(first, F.col("own_") == F.col("first_"), "left_semi").dropDuplicates(["own_"]).drop("own_")
+    return kept.unionByName(docs.filter(blank))

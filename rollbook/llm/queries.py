@@ -41,18 +41,8 @@ def feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encoded(table(spark, sf_dir, "documents"))
-
-
-def encoded(docs: DataFrame) -> DataFrame:
-    """Counts and digests of each text's ids and of the bytes they decode to."""
-    coded = byte_bpe.encode(docs.select("doc_id", "text"), decoded="decoded").drop("text")
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digests(byte_bpe.encode(docs, decoded="decoded"), "doc_id")
 
 
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
