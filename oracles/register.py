@@ -5,10 +5,34 @@ from __future__ import annotations
 from oracles import steps
 from oracles.steps import NOT_RECORDED, P, START, select_list
 
+# Short drug names in the register's order.
 DRUGS = (
-    "H R E Z S Am Km Cm Lfx Mfx Pto Eto Cs Trd PAS PAS-Na Bdq Dlm Lzd Cfz "
-    "Imp/Cln Amx/Clv Mpm Pa"
-).split() + ["Rpt or P"]
+    "H",
+    "R",
+    "E",
+    "Z",
+    "S",
+    "Am",
+    "Km",
+    "Cm",
+    "Lfx",
+    "Mfx",
+    "Pto",
+    "Eto",
+    "Cs",
+    "Trd",
+    "PAS",
+    "PAS-Na",
+    "Bdq",
+    "Dlm",
+    "Lzd",
+    "Cfz",
+    "Imp/Cln",
+    "Amx/Clv",
+    "Mpm",
+    "Pa",
+    "Rpt or P",
+)
 RENAMED = {"Imp/Cln": "Imp/Clm", "Rpt or P": "Rpt_or_P"}
 
 

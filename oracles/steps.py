@@ -53,38 +53,43 @@ def _lab(column: str, name: str) -> str:
     )
 
 
+# Drug names of the mart and their short names.
+_DRUGS = (
+    ("Isoniazid (H)", "H"),
+    ("Rifampicin (R)", "R"),
+    ("Ethambutol (E)", "E"),
+    ("Pyrazinamide (Z)", "Z"),
+    ("Streptomycin (S)", "S"),
+    ("Amikacin (Am)", "Am"),
+    ("Kanamycin (Km)", "Km"),
+    ("Capreomycin (Cm)", "Cm"),
+    ("Levofloxacin (Lfx)", "Lfx"),
+    ("Moxifloxacin (Mfx)", "Mfx"),
+    ("Prothionamide (Pto)", "Pto"),
+    ("Ethionamide (Eto)", "Eto"),
+    ("Cycloserine (Cs)", "Cs"),
+    ("Terizidone (Trd)", "Trd"),
+    ("Para-aminosalicylic acid (PAS)", "PAS"),
+    ("Para-aminosalicylic acid - sodium (PAS-Na)", "PAS-Na"),
+    ("Bedaquiline (Bdq)", "Bdq"),
+    ("Delamanid (Dlm)", "Dlm"),
+    ("Linezolid (Lzd)", "Lzd"),
+    ("Clofazimine (Cfz)", "Cfz"),
+    ("Imipenem/Cilastatin (Imp/Cln)", "Imp/Cln"),
+    ("Amoxicillin/Clavulanate (Amx/Clv)", "Amx/Clv"),
+    ("Meropenem (Mpm)", "Mpm"),
+    ("Pretomanid (Pa)", "Pa"),
+    ("Rifapentine (Rpt or P)", "Rpt or P"),
+)
 _DRUG_CELLS = ",\n".join(
-    f"max(CASE WHEN drug = '{name} ({short})' "
-    f"THEN concat(dose, ' ', dose_unit) END) AS \"{short}\""
-    for name, short in (
-        ("Isoniazid", "H"),
-        ("Rifampicin", "R"),
-        ("Ethambutol", "E"),
-        ("Pyrazinamide", "Z"),
-        ("Streptomycin", "S"),
-        ("Amikacin", "Am"),
-        ("Kanamycin", "Km"),
-        ("Capreomycin", "Cm"),
-        ("Levofloxacin", "Lfx"),
-        ("Moxifloxacin", "Mfx"),
-        ("Prothionamide", "Pto"),
-        ("Ethionamide", "Eto"),
-        ("Cycloserine", "Cs"),
-        ("Terizidone", "Trd"),
-        ("Para-aminosalicylic acid", "PAS"),
-        ("Para-aminosalicylic acid - sodium", "PAS-Na"),
-        ("Bedaquiline", "Bdq"),
-        ("Delamanid", "Dlm"),
-        ("Linezolid", "Lzd"),
-        ("Clofazimine", "Cfz"),
-        ("Imipenem/Cilastatin", "Imp/Cln"),
-        ("Amoxicillin/Clavulanate", "Amx/Clv"),
-        ("Meropenem", "Mpm"),
-        ("Pretomanid", "Pa"),
-        ("Rifapentine", "Rpt or P"),
-    )
+    f"max(CASE WHEN drug = '{name}' THEN concat(dose, ' ', dose_unit) END) AS \"{short}\""
+    for name, short in _DRUGS
 )
 
+# Culture results.
+POSITIVE = "Positive for M. tuberculosis"
+NEGATIVE = "Negative for M. tuberculosis"
+
 
 def _window(kind: str) -> str:
     diff = f"(e.specimen_collection_date - t.{START})"
@@ -92,7 +97,7 @@ def _window(kind: str) -> str:
         f"SELECT t.{P}, t.{START}, e.specimen_collection_date, e.bacteriology_culture_results, "
         f"CAST({diff} AS INTEGER) AS day_diff "
         f"FROM treatment_initiation_template t JOIN specimen_results e ON t.{P} = e.{P} "
-        f"WHERE e.bacteriology_culture_results LIKE '{kind} for%' AND {diff} BETWEEN -90 AND 15"
+        f"WHERE e.bacteriology_culture_results = '{kind}' AND {diff} BETWEEN -90 AND 15"
     )
 
 
@@ -109,7 +114,7 @@ def _on_treatment(kind: str) -> str:
     return (
         f"SELECT e.{P}, e.specimen_collection_date AS collection_date "
         f"FROM specimen_results e JOIN treatment_initiation_template t ON e.{P} = t.{P} "
-        f"WHERE e.bacteriology_culture_results LIKE '{kind} for%' "
+        f"WHERE e.bacteriology_culture_results = '{kind}' "
         f"AND e.specimen_collection_date >= t.{START}"
     )
 
@@ -284,9 +289,9 @@ STEPS: dict[str, str] = {
         FROM bacteriology_culture_results_details r LEFT JOIN bacteriology_concept_set c
           ON r.id_bacteriology_concept_set = c.id_bacteriology_concept_set
         WHERE r.bacteriology_culture_results IN
-              ('Positive for M. tuberculosis', 'Negative for M. tuberculosis')""",
-    "window_positive": _window("Positive"),
-    "window_negative": _window("Negative"),
+              ('{POSITIVE}', '{NEGATIVE}')""",
+    "window_positive": _window(POSITIVE),
+    "window_negative": _window(NEGATIVE),
     "nearest_positive": _nearest("window_positive"),
     "nearest_negative": _nearest("window_negative"),
     "baseline_pair": f"""
@@ -295,8 +300,8 @@ STEPS: dict[str, str] = {
                CASE WHEN p.{START} - p.specimen_collection_date
                        > p.{START} - n.specimen_collection_date THEN 'Y' END AS closer_negative
         FROM nearest_positive p LEFT JOIN nearest_negative n ON p.{P} = n.{P}""",
-    "negatives_on_treatment": _on_treatment("Negative"),
-    "positives_on_treatment": _on_treatment("Positive"),
+    "negatives_on_treatment": _on_treatment(NEGATIVE),
+    "positives_on_treatment": _on_treatment(POSITIVE),
     "confirming_pairs": f"""
         SELECT a.{P}, a.collection_date AS collection_date1, b.collection_date AS collection_date2,
                CAST(b.collection_date - a.collection_date AS INTEGER) AS days_between,

@@ -84,10 +84,11 @@ def culture_marks(
 ) -> DataFrame:
     """(enrolment, day, mark): treatment starts stacked with dated culture results.
 
-    Results become marks before they meet their specimen, so no text is moved.
+    Results become marks before they meet their specimen, so no text is moved.  Rows
+    without an enrolment belong to none and are left out.
     """
     result = F.col(RESULT)
-    marked = results.where(result.isin(POSITIVE, NEGATIVE)).select(
+    marked = results.where(result.isin(POSITIVE, NEGATIVE) & F.col(PID).isNotNull()).select(
         PID,
         SPECIMEN,
         F.when(result == POSITIVE, WAS_POSITIVE).otherwise(WAS_NEGATIVE).alias("mark"),
@@ -96,7 +97,7 @@ def culture_marks(
     cultures = marked.join(dated, SPECIMEN).select(
         PID, F.col(COLLECTED).cast("date").alias("day"), "mark"
     )
-    starts = initiations.where(F.col(START).isNotNull()).select(
+    starts = initiations.where(F.col(START).isNotNull() & F.col(PID).isNotNull()).select(
         PID, F.col(START).cast("date").alias("day"), F.lit(STARTED).alias("mark")
     )
     return cultures.unionByName(starts)

@@ -22,7 +22,7 @@ def _stay(source: str, on: str, name: Column, facility: Column, returns: Column
     return (
         F.col(PID),
         F.lit(source).alias("source"),
-        F.col(on).alias("seen_on"),
+        F.col(on).cast("date").alias("seen_on"),
         name.isNotNull().alias("named"),
         facility.alias("facility"),
         (F.lit(None) if returns is None else returns).cast("date").alias("return_on"),
@@ -144,20 +144,24 @@ def care_history(
     )
 
 
-def enrollment_facility(attributes: DataFrame, enrolments: DataFrame) -> DataFrame:
-    """(enrolment, date, facility) of registration, for enrolments with a programme row."""
-    return attributes.join(enrolments, PID).select(
+def registration(rows: DataFrame, *more: str) -> DataFrame:
+    """(enrolment, date, facility) of registration from joined attributes and programme rows."""
+    return rows.select(
         PID,
         F.col("date_enrolled").cast("date").alias("facility_date"),
         F.col("Registration_Facility").alias("facility"),
+        *more,
     )
 
 
-def last_facility(registered: DataFrame, care: DataFrame) -> DataFrame:
-    """Newest known facility, or the facility of registration."""
-    return registered.join(care, PID, "left").select(
-        PID, F.coalesce("seen_at", "facility").alias("last_facility")
-    )
+def enrollment_facility(attributes: DataFrame, enrolments: DataFrame) -> DataFrame:
+    """(enrolment, date, facility) of registration, for enrolments with a programme row."""
+    return registration(attributes.join(enrolments, PID))
+
+
+def last_facility(registered: DataFrame) -> DataFrame:
+    """Newest known facility (``seen_at``), or the facility of registration."""
+    return registered.select(PID, F.coalesce("seen_at", "facility").alias("last_facility"))
 
 
 def followup_return_visit(followups: DataFrame, pick: str = "earliest") -> DataFrame:

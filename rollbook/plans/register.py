@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
 from datetime import date, datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.functions.chunks import join_chunked
 from rollbook.functions.dates import as_of_moment
 from rollbook.operators import columns as col_ops
 from rollbook.operators import cultures, facility, medication, serology
@@ -22,25 +19,23 @@ from rollbook.sources.schemas import PID
 START = cultures.START
 
 
-def with_patient(rows: DataFrame, attributes: DataFrame, split: bool = False) -> DataFrame:
+def with_patient(rows: DataFrame, attributes: DataFrame) -> DataFrame:
     """Rows left-joined to attributes of their patient.
 
-    ``split`` writes the outer join as an inner join and the rows without a match:
-    Spark divides a heavy patient on either side of an inner join, but never on the
-    optional side of an outer one.
+    The outer join is written as an inner join and the rows without a match: Spark
+    divides a heavy patient on either side of an inner join, but never on the optional
+    side of an outer one.
     """
-    if not split:
-        return rows.join(attributes, "patient_id", "left")
     known = attributes.select("patient_id").distinct()
     return rows.join(attributes, "patient_id").unionByName(
         rows.join(known, "patient_id", "left_anti"), allowMissingColumns=True
     )
 
 
-def district(program_rows: DataFrame, persons: DataFrame, split: bool = False) -> DataFrame:
+def district(program_rows: DataFrame, persons: DataFrame) -> DataFrame:
     """Programme rows with the district of the patient."""
     districts = persons.select(F.col("person_id").alias("patient_id"), "patientDistrict")
-    return with_patient(program_rows, districts, split)
+    return with_patient(program_rows, districts)
 
 
 def enrolled(program_rows: DataFrame) -> DataFrame:
@@ -81,7 +76,7 @@ def culture_features(mart: Mart) -> DataFrame:
     return cultures.culture_summary(cultures.culture_timeline(cultures.culture_days(marks)))
 
 
-def programs(mart: Mart, variant: Variant, split: bool = False) -> DataFrame:
+def programs(mart: Mart, variant: Variant) -> DataFrame:
     """Programme rows with patient attributes.
 
     The joins on the patient come first, while the rows are narrow; everything
@@ -89,23 +84,26 @@ def programs(mart: Mart, variant: Variant, split: bool = False) -> DataFrame:
     """
     rows = enrolled(mart["patient_program_view"])
     if variant.district:
-        rows = district(rows, mart["person_attributes"], split)
+        rows = district(rows, mart["person_attributes"])
     identifiers = mart["patient_identifier"].select(
         "patient_id", F.col("patient_id").alias("identified_patient_id"), "Patient_Identifier"
     )
-    return with_patient(rows, identifiers, split)
+    return with_patient(rows, identifiers)
 
 
-def forms(mart: Mart, variant: Variant, split: bool = False) -> dict[str, DataFrame]:
-    """Tables that may hold several rows per enrolment; repeats multiply register rows.
+def required_forms(mart: Mart, variant: Variant) -> dict[str, DataFrame]:
+    """Tables that a register row needs; repeats multiply register rows."""
+    return {
+        "initiation": treated(mart["treatment_initiation_template"]),
+        "program": programs(mart, variant),
+    }
 
-    A register row needs the first two; the others are optional.
-    """
+
+def optional_forms(mart: Mart) -> dict[str, DataFrame]:
+    """Tables that a register row may lack; repeats multiply register rows."""
     attributes = mart["program_attributes"]
     registered = facility.enrollment_facility(attributes, mart["patient_program_data_default"])
     return {
-        "program": programs(mart, variant, split),
-        "initiation": treated(mart["treatment_initiation_template"]),
         "attributes": attributes.select(PID, "Registration_Number"),
         "baseline": mart["baseline_template"]
         .drop("id_baseline_template")
@@ -116,9 +114,6 @@ def forms(mart: Mart, variant: Variant, split: bool = False) -> dict[str, DataFr
     }
 
 
-REQUIRED = ("program", "initiation")
-
-
 def features(mart: Mart, variant: Variant) -> list[DataFrame]:
     """Tables with one row per enrolment, each clustered by it."""
     initiations = mart["treatment_initiation_template"]
@@ -134,93 +129,15 @@ def features(mart: Mart, variant: Variant) -> list[DataFrame]:
     ]
 
 
-@dataclass(frozen=True)
-class RepeatedForm:
-    """Enrolments with very many rows of one form, and the size of the rest of them."""
-
-    enrolments: list[int]
-    rest_rows: int
-
-
-Repeated = Mapping[str, RepeatedForm]
-
-REPEAT_LIMIT = 1_000_000
-MAX_REPEATED = 10_000
-BROADCAST_ROWS = 100_000
-
-
-def join_forms(tables: Mapping[str, DataFrame], extra: Iterable[DataFrame]) -> DataFrame:
-    """Required forms joined, then optional forms and features where present."""
-    required = [t for name, t in tables.items() if name in REQUIRED]
-    optional = [t for name, t in tables.items() if name not in REQUIRED]
-    rows = reduce(lambda left, right: left.join(right, PID), required)
-    for table in (*optional, *extra):
-        rows = rows.join(table, PID, "left")
-    return rows
-
-
-def assemble(mart: Mart, variant: Variant, repeated: Repeated | None = None) -> DataFrame:
+def assemble(mart: Mart, variant: Variant) -> DataFrame:
     """One row per combination of an enrolment's forms, with every feature.
 
-    ``repeated`` (see ``repeated_forms``) takes enrolments with very many rows of
-    one form out of the hash joins: their form rows stay where they were read and
-    meet the rest of the enrolment, which is small, by broadcast.
-    """
-    tables = forms(mart, variant, split="program" in (repeated or {}))
-    extra = features(mart, variant)
-    if not repeated:
-        return join_forms(tables, extra)
-    pid = F.col(PID)
-
-    def kept(test, names):
-        return {n: t.where(test) if n in REQUIRED else t for n, t in tables.items() if n in names}
-
-    held_out = [p for group in repeated.values() for p in group.enrolments]
-    parts = [join_forms(kept(~pid.isin(held_out), tables), extra)]
-    for form, group in repeated.items():
-        test = pid.isin(group.enrolments)
-        rest = join_forms(kept(test, [n for n in tables if n != form]), extra)
-        if group.rest_rows <= BROADCAST_ROWS:
-            rest = F.broadcast(rest)
-        parts.append(tables[form].where(test).join(rest, PID))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def repeated_forms(
-    mart: Mart, variant: Variant | str = GENERIC, limit: int = REPEAT_LIMIT
-) -> dict[str, RepeatedForm]:
-    """Enrolments with more than ``limit`` rows of a form, under their largest form.
-
-    Runs two small jobs.  At most (form rows / ``limit``) enrolments can qualify,
-    so the answer fits the driver; more than ``MAX_REPEATED`` means that the limit
-    is too low for the data, and is refused.
+    A lazy plan that divides an enrolment with very many rows of a form
+    (``rollbook.functions.chunks``).
     """
-    site = VARIANTS[variant] if isinstance(variant, str) else variant
-    tables = forms(mart, site, split=True)
-    counts = reduce(
-        DataFrame.unionByName,
-        [
-            t.groupBy(PID).agg(F.count(F.lit(1)).alias("rows")).withColumn("form", F.lit(name))
-            for name, t in tables.items()
-        ],
-    ).where(F.col(PID).isNotNull())
-    large = counts.where(F.col("rows") > limit).limit(MAX_REPEATED + 1).collect()
-    if not large:
-        return {}
-    if len(large) > MAX_REPEATED:
-        raise ValueError(f"more than {MAX_REPEATED} enrolments exceed {limit} rows of a form")
-    found: dict[int, dict[str, int]] = {}
-    for row in counts.where(F.col(PID).isin([r[PID] for r in large])).collect():
-        found.setdefault(row[PID], {})[row["form"]] = row["rows"]
-    groups: dict[str, dict[int, int]] = {}
-    for pid, sizes in found.items():
-        form = max(sizes, key=sizes.get)
-        rest = math.prod(n for name, n in sizes.items() if name != form)
-        groups.setdefault(form, {})[pid] = rest
-    return {
-        form: RepeatedForm(sorted(rests), sum(rests.values()))
-        for form, rests in groups.items()
-    }
+    return join_chunked(
+        required_forms(mart, variant), optional_forms(mart), features(mart, variant)
+    )
 
 
 def register_columns(variant: Variant, as_of: Column) -> dict[str, Column]:
@@ -285,18 +202,16 @@ def register(
     variant: Variant | str = GENERIC,
     as_of: Column | date | datetime | str | None = None,
     ordered: bool = False,
-    repeated: Repeated | None = None,
 ) -> DataFrame:
     """The register of one site.
 
     ``as_of`` fixes the moment that open treatments are measured to (default: the
     clock).  ``ordered`` sorts by the patient of the identifier table, unknown
-    patients last; leave it off when writing at scale.  ``repeated`` names
-    enrolments to be joined apart (``repeated_forms`` finds them).
+    patients last; leave it off when writing at scale.
     """
     if isinstance(variant, str):
         variant = VARIANTS[variant]
-    rows = assemble(mart, variant, repeated)
+    rows = assemble(mart, variant)
     if ordered:
         rows = rows.orderBy(F.asc_nulls_last("identified_patient_id"))
     columns = register_columns(variant, as_of_moment(as_of))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollbook.functions.chunks import join_chunked
 from rollbook.functions.dates import as_of_moment
 from rollbook.operators import columns as col_ops
 from rollbook.operators import cultures, facility, medication, serology
@@ -31,6 +32,11 @@ def _spine(m: Mart) -> DataFrame:
     return reg.register_spine(m["patient_program_view"], _initiations(m))
 
 
+def _spine_with(m: Mart, optional: dict[str, DataFrame], features: list[DataFrame] | None = None):
+    forms = {"initiation": reg.treated(_initiations(m)), "program": reg.enrolled(m["patient_program_view"])}
+    return join_chunked(forms, optional, features or [])
+
+
 def _stays(m: Mart, form: str, mode: str = "coded") -> DataFrame:
     if form == facility.INITIATION:
         return facility.initiation_stays(_initiations(m))
@@ -47,7 +53,8 @@ def _registered(m: Mart) -> DataFrame:
 
 def _last_facility(m: Mart, variant: Variant) -> DataFrame:
     care = facility.care_history(*reg.care_sources(m, variant), return_pick=None)
-    return facility.last_facility(_registered(m), care)
+    forms = {"attributes": m["program_attributes"], "enrolled": m["patient_program_data_default"]}
+    return facility.last_facility(facility.registration(join_chunked(forms, {}, [care]), "seen_at"))
 
 
 def _first_start(drug: str) -> Query:
@@ -88,13 +95,13 @@ def _keyed(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def _treatment_duration(m: Mart) -> DataFrame:
-    rows = _spine(m).join(m["outcome_end_of_treatment_template"], PID, "left")
+    rows = _spine_with(m, {"outcome": m["outcome_end_of_treatment_template"]})
     end = F.col("tuberculosis_treatment_end_date")
     return _keyed(rows, col_ops.treatment_duration(F.col(START), end, as_of_moment(AS_OF)))
 
 
 def _active_treatment(m: Mart) -> DataFrame:
-    rows = _spine(m).join(m["outcome_end_of_treatment_template"], PID, "left")
+    rows = _spine_with(m, {"outcome": m["outcome_end_of_treatment_template"]})
     return _keyed(rows, col_ops.active_treatment(F.col("tuberculosis_treatment_end_date")))
 
 
@@ -108,7 +115,7 @@ def _new_drug_start(m: Mart) -> DataFrame:
 def _status(test: str, baseline: str, columns: Callable, variant: Variant) -> Query:
     def query(m: Mart) -> DataFrame:
         lab = serology.serology_result(m["lab_results_serology_template"], test)
-        rows = m["baseline_template"].join(lab, PID, "left")
+        rows = join_chunked({"baseline": m["baseline_template"]}, {}, [lab])
         return _keyed(rows, columns(F.col(baseline), F.col(test), variant.unrecorded))
 
     return query
@@ -122,7 +129,7 @@ def _diabetes(variant: Variant) -> Query:
 
 
 def _culture_flags(m: Mart) -> DataFrame:
-    rows = _spine(m).join(_summary(m).drop(START), PID, "left")
+    rows = _spine_with(m, {}, [_summary(m).drop(START)])
     return _keyed(
         rows,
         col_ops.culture_flags(
@@ -134,11 +141,9 @@ def _culture_flags(m: Mart) -> DataFrame:
 
 def _next_visit(m: Mart) -> DataFrame:
     planned = facility.followup_return_visit(m["followup_template"])
-    rows = (
-        m["patient_program_view"]
-        .select(PID)
-        .join(m["baseline_template"].select(PID, F.col("return_visit_date").alias("b")), PID, "left")
-        .join(planned, PID, "left")
+    baseline = m["baseline_template"].select(PID, F.col("return_visit_date").alias("b"))
+    rows = join_chunked(
+        {"program": m["patient_program_view"].select(PID)}, {"baseline": baseline}, [planned]
     )
     return _keyed(rows, col_ops.next_visit(F.col("return_visit_date"), F.col("b")))
 
