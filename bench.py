@@ -46,10 +46,11 @@ def seconds(build, repeats: int) -> float:
 
 
 def written_mart(spark, sf_dir: str) -> Mart:
-    root = tempfile.mkdtemp(prefix="bench-mart-")
+    # on a cluster, a folder that all executors share
+    root = os.environ.get("BENCH_MART_DIR") or tempfile.mkdtemp(prefix="bench-mart-")
     mart = supplied_mart(spark, sf_dir)
     for name in TABLES:
-        mart[name].write.parquet(f"{root}/{name}")
+        mart[name].write.mode("overwrite").parquet(f"{root}/{name}")
     return Mart.from_parquet(spark, root)
 
 

@@ -23,17 +23,13 @@ CHUNK_ROWS = 1_000
 CHUNK, LARGEST, CHUNKS = "chunk_", "largest_form_", "chunks_"
 
 
-def heavy_enrolments(tables: Mapping[str, DataFrame], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def heavy_enrolments(keys: Mapping[str, DataFrame], chunk_rows: int) -> DataFrame:
     """(enrolment, largest form, chunks) of enrolments with more rows of a form than a chunk takes."""
-    counts = [
-        t.groupBy(PID).agg(F.count(F.lit(1)).alias("rows")).select(PID, "rows", F.lit(name).alias("form"))
-        for name, t in tables.items()
-    ]
-    largest = (
-        reduce(DataFrame.unionByName, [c.where((F.col("rows") > chunk_rows) & F.col(PID).isNotNull()) for c in counts])
-        .groupBy(PID)
-        .agg(F.max(F.struct("rows", "form")).alias("most"))
+    stacked = reduce(
+        DataFrame.unionAll, [t.select(PID, F.lit(name).alias("form")) for name, t in keys.items()]
     )
+    counts = stacked.where(F.col(PID).isNotNull()).groupBy(PID, "form").agg(F.count(F.lit(1)).alias("rows"))
+    largest = counts.where(F.col("rows") > chunk_rows).groupBy(PID).agg(F.max(F.struct("rows", "form")).alias("most"))
     found = largest.select(
         PID,
         F.col("most.form").alias(LARGEST),
@@ -63,15 +59,18 @@ def join_chunked(
     required: Mapping[str, DataFrame],
     optional: Mapping[str, DataFrame],
     features: Iterable[DataFrame] = (),
-    chunk_rows: int = CHUNK_ROWS,
+    keys: Mapping[str, DataFrame] | None = None,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Required forms joined, then optional forms and features where present.
 
     ``features`` have one row per enrolment and are clustered by it; they are joined to
-    one another first, so they share one exchange to the chunks.
+    one another first, so they share one exchange to the chunks.  ``keys`` may name
+    smaller tables that hold a form's enrolments about as often as the form does; they
+    are counted in its place.
     """
     tables = {**required, **optional}
-    heavy = heavy_enrolments(tables, chunk_rows)
+    heavy = heavy_enrolments({**tables, **(keys or {})}, chunk_rows or CHUNK_ROWS)
     rows = None
     for name, table in tables.items():
         own = _dealt(name, _numbered(table), heavy, F.col("place_")).drop("place_")

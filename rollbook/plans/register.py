@@ -135,8 +135,18 @@ def assemble(mart: Mart, variant: Variant) -> DataFrame:
     A lazy plan that divides an enrolment with very many rows of a form
     (``rollbook.functions.chunks``).
     """
+    programs_ = mart["patient_program_view"].select(PID, "patient_id")
+    patients = mart["patient_identifier"].select("patient_id")
+    if variant.district:
+        persons = mart["person_attributes"].select(F.col("person_id").alias("patient_id"))
+        patients = patients.unionAll(persons)
+    keys = {
+        "program": programs_.join(patients, "patient_id"),
+        "site": mart["baseline_disease_site"],
+        "registered": mart["patient_program_data_default"],
+    }
     return join_chunked(
-        required_forms(mart, variant), optional_forms(mart), features(mart, variant)
+        required_forms(mart, variant), optional_forms(mart), features(mart, variant), keys
     )
 
 

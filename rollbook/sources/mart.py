@@ -52,20 +52,26 @@ class Mart:
         cls,
         spark: SparkSession,
         url: str,
-        upper_bound: int,
+        upper_bounds: Mapping[str, int],
         num_partitions: int,
         properties: Mapping[str, str] | None = None,
     ) -> Mart:
-        """Tables of a relational mart, read in parallel ranges of their first key."""
+        """Tables of a relational mart, read in parallel ranges of their first key.
+
+        ``upper_bounds`` has the greatest key of each table, by the table's name or by
+        its key's (enrolments, patients, specimens and persons are numbered apart).
+        """
 
         def load(name: str) -> DataFrame:
             key = TABLES[name].split()[0]
+            if name not in upper_bounds and key not in upper_bounds:
+                raise KeyError(f"no upper bound for {name!r} or its key {key!r}")
             return spark.read.jdbc(
                 url,
                 name,
                 column=key,
                 lowerBound=0,
-                upperBound=upper_bound,
+                upperBound=upper_bounds.get(name, upper_bounds.get(key)),
                 numPartitions=num_partitions,
                 properties=dict(properties or {}),
             )

@@ -7,7 +7,8 @@ import datetime as dt
 import pytest
 from minimart import DAY_0, MartBuilder, date, day
 
-from rollbook.plans.register import register, repeated_forms
+from rollbook.functions import chunks
+from rollbook.plans.register import register
 from rollbook.plans.variants import PK, PNG
 
 AS_OF = "2020-02-01"
@@ -320,8 +321,8 @@ def test_ordered(mart):
     assert [r["patient_id"] for r in rows[:2]] == [900, 900]
 
 
-def test_repeated_forms_are_joined_apart(spark, tmp_path):
-    """Very repeated forms give the same rows on the separate path."""
+def test_chunks_do_not_change_rows(spark, tmp_path, monkeypatch):
+    """Very repeated forms give the same rows however they are dealt."""
     b = build()
     for _ in range(40):
         b.baseline(1, 7, diabetes_mellitus="True")
@@ -336,22 +337,8 @@ def test_repeated_forms_are_joined_apart(spark, tmp_path):
     for _ in range(4):
         b.start(1, date("2020-01-02"))
     mart = b.mart(spark, tmp_path)
-    repeated = repeated_forms(mart, PNG, 3)
-    assert {23, 24, 60} <= set(repeated["program"].enrolments)
-    assert 1 in repeated["baseline"].enrolments
-    assert 2 in repeated["initiation"].enrolments
-    assert 4 in repeated["outcome"].enrolments
-    assert 5 in repeated["site"].enrolments
-    plain = register(mart, PNG, AS_OF)
-    apart = register(mart, PNG, AS_OF, repeated=repeated)
-    assert apart.columns == plain.columns
-    assert sorted(map(str, apart.collect())) == sorted(map(str, plain.collect()))
-    assert repeated_forms(mart, PK, 1000) == {}
-
-
-def test_repeated_forms_refuses_a_low_limit(mart, monkeypatch):
-    import rollbook.plans.register as plan
-
-    monkeypatch.setattr(plan, "MAX_REPEATED", 2)
-    with pytest.raises(ValueError):
-        repeated_forms(mart, PK, 0)
+    plain = sorted(map(str, register(mart, PNG, AS_OF).collect()))
+    assert len(plain) > 400
+    for rows in (1, 3, 7):
+        monkeypatch.setattr(chunks, "CHUNK_ROWS", rows)
+        assert sorted(map(str, register(mart, PNG, AS_OF).collect())) == plain

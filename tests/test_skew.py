@@ -9,6 +9,7 @@ from minimart import DAY_0, MartBuilder, day
 
 from rollbook.operators import cultures, medication
 from rollbook.plans.register import register
+from rollbook.queries import NAMED
 
 HOT_ROWS = 6000
 SMALL = {
@@ -96,3 +97,46 @@ def test_register_of_a_heavy_enrolment(mart):
     assert row[0]["HIV_Lab"] == "Positive"
     assert row[0]["Initial_Drug_R"].startswith("9")
     assert row[0]["Initial_Culture_Conversion_Date"] is not None
+
+
+def heavy_mart(spark, folder, form: str):
+    """200 plain enrolments; number 0 has very many rows of one form."""
+    b = MartBuilder()
+    for pid in range(200):
+        b.enrolment(pid)
+        b.baseline(pid, pid, diabetes_mellitus="True")
+        b.outcome(pid, day(90))
+    for n in range(HOT_ROWS):
+        if form == "baseline":
+            b.baseline(0, n, baseline_hiv_serostatus_result="Positive")
+        elif form == "start":
+            b.start(0, day(n % 50))
+        elif form == "outcome":
+            b.outcome(0, day(n % 90))
+        else:
+            b.identifier(0, f"EMR{n}")
+    return b.mart(spark, folder)
+
+
+def largest_share(frame) -> tuple[int, int]:
+    """Rows of the fullest output partition, and of all; every column is kept."""
+    sizes = frame.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    return max(sizes), sum(sizes)
+
+
+@pytest.mark.parametrize("form", ["baseline", "start", "outcome", "identifier"])
+def test_register_divides_a_heavy_form(spark, small_thresholds, tmp_path, form):
+    most, total = largest_share(register(heavy_mart(spark, tmp_path, form), "generic", "2020-12-31"))
+    assert total >= HOT_ROWS
+    assert most < 0.45 * total
+
+
+@pytest.mark.parametrize(
+    "name, form",
+    [("hiv_status", "baseline"), ("next_visit", "baseline"), ("treatment_duration", "start"),
+     ("active_treatment", "outcome"), ("culture_flags", "start")],
+)
+def test_joins_outside_the_register_divide_too(spark, small_thresholds, tmp_path, name, form):
+    most, total = largest_share(NAMED[name](heavy_mart(spark, tmp_path, form)))
+    assert total >= HOT_ROWS
+    assert most < 0.45 * total
