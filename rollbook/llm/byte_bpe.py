@@ -169,7 +169,7 @@ def merge_pieces(vocabulary: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarra
     whole = np.array([vocabulary.ranks.get(x, -1) for x in pieces], dtype=np.int32)
     one = np.flatnonzero(whole >= 0)
     keep(one, np.ones(len(one), np.int64), whole[one])
-    lengths = np.array([len(x) for x in pieces])
+    lengths = np.array([len(x) for x in pieces], dtype=np.int64)
     widths = np.where(lengths <= 16, lengths + (lengths & 1), 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
     widths[lengths > LONG_PIECE] = 0
     widths[whole >= 0] = 0
@@ -220,7 +220,7 @@ class Encoder:
         starts, sizes, flat = merge_pieces(self.vocabulary, [x.encode() for x in pieces])
         at = dict(zip(pieces, range(len(pieces)), strict=True))
         ends = np.cumsum([0, *map(len, split)])
-        ids, offsets = _gather(starts, sizes, flat, np.fromiter(map(at.__getitem__, chain.from_iterable(split)), np.int64, ends[-1]), ends)
+        ids, offsets = _gather(starts, sizes, flat, np.fromiter(map(at.__getitem__, chain.from_iterable(split)), np.int64, int(ends[-1])), ends)
         first = len(self.starts)
         self.starts = np.concatenate([self.starts, len(self.flat) + offsets[:-1]])
         self.sizes = np.concatenate([self.sizes, np.diff(offsets)])

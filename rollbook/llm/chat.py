@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Marks of the template and of common chat templates, as they stand after an angle bracket.
-ANGLED = (r"\|[a-z_]*\|>", r"/?s>", r"/?SYS>", r"</?SYS>>")
+ANGLED = (r"\|[a-z_]*\|>", r"/?s>", r"/?SYS>")
 #: The same after a square bracket.
 SQUARE = (r"/?INST\]",)
 _ESCAPE = rf"(<)(\\*)(?={'|'.join(ANGLED)})|(\[)(\\*)(?={'|'.join(SQUARE)})"

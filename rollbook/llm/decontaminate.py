@@ -109,6 +109,8 @@ def runs(words_: Column, hits: Column, k: int, least: int) -> Column:
     )
 
 
+#: Names of columns that come and go here; a document's columns of these names are not kept.
+OWN = ("row", "key", "words", "n_words", "runs", "hits1", "hits2", "hits3", "n_hit", "items", "contaminated")
 RUNS = "array<struct<k:int,start:int,words:array<string>>>"
 
 
@@ -126,7 +128,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, text: str, item: str, ite
 
     read = docs.select(
         F.monotonically_increasing_id().alias("row"),
-        *(c for c in docs.columns if c not in (text, "row", "key", "n_words", "runs")),
+        *(c for c in docs.columns if c not in (text, *OWN)),
         F.md5(F.col(text).cast("binary")).alias("key"),
         words(text).alias("words"),
     )
@@ -210,5 +212,5 @@ def contamination(
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without contaminated rows, columns as they were."""
-    bad = contamination(docs.select(text), benchmark, text).filter("contaminated").select(F.col("key").alias("key_")).distinct()
-    return docs.join(bad, F.md5(F.col(text).cast("binary")) == F.col("key_"), "left_anti")
+    bad = contamination(docs.select(text), benchmark, text).filter("contaminated").select(F.col("key").alias("bad_text_key_")).distinct()
+    return docs.join(bad, F.md5(F.col(text).cast("binary")) == F.col("bad_text_key_"), "left_anti")

@@ -21,6 +21,94 @@ ranked AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(text: str, pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '{pattern}')"
+
+
+BENCHMARK_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BENCHMARK_DECONTAMINATION = f"""
+WITH docs AS (SELECT doc_id, {_words("text", BENCHMARK_WORD)} AS w FROM documents),
+items AS (SELECT item_id, {_words("text", BENCHMARK_WORD)} AS w FROM benchmark),
+starts AS (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS s FROM items WHERE len(w) > 0),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[s:s + 12], ' ') AS words FROM starts
+),
+places AS (
+    SELECT doc_id, n, w, unnest(generate_series(1, len(w) - n + 1)) AS s
+    FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+),
+found AS (
+    SELECT p.doc_id, p.s, p.n, v.item_id
+    FROM places p JOIN windows v ON v.n = p.n AND v.words = array_to_string(p.w[p.s:p.s + p.n - 1], ' ')
+),
+hit AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS place FROM (SELECT DISTINCT doc_id, s, n FROM found))
+    GROUP BY doc_id
+),
+listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM found WHERE item_id IS NOT NULL)
+    GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+JACCARD_WORD = r"[^\x20\x09-\x0D]+"
+JACCARD_COMPONENTS = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_words("text", JACCARD_WORD)} AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS s FROM docs WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[s:s + 3], ' ') AS shingle FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+    WHERE 100 * common >= 85 * (x.n + y.n - common)
+),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM docs
+    UNION SELECT r.doc_id, s.b FROM reach r JOIN steps s ON r.other = s.a
+)
+SELECT doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+CHAT_FORMATTING = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+marked AS (
+    SELECT *, length(text) + len(regexp_extract_all(
+            text, '<\\*(\|[a-z_]*\|>|/?s>|/?SYS>)|\[\\*/?INST\]')) AS escaped,
+        row_number() OVER said AS n, lag(role) OVER said AS before, lead(role) OVER said AS after
+    FROM turns WINDOW said AS (PARTITION BY conv_id ORDER BY turn, role, text)
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    sum(escaped
+        + CASE WHEN role = before THEN length('<|then|>') ELSE length(role) + length('<||>') END
+        + CASE WHEN role = after THEN 0 ELSE length('<|end|>') END)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
 STATEMENTS: dict[str, str] = {
+    "op5_benchmark_decontamination": BENCHMARK_DECONTAMINATION,
+    "op6_jaccard_components": JACCARD_COMPONENTS,
+    "op10_chat_formatting": CHAT_FORMATTING,
     "op2_cover_tree_top_k": COVER_TREE_TOP_K,
 }

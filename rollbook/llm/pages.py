@@ -252,17 +252,20 @@ def extract(pages: DataFrame, out: str = "main_text", url: str = "url", html: st
     """``pages`` without the html, with the main text as ``out``."""
     kept = [f for f in pages.schema.fields if f.name not in (html, out)]
     schema = T.StructType([*kept, T.StructField(out, T.StringType())])
-    winners = winning_paths(pages, url, html).withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    winners = winners.withColumnRenamed("host", "host_")
-    salt = F.pmod(F.xxhash64(F.col(html)), F.lit(SALTS)).cast("int")
+    names = [f"column_{k}" for k in range(len(kept))]  # whatever the columns are called
+    winners = winning_paths(pages, url, html).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # the salt deals a host with very many pages over several tasks
-    rows = pages.select(*(f.name for f in kept), html, host(url).alias("page_host_"), salt.alias("page_salt_"))
-    joined = rows.join(winners, (F.col("page_host_") == F.col("host_")) & (F.col("page_salt_") == F.col("salt_")), "left")
+    salt = F.pmod(F.xxhash64(F.col(html)), F.lit(SALTS)).cast("int")
+    rows = pages.select(
+        *(F.col(f.name).alias(n) for f, n in zip(kept, names, strict=True)),
+        F.col(html).alias("html"), host(url).alias("host"), salt.alias("salt"),
+    )
+    joined = rows.join(winners, ["host", "salt"], "left").select(*names, "html", "winners")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, html):
-                found = [main_text(x, w or []) for x, w in zip(texts(part, html), part.column("winners").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), pa.array(found, pa.string())], names=schema.names)
+            for part in slices(batch, "html"):
+                found = [main_text(x, w or []) for x, w in zip(texts(part, "html"), part.column("winners").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(found, pa.string())], names=schema.names)
 
-    return joined.select(*(f.name for f in kept), html, "winners").mapInArrow(work, schema)
+    return joined.mapInArrow(work, schema)
