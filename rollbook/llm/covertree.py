@@ -38,7 +38,7 @@ SAMPLE = 1024
 CENTRES = 32
 BLOCK = 2048
 QUERY_BLOCK = 256
-LEAF = 48
+LEAF, QUERY_LEAF = 48, 12
 CHILDREN = 12
 SEEDS = 2
 NOTHING = np.iinfo(np.int64).min
@@ -82,7 +82,7 @@ def farthest_first(points: np.ndarray, most: int, enough: float) -> tuple[list[i
 class Tree:
     """Points reordered so that a node's lie together; per node first and last point, centre, radius, children."""
 
-    def __init__(self, ids: np.ndarray, points: np.ndarray):
+    def __init__(self, ids: np.ndarray, points: np.ndarray, leaf: int = LEAF):
         exact = points.astype(np.float64)
         order, nodes = np.arange(len(ids)), []
         todo = [(0, len(ids), -1)]
@@ -95,7 +95,7 @@ class Tree:
             nodes.append([a, b, centre, radius, []])
             if parent >= 0:
                 nodes[parent][4].append(k)
-            if b - a <= LEAF or radius == 0:
+            if b - a <= leaf or radius == 0:
                 continue
             chosen, at, _ = farthest_first(own, CHILDREN, radius / 2)
             by = np.argsort(at, kind="stable")
@@ -193,7 +193,7 @@ def centres_of(rows: DataFrame) -> np.ndarray:
     return points[farthest_first(points, CENTRES, 0.0)[0]]
 
 
-def trees(rows: DataFrame, centres: np.ndarray, block: int) -> DataFrame:
+def trees(rows: DataFrame, centres: np.ndarray, block: int, leaf: int) -> DataFrame:
     """(block, centre, radius, tree): every row in the tree of one block."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +212,7 @@ def trees(rows: DataFrame, centres: np.ndarray, block: int) -> DataFrame:
     keyed = dealt.withColumn("block", F.col("at").cast("long") * (1 << 32) + part)
 
     def grow(table: pa.Table) -> pa.Table:
-        tree = Tree(table.column("id").to_numpy(), matrix_of(table.column("v").to_pylist()))
+        tree = Tree(table.column("id").to_numpy(), matrix_of(table.column("v").to_pylist()), leaf)
         return pa.table({
             "block": table.column("block").slice(0, 1), "centre": pa.array([tree.centres[0]], pa.list_(pa.float64())),
             "radius": pa.array([tree.radii[0]]), "tree": pa.array([pickle.dumps(tree)], pa.binary()),
@@ -281,9 +281,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k highest inner products of each of ``queries`` (id, v) with the other rows of ``rows`` (id, v)."""
     rows, queries = written(rows, "vectors"), written(queries, "queries")
     centres = centres_of(rows)
-    data = written(trees(rows, centres, BLOCK), "data-trees")
+    data = written(trees(rows, centres, BLOCK, LEAF), "data-trees")
     few = max(1, min(len(centres), -(-queries.count() // QUERY_BLOCK)))
-    asked = written(trees(queries, centres[:few], QUERY_BLOCK), "query-trees")
+    asked = written(trees(queries, centres[:few], QUERY_BLOCK, QUERY_LEAF), "query-trees")
     pairs = written(block_pairs(asked, data, shelves=16), "pairs")
 
     best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("most"), "b"))
