@@ -11,6 +11,7 @@ from minimart import MartBuilder, day
 
 from rollbook.operators import cultures, facility, medication, serology
 from rollbook.operators.disease_site import disease_site
+from rollbook.queries import NAMED
 
 PID = "patient_program_id"
 HOT = 0
@@ -295,3 +296,15 @@ def test_disease_site(case):
         for r in disease_site(mart["baseline_disease_site"]).collect()
     }
     assert found == wanted
+
+
+@pytest.mark.parametrize("name", ["closest_positive", "closest_negative", "baseline_positive", "initial_conversion", "conversion_pairs"])
+def test_rows_without_an_enrolment_are_no_enrolment(spark, tmp_path, name):
+    """A start and cultures that both lack the enrolment do not belong together."""
+    b = MartBuilder()
+    for pid in (None, 1):
+        b.start(pid)
+        b.positive(pid, -5)
+        b.negative(pid, -3, 10, 40)
+    found = NAMED[name](b.mart(spark, tmp_path)).collect()
+    assert found and {r["patient_program_id"] for r in found} == {1}

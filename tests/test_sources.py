@@ -9,6 +9,7 @@ from rollbook.functions.text import number_text
 from rollbook.operators import medication
 from rollbook.sources.bindings import BINDINGS, supplied_mart
 from rollbook.sources.mart import Mart
+from rollbook.session import start_partitions
 from rollbook.sources.schemas import TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -93,3 +94,21 @@ def test_order_timestamps_keep_their_time_of_day(spark):
     )
     near = medication.orders_near_start(orders, initiations).collect()
     assert sorted(r.drug for r in near) == ["A", "C"]
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(30,8)"])
+def test_numbers_have_no_exponent(spark, kind):
+    values = {0.0005: "0.0005", 12345678.5: "12345678.5", 1e15: "1000000000000000", -0.5: "-0.5", 0.0: "0", 0.00001: "0.00001", -800.0: "-800"}
+    frame = spark.createDataFrame([(v,) for v in [*values, None]], "v double").selectExpr(f"CAST(v AS {kind}) AS d", "v")
+    got = {r["v"]: r["text"] for r in frame.select("v", number_text(frame, "d").alias("text")).collect()}
+    assert got == {**values, None: None}
+
+
+def test_jdbc_bounds_are_per_table(spark):
+    with pytest.raises(KeyError, match="person_attributes"):
+        Mart.from_jdbc(spark, "jdbc:none:", {"patient_program_id": 10}, 4)["person_attributes"]
+
+
+def test_start_partitions():
+    assert start_partitions(0) == 200
+    assert start_partitions(100 * 10**12) > 300_000
