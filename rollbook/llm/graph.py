@@ -22,6 +22,14 @@ def _clean(edges: DataFrame) -> DataFrame:
     return edges.filter("u <> v").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node is a centre or has one edge to a centre; edges lead to lesser nodes."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in"))
+    heads = edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in"))
+    nodes = ends.unionAll(heads).groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return nodes.filter((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("in") > 0))).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): every node of an edge u, v and the least node that it is connected with.
 
@@ -29,12 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
     the least nodes.  Loops and repeated edges change nothing.
     """
     now = written(_clean(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "edges")
-    last = None
-    while True:
-        print_ = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if not print_[0] or print_ == last:
-            break
-        last = print_
+    while not _stars(now):
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _clean(_with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         near = _with_least(large)

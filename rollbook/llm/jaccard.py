@@ -6,17 +6,19 @@ set has an equal 64-bit digest, the document's node.  Equal sets are one node, s
 copies are never compared.
 
 1. One pass gives each document's node and size, and a sketch: a fixed number of
-   counters that says of a shingle whether it is common.  Counters are summed in Spark.
-2. Sets are ordered by (commonness, hash).  Two sets similar enough share a shingle
-   within their first n - ceil(t * n) + 1 ones, whatever the counters say; so shingles of
-   passages that many documents share hardly ever come into play.  Nodes that share such
+   counters of all documents' shingles by hash.  Counters are summed in Spark.
+2. Sets are ordered by (counter, hash).  Two sets similar enough share a shingle within
+   their first n - ceil(t * n) + 1 ones, whatever the counters say; and as these are the
+   shingles of lowest counters, passages that many documents share, which raise theirs
+   beyond what chance does, hardly ever come into play.  Nodes that share such
    a shingle are connected into groups, which contain every link.
-3. A group's nodes are dealt into tiles by size.  Tiles whose sizes are too far apart are
+3. A group's nodes are dealt into tiles by size; tiles whose sizes are too far apart are
    not paired.  In a pair of tiles, hashed bitmaps bound the overlap of two sets from
-   above by bit counts; pairs that pass are settled by intersecting the sorted arrays.
-   Nodes that are connected already are not compared again.
-4. Tiles next to each other come first; further pairs are worked on only if what they
-   hold is not yet one component.
+   above by bit counts.  Pairs left open by their bitmaps give narrower groups.
+4. In tiles of these, pairs that pass the bound are settled by intersecting the sorted
+   arrays.  Nodes that are connected already are not compared again.
+5. In both, tiles next to each other come first; further pairs are worked on only if what
+   they hold is not yet one component.
 
 No pair is lost: every step before the exact one keeps a superset of the links.  Only
 links that join two components are emitted, fewer than nodes in a tile pair.
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +51,8 @@ CELLS, CHUNK = 1 << 20, 1 << 12
 TILE_WEIGHT, NODE_WEIGHT = 400_000, 400
 #: Bits of the filter that picks the texts to read again.
 FILTER_BITS = 1 << 23
+#: Bits of a set's bitmap.
+LEAST_BITS, MOST_BITS = 1 << 8, 1 << 18
 U = np.uint64
 
 # ---------------------------------------------------------------- hashing
@@ -159,7 +163,7 @@ def profiles(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
 
 def commonness(read: DataFrame) -> np.ndarray:
-    """For each cell, by how many powers of two its count lies above what chance explains."""
+    """The sketch: how many shingles of all documents' sets fall into each cell."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -172,11 +176,10 @@ def commonness(read: DataFrame) -> np.ndarray:
 
     rows = read.filter("chunk IS NOT NULL").select("chunk", "counts")
     summed = rows.repartition("chunk").mapInArrow(add, "chunk int, counts binary")
-    cells = np.zeros(CELLS)
+    cells = np.zeros(CELLS, dtype=np.uint64)
     for row in summed.toLocalIterator():  # CELLS counters in all
         cells[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], dtype=np.uint64)
-    usual = max(1.0, float(np.median(cells)))
-    return np.floor(np.log2(np.maximum(1, (cells - usual) / (4 * np.sqrt(usual))))).astype(np.uint8)
+    return np.minimum(cells, 2**32 - 1).astype(np.uint32)
 
 
 def prefix_size(n: int, least: tuple[int, int]) -> int:
@@ -184,63 +187,91 @@ def prefix_size(n: int, least: tuple[int, int]) -> int:
 
 
 def prefix_tokens(docs: DataFrame, text: str, size: int, least: tuple[int, int], common: np.ndarray) -> DataFrame:
-    """(token, node): the rarest shingles of each set; a task gives a node once."""
+    """(token, n, node): the rarest shingles of each set of n; a task gives a node once."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, given = shared.value, set()
+        counts, given = shared.value, set()
         for batch in batches:
             for part in slices(batch, text):
-                tokens, nodes, sizes = [], [], []
+                tokens, nodes, totals, sizes = [], [], [], []
                 for own in shingle_sets(*buffers(part, text), size):
                     node = node_of(own)
                     if not len(own) or node in given:
                         continue
                     given.add(node)
-                    level = levels[(own & U(CELLS - 1)).astype(np.int64)]
-                    first = np.argsort(level, kind="stable")[: prefix_size(len(own), least)]
+                    count = counts[(own & U(CELLS - 1)).astype(np.int64)]
+                    first = np.argsort(count, kind="stable")[: prefix_size(len(own), least)]
                     tokens.append(own[first])
                     nodes.append(node)
+                    totals.append(len(own))
                     sizes.append(len(first))
                 if tokens:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(nodes, np.int64), sizes))], names=["token", "node"])
+                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(totals, np.int32), sizes)),
+                         pa.array(np.repeat(np.array(nodes, np.int64), sizes))], names=["token", "n", "node"])
 
-    return docs.select(text).mapInArrow(work, "token long, node long")
+    return docs.select(text).mapInArrow(work, "token long, n int, node long")
 
 
-def group_edges(tokens: DataFrame) -> DataFrame:
-    """u, v: each node and the least node of every token that it shares; rows stream through sorted by token."""
+def group_edges(tokens: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """u, v: nodes that share a token, as stars.
+
+    A token's nodes are sorted by size and cut into runs where the next size is too far
+    from the last.  Between two nodes of sizes near enough there is no cut, so each run
+    can be one star, and no link reaches over a cut.  Rows stream through.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_token, last_hub = None, 0
+        last_token, last_n, last_hub = None, 0, 0
         for batch in batches:
-            token, node = batch.column("token").to_numpy(), batch.column("node").to_numpy()
+            token, n, node = (batch.column(c).to_numpy() for c in ("token", "n", "node"))
             if not len(token):
                 continue
-            new = np.concatenate([[True], token[1:] != token[:-1]])
+            n = n.astype(np.int64)
+            new = np.concatenate([[True], (token[1:] != token[:-1]) | (least[1] * n[:-1] < least[0] * n[1:])])
             hub = node[new][np.cumsum(new) - 1]
-            if last_token == token[0]:
+            if last_token == token[0] and least[1] * last_n >= least[0] * n[0]:
                 hub[: int(np.argmax(new[1:])) + 1 if new[1:].any() else len(hub)] = last_hub
-            last_token, last_hub = token[-1], hub[-1]
+            last_token, last_n, last_hub = token[-1], n[-1], hub[-1]
             pairs = np.unique(np.column_stack([node, hub])[node != hub], axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
 
-    sorted_ = tokens.repartition("token").sortWithinPartitions("token", "node")
+    sorted_ = tokens.repartition("token").sortWithinPartitions("token", "n", "node")
     return sorted_.mapInArrow(work, "u long, v long").distinct()
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(node, own): the sets of the nodes in ``wanted`` (node, key), read again from one text each.
+def marks_of(own: np.ndarray) -> bytes:
+    """A bitmap of the set with four to eight bits a shingle; half of one laid over the other is a smaller bitmap."""
+    bits = 1 << int(np.clip(4 * len(own) - 1, LEAST_BITS - 1, MOST_BITS - 1)).bit_length()
+    row = np.zeros(bits, dtype=np.uint8)
+    row[((own >> U(20)) & U(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(row, bitorder="little").tobytes()
 
-    A bitmap of fixed size lets through the rows whose key is wanted and few others.
-    """
-    bit = F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS))
-    cells = wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("bits"))
+
+def filter_bit(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS)).cast("int")
+
+
+def key_filter(wanted: DataFrame, key: str) -> np.ndarray:
+    """A byte for each of FILTER_BITS: 1 where a wanted key falls."""
+    cells = wanted.select(filter_bit(key).alias("bit")).groupBy(F.shiftright("bit", 6).alias("cell")).agg(
+        F.expr("bit_or(shiftleft(1L, bit & 63))").alias("bits")
+    )
     bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
     found = cells.toPandas()  # at most FILTER_BITS / 64 rows
     bits[found["cell"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little"))
+    return np.unpackbits(bits.view(np.uint8), bitorder="little")
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """(node, marks, own): bitmaps and sets of the nodes of ``wanted`` (key), read again from the texts.
+
+    A bitmap of fixed size lets through the rows whose key is wanted and few others; a
+    key's repeated rows give their sets each.
+    """
+    bit = filter_bit(key)
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(wanted, key))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passing = shared.value
@@ -249,10 +280,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int)
             for part in slices(kept, text):
                 sets = shingle_sets(*buffers(part, text), size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "own"])
+                    [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([marks_of(s) for s in sets], pa.binary()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "marks", "own"])
 
-    read = docs.select(bit.alias("bit"), text).mapInArrow(work, "node long, own binary")
-    return read.join(wanted.select("node"), "node").groupBy("node").agg(F.min("own").alias("own"))
+    return docs.select(bit.alias("bit"), text).mapInArrow(work, "node long, marks binary, own binary")
 
 
 # ---------------------------------------------------------------- tiles
@@ -282,91 +313,113 @@ def tile_pairs(tiles: DataFrame, least: tuple[int, int]) -> DataFrame:
     return a.join(b, "component").filter((F.col("a") <= F.col("b")) & (least[1] * F.col("hi_a") >= least[0] * F.col("lo_b"))).select("component", "a", "b")
 
 
-def links_in_pair(nodes: np.ndarray, tile: np.ndarray, sets: list[np.ndarray], diagonal: bool, least: tuple[int, int]) -> list[tuple[int, int]]:
-    """Links that join components among the sets of a tile, or between two tiles."""
-    n = np.array([len(s) for s in sets], dtype=np.int64)
+class Bitmaps:
+    """Bitmaps of different lengths, each also folded to half of it."""
+
+    def __init__(self, marks: list[bytes]):
+        self.length = np.array([len(m).bit_length() for m in marks])
+        self.place = np.zeros(len(marks), dtype=np.int64)
+        self.full, self.half = {}, {}
+        for length in np.unique(self.length).tolist():
+            rows = np.flatnonzero(self.length == length)
+            self.place[rows] = np.arange(len(rows))
+            full = np.frombuffer(b"".join([marks[k] for k in rows.tolist()]), dtype=U).reshape(len(rows), -1)
+            half = full.shape[1] // 2
+            folded = full[:, :half] | full[:, half:]
+            self.full[length] = (full, np.bitwise_count(full).sum(axis=1, dtype=np.int64))
+            self.half[length] = (folded, np.bitwise_count(folded).sum(axis=1, dtype=np.int64))
+
+    def most_shared(self, i: int, others: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """No set of ``others`` shares more with set i; those are as long as i's or twice that."""
+        length, out = int(self.length[i]), np.zeros(len(others), dtype=np.int64)
+        own, own_ones = (x[self.place[i]] for x in self.full[length])
+        for step, held in ((0, self.full), (1, self.half)):
+            at = np.flatnonzero(self.length[others] == length + step)
+            if len(at):
+                rows, ones = (x[self.place[others[at]]] for x in held[length + step])
+                both = np.bitwise_count(rows & own).sum(axis=1, dtype=np.int64)
+                # every bit that only one set has is a shingle that the other lacks
+                out[at] = both + np.minimum(n[i] - own_ones, n[others[at]] - ones)
+        return out
+
+
+def links_in_pair(
+    nodes: np.ndarray, tile: np.ndarray, n: np.ndarray, marks: list[bytes], sets: list[np.ndarray] | None, diagonal: bool, least: tuple[int, int]
+) -> list[tuple[int, int]]:
+    """Links that join components among the sets of a tile, or between two tiles.
+
+    Without ``sets`` every pair counts that its bitmaps leave open.
+    """
     order = np.lexsort((nodes, n))
-    nodes, tile, n, sets = nodes[order], tile[order], n[order], [sets[k] for k in order]
-    bits = 1 << int(np.clip(int(n[-1]) * 2 - 1, 255, 16383)).bit_length()
-    marks = np.zeros((len(sets), bits // 8), dtype=np.uint8)
-    for k, own in enumerate(sets):
-        row = np.zeros(bits, dtype=np.uint8)
-        row[((own >> U(20)) & U(bits - 1)).astype(np.int64)] = 1
-        marks[k] = np.packbits(row)
-    marks = marks.view(U)
-    ones = np.bitwise_count(marks).sum(axis=1, dtype=np.int64)
-    label = np.arange(len(sets))
+    nodes, tile, n, marks = nodes[order], tile[order], n[order], [marks[k] for k in order]
+    sets = [sets[k] for k in order] if sets else None
+    bitmaps = Bitmaps(marks)
+    label = np.arange(len(nodes))
     ends = np.searchsorted(least[0] * n, least[1] * n, side="right")  # sizes up to n / t
     out = []
-    for i in range(len(sets) - 1):
+    for i in range(len(nodes) - 1):
         own = slice(i + 1, int(ends[i]))
         near = (label[own] != label[i]) if diagonal else (label[own] != label[i]) & (tile[own] != tile[i])
         others = np.flatnonzero(near) + i + 1
         if not len(others):
             continue
-        both = np.bitwise_count(marks[others] & marks[i]).sum(axis=1, dtype=np.int64)
-        most = np.minimum(n[i] - ones[i], n[others] - ones[others]) + both
         # intersection * least[1] >= union * least[0]
-        others = others[most * (least[0] + least[1]) >= least[0] * (n[i] + n[others])]
+        others = others[bitmaps.most_shared(i, others, n) * (least[0] + least[1]) >= least[0] * (n[i] + n[others])]
         for j in others.tolist():
             if label[j] == label[i]:
                 continue
-            small, large = sets[i], sets[j]
-            at = np.searchsorted(large, small)
-            at[at == len(large)] = 0
-            inter = int((large[at] == small).sum())
-            if least[1] * inter >= least[0] * (len(small) + len(large) - inter):
-                out.append((int(nodes[j]), int(nodes[i])))
-                label[label == label[j]] = label[i]
+            if sets:
+                small, large = sets[i], sets[j]
+                at = np.searchsorted(large, small)
+                at[at == len(large)] = 0
+                inter = int((large[at] == small).sum())
+                if least[1] * inter < least[0] * (len(small) + len(large) - inter):
+                    continue
+            out.append((int(nodes[j]), int(nodes[i])))
+            label[label == label[j]] = label[i]
     return out
 
 
-def links(members: DataFrame, sets: DataFrame, pairs: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """u, v: links found in pairs of tiles; ``members`` has node, component, tile."""
+def links(tiles: DataFrame, sets: DataFrame, pairs: DataFrame, least: tuple[int, int], exact: bool) -> DataFrame:
+    """u, v: links found in pairs of tiles; ``tiles`` has node, component, n, tile."""
+    data = ["marks", "own"] if exact else ["marks"]
     ends = pairs.withColumn("tile", F.explode(F.array_distinct(F.array("a", "b"))))
-    rows = members.join(ends, ["component", "tile"]).join(sets, "node").select("component", "a", "b", "tile", "node", "own")
+    rows = tiles.join(ends, ["component", "tile"]).join(sets.select("node", *data), "node")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, seen = None, [], set()
 
         def done() -> Iterator[pa.RecordBatch]:
             if len(held) > 1:
-                nodes, tile = np.array([x[0] for x in held], np.int64), np.array([x[1] for x in held])
-                found = links_in_pair(nodes, tile, [np.frombuffer(x[2], dtype=U) for x in held], now[1] == now[2], least)
+                nodes, tile, n = (np.array([x[k] for x in held], np.int64) for k in range(3))
+                sets_ = [np.frombuffer(x[4], dtype=U) for x in held] if exact else None
+                found = links_in_pair(nodes, tile, n, [x[3] for x in held], sets_, now[1] == now[2], least)
                 if found:
                     u, v = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("component", "a", "b", "node", "tile", "own")]
-            for component, a, b, node, tile, own in zip(*columns, strict=True):
-                if (component, a, b) != now:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("component", "a", "b")), strict=True)
+            values = zip(*(batch.column(c).to_pylist() for c in ("node", "tile", "n", *data)), strict=True)
+            for key, value in zip(keys, values, strict=True):
+                if key != now:
                     yield from done()
-                    now, held = (component, a, b), []
-                held.append((node, tile, own))
+                    now, held, seen = key, [], set()
+                if value[0] not in seen:
+                    seen.add(value[0])
+                    held.append(value)
         yield from done()
 
-    dealt = rows.repartition("component", "a", "b").sortWithinPartitions("component", "a", "b")
-    return dealt.mapInArrow(work, "u long, v long")
+    dealt = rows.select("component", "a", "b", "tile", "node", "n", *data)
+    return dealt.repartition("component", "a", "b").sortWithinPartitions("component", "a", "b").mapInArrow(work, "u long, v long")
 
 
-# ---------------------------------------------------------------- all together
-
-
-def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
-    """Per document: key, ``n`` (set size), ``node`` (of its set) and ``component`` (the least key reachable)."""
-    read = written(profiles(docs, key, text, size), "profiles")
-    documents = read.filter("chunk IS NULL").select(key, "n", "node")
-    tokens = prefix_tokens(docs, text, size, least, commonness(read))
-    groups = written(components(group_edges(tokens)), "groups")
-    sizes = documents.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(key).alias(key))
-    members = written(sizes.join(groups, "node"), "members")
+def connected(members: DataFrame, sets: DataFrame, least: tuple[int, int], exact: bool) -> DataFrame:
+    """(node, component): what links join; ``members`` has node, component, n."""
     tiles = written(tiled(members), "tiles")
-    sets = written(sets_of(docs, members.select("node", key), key, text, size), "sets")
     pairs = written(tile_pairs(tiles, least), "pairs")
-
     near = F.col("b") - F.col("a") <= 1
-    found = written(links(tiles, sets, pairs.filter(near), least), "links")
+    found = written(links(tiles, sets, pairs.filter(near), least, exact), "links")
     far = pairs.filter(~near)
     if not far.isEmpty():
         # tiles that hold one component of the links so far need no pair within it
@@ -378,9 +431,25 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
         b = pure.select("component", F.col("tile").alias("b"), F.col("part").alias("part_b"))
         open_ = far.join(a, ["component", "a"]).join(b, ["component", "b"])
         open_ = open_.filter("part_a IS NULL OR part_b IS NULL OR part_a <> part_b").select("component", "a", "b")
-        found = found.unionAll(written(links(tiles, sets, open_, least), "links"))
+        found = found.unionAll(written(links(tiles, sets, open_, least, exact), "links"))
+    return written(components(found), "components")
+
+
+# ---------------------------------------------------------------- all together
 
-    final = written(components(found), "components")
+
+def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
+    """Per document: key, ``n`` (set size), ``node`` (of its set) and ``component`` (the least key reachable)."""
+    read = written(profiles(docs, key, text, size), "profiles")
+    documents = read.filter("chunk IS NULL").select(key, "n", "node")
+    tokens = prefix_tokens(docs, text, size, least, commonness(read))
+    groups = written(components(group_edges(tokens, least)), "groups")
+    sizes = documents.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(key).alias(key))
+    members = written(sizes.join(groups, "node"), "members")
+    sets = written(sets_of(docs, members.select(key), key, text, size), "sets")
+    narrow = members.select("node", "n")
+    open_ = connected(members.select("node", "component", "n"), sets, least, exact=False)
+    final = connected(narrow.join(open_, "node"), sets, least, exact=True)
     least_key = members.select("node", key).join(final, "node").groupBy("component").agg(F.min(key).alias("least_"))
     named = final.join(least_key, "component").select("node", "least_")
     own = sizes.select("node", F.col(key).alias("own_"))
@@ -399,7 +468,23 @@ def deduplicated(
     own = F.struct(F.col(key).alias("key"), F.md5(F.col(text).cast("binary")).alias("digest"))
     blank = F.col(text).isNull() | ~F.col(text).rlike(r"[^\x20\x09-\x0D]")
     keyed = docs.filter(~blank).withColumn("own_", own)
-    found = linked(keyed.select("own_", text), "own_", text, size, least)
-    first = found.filter(F.col("own_") == F.col("component")).select(F.col("own_").alias("first_")).distinct()
-    kept = keyed.join(first, F.col("own_") == F.col("first_"), "left_semi").dropDuplicates(["own_"]).drop("own_")
-    return kept.unionByName(docs.filter(blank))
+    found = written(
+        linked(keyed.select("own_", text), "own_", text, size, least)
+        .groupBy("own_").agg(F.first("component").alias("component"), F.count(F.lit(1)).alias("rows_")),
+        "components",
+    )
+    # Most documents are alone: a bitmap of fixed size tells them without moving a text.
+    first = F.col("own_") == F.col("component")
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(found.filter(~first | (F.col("rows_") > 1)), "own_"))
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        touched = shared.value
+        for batch in batches:
+            yield batch.set_column(1, "touched", pa.array(touched[batch.column("bit").to_numpy()] == 1))
+
+    marked = keyed.select(F.struct(*docs.columns, "own_").alias("row"), filter_bit("own_").alias("bit"))
+    marked = marked.select("row", "bit").mapInArrow(untouched, T.StructType([marked.schema["row"], T.StructField("touched", T.BooleanType())]))
+    alone = marked.filter(~F.col("touched")).select("row.*").drop("own_")
+    rest = marked.filter("touched").select("row.*")
+    kept = rest.join(found.filter(first).select(F.col("own_").alias("first_")), F.col("own_") == F.col("first_"), "left_semi")
+    return alone.unionByName(kept.dropDuplicates(["own_"]).drop("own_")).unionByName(docs.filter(blank))
