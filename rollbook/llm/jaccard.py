@@ -11,7 +11,8 @@ copies are never compared.
    their first n - ceil(t * n) + 1 ones, whatever the counters say; and as these are the
    shingles of lowest counters, passages that many documents share, which raise theirs
    beyond what chance does, hardly ever come into play.  Nodes that share such
-   a shingle are connected into groups, which contain every link.
+   a shingle are connected into groups, which contain every link; where only two nodes
+   of near sizes share it, their bitmaps (see below) have to leave the pair open.
 3. A group's nodes are dealt into tiles by size; tiles whose sizes are too far apart are
    not paired.  In a pair of tiles, hashed bitmaps bound the overlap of two sets from
    above by bit counts.  Pairs left open by their bitmaps give narrower groups.
@@ -215,30 +216,87 @@ def prefix_tokens(docs: DataFrame, text: str, size: int, least: tuple[int, int],
 
 
 def group_edges(tokens: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """u, v: nodes that share a token, as stars.
+    """u, v, alone: nodes that share a token; a pair of its own, or a star of three or more.
 
     A token's nodes are sorted by size and cut into runs where the next size is too far
     from the last.  Between two nodes of sizes near enough there is no cut, so each run
-    can be one star, and no link reaches over a cut.  Rows stream through.
+    can be one star, and no link reaches over a cut.  Rows stream through; of a run that
+    goes on in the next batch the first and the last row are held.
     """
 
+    def edges(node: np.ndarray, hub: np.ndarray, alone: np.ndarray) -> pa.RecordBatch:
+        keep = node != hub
+        found = np.unique(np.column_stack([node[keep], hub[keep], alone[keep]]), axis=0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy()), pa.array(found[:, 2] == 1)], names=["u", "v", "alone"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_token, last_n, last_hub = None, 0, 0
+        # the open run: its token, last size, last node, hub, length
+        token_, n_, last_, hub_, length_ = None, 0, 0, 0, 0
+
+        def second() -> Iterator[pa.RecordBatch]:
+            if length_ == 2:
+                yield edges(np.array([last_]), np.array([hub_]), np.array([1]))
+
         for batch in batches:
             token, n, node = (batch.column(c).to_numpy() for c in ("token", "n", "node"))
+            # copies give a node once a task: equal rows lie next to each other
+            fresh = np.ones(len(token), dtype=bool)
+            fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+            if len(token) and token[0] == token_ and node[0] == last_:
+                fresh[0] = False
+            token, n, node = token[fresh], n[fresh], node[fresh]
             if not len(token):
                 continue
             n = n.astype(np.int64)
             new = np.concatenate([[True], (token[1:] != token[:-1]) | (least[1] * n[:-1] < least[0] * n[1:])])
-            hub = node[new][np.cumsum(new) - 1]
-            if last_token == token[0] and least[1] * last_n >= least[0] * n[0]:
-                hub[: int(np.argmax(new[1:])) + 1 if new[1:].any() else len(hub)] = last_hub
-            last_token, last_n, last_hub = token[-1], n[-1], hub[-1]
-            pairs = np.unique(np.column_stack([node, hub])[node != hub], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
+            goes_on = token_ == token[0] and least[1] * n_ >= least[0] * n[0]
+            if not goes_on:
+                yield from second()
+                length_ = 0
+            starts = np.flatnonzero(new)
+            lengths = np.diff([*starts, len(token)])
+            hubs = node[starts].copy()
+            total = lengths.copy()
+            if goes_on:
+                hubs[0] = hub_
+                total[0] += length_
+                if length_ == 2:  # now it has more
+                    yield edges(np.array([last_]), np.array([hub_]), np.array([0]))
+            run = np.cumsum(new) - 1
+            hub = hubs[run]
+            closed = run < len(starts) - 1
+            ready = closed | (total[run] > 2)
+            if ready.any():
+                yield edges(node[ready], hub[ready], (total[run] == 2)[ready].astype(np.int64))
+            token_, n_, last_, hub_, length_ = token[-1], n[-1], node[-1], hubs[-1], int(total[-1])
+        yield from second()
 
     sorted_ = tokens.repartition("token").sortWithinPartitions("token", "n", "node")
-    return sorted_.mapInArrow(work, "u long, v long").distinct()
+    return sorted_.mapInArrow(work, "u long, v long, alone boolean").distinct()
+
+
+def open_pairs(edges: DataFrame, sets: DataFrame, sizes: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """u, v: the stars, and of the pairs those that their bitmaps leave open."""
+    marks = sets.select("node", "marks").join(sizes, "node").select("node", F.struct("n", "marks").alias("held"))
+    pairs = edges.filter("alone").select("u", "v").distinct()
+    both = pairs.join(marks.select(F.col("node").alias("u"), F.col("held").alias("held_u")), "u")
+    both = both.join(marks.select(F.col("node").alias("v"), F.col("held").alias("held_v")), "v")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v, left, right = (batch.column(c).to_pylist() for c in ("u", "v", "held_u", "held_v"))
+            kept = []
+            for k, (a, b) in enumerate(zip(left, right, strict=True)):
+                a, b = sorted((a, b), key=lambda x: x["n"])
+                n = np.array([a["n"], b["n"]])
+                most = Bitmaps([a["marks"], b["marks"]]).most_shared(0, np.array([1]), n)[0]
+                if most * (least[0] + least[1]) >= least[0] * n.sum():
+                    kept.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array([u[k] for k in kept], pa.int64()), pa.array([v[k] for k in kept], pa.int64())], names=["u", "v"])
+
+    passed = both.select("u", "v", "held_u", "held_v").mapInArrow(work, "u long, v long")
+    return edges.filter("NOT alone").select("u", "v").unionAll(passed)
 
 
 def marks_of(own: np.ndarray) -> bytes:
@@ -443,10 +501,13 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     read = written(profiles(docs, key, text, size), "profiles")
     documents = read.filter("chunk IS NULL").select(key, "n", "node")
     tokens = prefix_tokens(docs, text, size, least, commonness(read))
-    groups = written(components(group_edges(tokens, least)), "groups")
+    edges = written(group_edges(tokens, least), "token-edges")
+    nodes = edges.select(F.col("u").alias("node")).unionAll(edges.select(F.col("v").alias("node"))).distinct()
     sizes = documents.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(key).alias(key))
-    members = written(sizes.join(groups, "node"), "members")
-    sets = written(sets_of(docs, members.select(key), key, text, size), "sets")
+    grouped = written(sizes.join(nodes, "node"), "grouped")
+    sets = written(sets_of(docs, grouped.select(key), key, text, size), "sets")
+    groups = components(open_pairs(edges, sets, grouped.select("node", "n"), least))
+    members = written(grouped.join(groups, "node"), "members")
     narrow = members.select("node", "n")
     open_ = connected(members.select("node", "component", "n"), sets, least, exact=False)
     final = connected(narrow.join(open_, "node"), sets, least, exact=True)

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +149,33 @@ def test_components(spark):
     none = spark.createDataFrame([], "u long, v long")
     assert graph.components(none).count() == 0
     assert graph.components(none).agg(F.count("node")).first()[0] == 0
+
+
+def test_runs_reach_over_batches():
+    """However a sorted stream of tokens is cut into batches, the edges are the same."""
+
+    class Stream:
+        def __getattr__(self, name):
+            return lambda *args: setattr(self, "work", args[0]) or self if name == "mapInArrow" else self
+
+    stream = Stream()
+    jaccard.group_edges(stream, (85, 100))
+    draw = random.Random(1)
+    for _ in range(60):
+        rows = [(draw.randrange(8), n, n * 100 + draw.randrange(9)) for n in draw.choices((10, 11, 12, 30, 31, 100), k=40)]
+        unique = sorted(set(rows))
+        rows, expected, i = sorted(rows), set(), 0
+        while i < len(unique):
+            k = i + 1
+            while k < len(unique) and unique[k][0] == unique[i][0] and 100 * unique[k - 1][1] >= 85 * unique[k][1]:
+                k += 1
+            expected |= {(x[2], unique[i][2], k - i == 2) for x in unique[i + 1 : k]}
+            i = k
+        cuts = [0, *sorted(draw.sample(range(len(rows) + 1), k=draw.randrange(9))), len(rows)]
+        batches = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            columns = [[r[c] for r in rows[a:b]] for c in range(3)]
+            kinds = (pa.int64(), pa.int32(), pa.int64())
+            batches.append(pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["token", "n", "node"]))
+        found = {(r["u"], r["v"], r["alone"]) for batch in stream.work(iter(batches)) for r in batch.to_pylist()}
+        assert found == expected
