@@ -322,8 +322,8 @@ def key_filter(wanted: DataFrame, key: str) -> np.ndarray:
     return np.unpackbits(bits.view(np.uint8), bitorder="little")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(node, marks, own): bitmaps and sets of the nodes of ``wanted`` (key), read again from the texts.
+def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int, whole: bool) -> DataFrame:
+    """(node, marks), and if ``whole`` the set as ``own``, of the nodes of ``wanted`` (key), read again from the texts.
 
     A bitmap of fixed size lets through the rows whose key is wanted and few others; a
     key's repeated rows give their sets each.
@@ -337,11 +337,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int)
             kept = batch.filter(pa.array(passing[batch.column("bit").to_numpy()] == 1))
             for part in slices(kept, text):
                 sets = shingle_sets(*buffers(part, text), size)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([marks_of(s) for s in sets], pa.binary()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "marks", "own"])
+                columns = {"node": pa.array([node_of(s) for s in sets], pa.int64()), "marks": pa.array([marks_of(s) for s in sets], pa.binary())}
+                if whole:
+                    columns["own"] = pa.array([s.tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return docs.select(bit.alias("bit"), text).mapInArrow(work, "node long, marks binary, own binary")
+    return docs.select(bit.alias("bit"), text).mapInArrow(work, "node long, marks binary" + ", own binary" * whole)
 
 
 # ---------------------------------------------------------------- tiles
@@ -505,13 +506,15 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     nodes = edges.select(F.col("u").alias("node")).unionAll(edges.select(F.col("v").alias("node"))).distinct()
     sizes = documents.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(key).alias(key))
     grouped = written(sizes.join(nodes, "node"), "grouped")
-    sets = written(sets_of(docs, grouped.select(key), key, text, size), "sets")
-    groups = components(open_pairs(edges, sets, grouped.select("node", "n"), least))
-    members = written(grouped.join(groups, "node"), "members")
-    narrow = members.select("node", "n")
-    open_ = connected(members.select("node", "component", "n"), sets, least, exact=False)
-    final = connected(narrow.join(open_, "node"), sets, least, exact=True)
-    least_key = members.select("node", key).join(final, "node").groupBy("component").agg(F.min(key).alias("least_"))
+    marks = written(sets_of(docs, grouped.select(key), key, text, size, whole=False), "marks")
+    groups = components(open_pairs(edges, marks, grouped.select("node", "n"), least))
+    members = grouped.join(groups, "node").select("node", "component", "n")
+    open_ = connected(written(members, "members"), marks, least, exact=False)
+    # few nodes are left now: only their sets are read again and moved
+    last = written(grouped.join(open_, "node"), "last")
+    sets = written(sets_of(docs, last.select(key), key, text, size, whole=True), "sets")
+    final = connected(last.select("node", "component", "n"), sets, least, exact=True)
+    least_key = grouped.select("node", key).join(final, "node").groupBy("component").agg(F.min(key).alias("least_"))
     named = final.join(least_key, "component").select("node", "least_")
     own = sizes.select("node", F.col(key).alias("own_"))
     by_node = own.join(named, "node", "left").select("node", F.coalesce("least_", "own_").alias("component"))
