@@ -6,10 +6,11 @@ are classes of 15 bits (the code point where it fits), so four symbols pack into
 long, the gram's hash.  Grams of all training words are counted over all training rows
 in Spark; lower orders count distinct continuations, as Kneser and Ney have it.
 
-The model keeps, per order, the sorted hashes of all languages' grams and a matrix of
-log-probabilities gram x language, and the same for contexts and what they leave to the
-next lower order.  Its size is bounded by ``CELLS``: the rarest grams of the highest
-orders go first where a corpus has more.  It is collected and broadcast.
+The model keeps, per order, written tables of all languages' grams with their
+log-probabilities, and of contexts with what they leave to the next lower order.
+Discounts, totals and kinds are counted in Spark over all grams; nothing is cut off and
+the tables are never collected.  The different words of the texts to judge meet them in
+joins; executors hold the most frequent words' sums, the other words' are joined.
 
 A text gets the language of lowest cross-entropy per symbol.  Its score is a softmax of
 these entropies times the root of the number of symbols, with a temperature fitted on
@@ -26,7 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 from itertools import chain
 
 import numpy as np
@@ -40,13 +41,17 @@ from rollbook.llm.storage import written
 
 ORDER = 4
 CLASS_BITS = 15
-#: Probabilities that a model may hold, over all languages and orders.
+#: Numbers of word sums that an executor holds at most; the other words' sums are joined.
 CELLS = 8_000_000
+#: Log-probabilities are added as whole numbers of this unit's inverse.
+UNIT = 1 << 20
 CALIBRATION_ROWS = 20_000
 REMEMBERED = 200_000
 #: A rejected text's entropy is this many times that of all but a thousandth of the calibration rows.
 SLACK = 2.0
 UNKNOWN = "und"
+#: Columns that scoring adds for a while.
+SUMS, REST, KEY, MORE = "langid_sums_", "langid_rest_", "langid_key_", "langid_more_"
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -77,167 +82,218 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- counting
 
 
-def counted(rows: DataFrame, lang: str, text: str) -> DataFrame:
-    """(lang, gram, n): grams of the highest order over all rows."""
+def vocabulary(rows: DataFrame, lang: Column, text: str) -> DataFrame:
+    """(lang, word, n): how often each word stands in the texts of a language."""
+    rows = rows.select(lang.alias("lang"), F.col(text).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             for name, counts in words.items():
-                if not counts:
-                    continue
-                packed, starts = grams(list(counts))
-                each = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), np.diff([*starts, len(packed)]))
-                keys, at = np.unique(packed, return_inverse=True)
-                n = np.bincount(at, weights=each).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
+                found = list(counts)
+                for at in range(0, len(found), 10_000):
+                    part = found[at : at + 10_000]
+                    columns = [pa.array([name] * len(part), pa.string()), pa.array(part, pa.string()), pa.array([counts[w] for w in part], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
             words.clear()
 
         for batch in batches:
-            for part in slices(batch, text):
-                for name, doc in zip(part.column(lang).to_pylist(), texts(part, text), strict=True):
+            for part in slices(batch, "text"):
+                for name, doc in zip(part.column("lang").to_pylist(), texts(part, "text"), strict=True):
                     words.setdefault(name, Counter()).update(WORD.findall(doc.lower()))
                 if sum(map(len, words.values())) > REMEMBERED:
                     yield from flush()
         yield from flush()
 
-    partial = rows.select(lang, text).mapInArrow(count, "lang string, gram long, n long")
-    return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    partial = rows.mapInArrow(count, "lang string, word string, n long")
+    return partial.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def lower_order(higher: DataFrame, order: int) -> DataFrame:
-    """Continuation counts: how many different symbols stand before each shorter gram."""
-    short = F.col("gram").bitwiseAND(F.lit((1 << (CLASS_BITS * order)) - 1))
-    return higher.groupBy("lang", short.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+def with_grams(words: DataFrame) -> DataFrame:
+    """``words`` with the packed grams of each ``word``'s symbols as ``grams``."""
+    schema = T.StructType([*words.schema.fields, T.StructField("grams", T.ArrayType(T.LongType()))])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "word"):
+                packed, starts = grams(part.column("word").to_pylist())
+                listed = pa.ListArray.from_arrays(pa.array([*starts, len(packed)], pa.int32()), pa.array(packed, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*part.columns, listed], names=schema.names)
+
+    return words.mapInArrow(work, schema)
+
 
+def low(gram: str, order: int) -> Column:
+    """The last ``order`` symbols of a gram."""
+    return F.col(gram).bitwiseAND(F.lit((1 << (CLASS_BITS * order)) - 1))
 
-def bounded(counts: DataFrame, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The counts with the lowest powers of two cut off so far that they fit: languages, grams, counts."""
-    level = F.floor(F.log2("n")).cast("int")
-    sizes = {r["level"]: r["rows"] for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()}
-    least, total = 0, sum(sizes.values())
-    while total > cells:
-        total -= sizes.get(least, 0)
-        least += 1
-    found = counts.filter(F.col("n") >= 1 << least).toPandas()
-    return found["lang"].to_numpy(str), found["gram"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+
+def lower_order(higher: DataFrame, order: int) -> DataFrame:
+    """Continuation counts: how many different symbols stand before each shorter gram."""
+    return higher.groupBy("k", low("gram", order).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------- the model
 
 
 class Model:
-    """Per order from 1: sorted grams, log-probabilities; sorted contexts, logs of what they pass down."""
+    """Per order from 1, as written tables of all grams: (gram, p) and (context, passed).
+
+    ``p`` maps a language's number to the log-probability of the gram's last symbol,
+    ``passed`` to the log of what the context leaves to the next lower order.
+    """
 
-    def __init__(self, languages: list[str], grams_, scores, contexts, passed):
-        self.languages, self.grams, self.scores, self.contexts, self.passed = languages, grams_, scores, contexts, passed
-        self.floor = -CLASS_BITS * np.log(2)
+    def __init__(self, languages: list[str]):
+        self.languages = languages
+        self.grams: dict[int, DataFrame] = {}
+        self.contexts: dict[int, DataFrame] = {}
+        self.floor = -CLASS_BITS * float(np.log(2))
         #: Set by calibration: temperature, least score, and the highest entropy of each language.
         self.heat, self.least = 1.0, 0.0
         self.most = np.full(len(languages), np.inf)
 
+    def scored(self, wanted: DataFrame, order: int = ORDER) -> DataFrame:
+        """(gram, scores): log-probability by language of each different gram's last symbol after the ones before it."""
+        floor = F.array(*[F.lit(self.floor)] * len(self.languages))
+        if order == 1:
+            with_lower = wanted.withColumn("lower", floor)
+        else:
+            short = wanted.select(low("gram", order - 1).alias("gram")).distinct()
+            lower = self.scored(short, order - 1).select(F.col("gram").alias("short"), F.col("scores").alias("lower"))
+            with_lower = wanted.withColumn("short", low("gram", order - 1)).join(lower, "short")
+        joined = (
+            with_lower.withColumn("context", F.shiftright("gram", CLASS_BITS))
+            .join(self.grams[order], "gram", "left").join(self.contexts[order], "context", "left")
+        )
+        passed = lambda v, k: F.coalesce(F.col("p")[k], v + F.coalesce(F.col("passed")[k], F.lit(0.0)))
+        return joined.select("gram", F.transform("lower", passed).alias("scores"))
+
     def symbol_scores(self, packed: np.ndarray, order: int) -> np.ndarray:
-        """Log-probability by language of each gram's last symbol after the ones before it."""
-        if order == 0:
-            return np.full((len(packed), len(self.languages)), self.floor, dtype=np.float32)
-        keys = packed & ((1 << (CLASS_BITS * order)) - 1)
-        at, known = _find(self.grams[order], keys)
-        out = self.scores[order][at] if len(self.grams[order]) else np.zeros((len(keys), len(self.languages)), np.float32)
-        rest = np.flatnonzero(~known)
-        if len(rest):
-            out[rest] = self.symbol_scores(packed[rest], order - 1)
-            at, seen = _find(self.contexts[order], keys[rest] >> CLASS_BITS)
-            out[rest[seen]] += self.passed[order][at[seen]]
+        """The same for a few grams, on the driver."""
+        rows = []
+        for o in range(1, order + 1):
+            keys = np.unique(packed & ((1 << (CLASS_BITS * o)) - 1))
+            rows.append(self.grams[o].filter(F.col("gram").isin(keys.tolist())).select(F.lit(o).alias("o"), F.lit("p").alias("what"), F.col("gram").alias("key"), F.col("p").alias("by")))
+            rows.append(self.contexts[o].filter(F.col("context").isin(np.unique(keys >> CLASS_BITS).tolist())).select(F.lit(o), F.lit("c"), "context", "passed"))
+        out = np.full((len(packed), len(self.languages)), self.floor)
+        if not rows:
+            return out
+        found = {(r["o"], r["what"], r["key"]): r["by"] for r in reduce(DataFrame.unionAll, rows).collect()}
+        for scores, gram in zip(out, packed.tolist(), strict=True):
+            for o in range(1, order + 1):
+                gram_o = gram & ((1 << (CLASS_BITS * o)) - 1)
+                for k, x in found.get((o, "c", gram_o >> CLASS_BITS), {}).items():
+                    scores[k] += x
+                for k, x in found.get((o, "p", gram_o), {}).items():
+                    scores[k] = x
         return out
 
 
-def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of keys in a sorted table, and whether they are there."""
-    if not len(table):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
+def build(languages: list[str], highest: DataFrame) -> Model:
+    """Interpolated Kneser-Ney from the counts (k, gram, n) of all grams of the highest order."""
+    model = Model(languages)
+    if not languages:
+        return model
+    counts = {ORDER: highest}
+    for order in range(ORDER - 1, 0, -1):
+        counts[order] = written(lower_order(counts[order + 1], order), f"grams-{order}")
+    # per order and language: how many grams were counted once and twice
+    few = [t.filter("n <= 2").select(F.lit(o).alias("o"), "k", "n") for o, t in counts.items()]
+    seen = {(r["o"], r["k"], r["n"]): r["rows"] for r in reduce(DataFrame.unionAll, few).groupBy("o", "k", "n").agg(F.count(F.lit(1)).alias("rows")).collect()}
+
+    def discount(order: int, k: int) -> float:
+        ones, twos = (seen.get((order, k, n), 0) for n in (1, 2))
+        return min(max(ones / (ones + 2 * twos), 0.1), 0.9) if ones + twos else 0.5
 
+    def by_language(key: str, value: str) -> Column:
+        return F.map_from_entries(F.collect_list(F.struct("k", F.log(value).alias("v")))).alias(key)
 
-def build(languages: list[str], counts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
-    """Interpolated Kneser-Ney from counts by order (language, gram, count)."""
-    empty = np.zeros(0, np.int64)
-    model = Model(languages, {0: empty}, {0: None}, {0: empty}, {0: None})
     for order in range(1, ORDER + 1):
-        names, keys, n = counts[order]
-        all_keys = np.unique(keys)
-        all_contexts = np.unique(all_keys >> CLASS_BITS)
-        model.grams[order], model.contexts[order] = empty, empty
-        lower = model.symbol_scores(all_keys, order - 1)
-        scores = np.zeros((len(all_keys), len(languages)), dtype=np.float32)
-        passed = np.zeros((len(all_contexts), len(languages)), dtype=np.float32)
-        for k, name in enumerate(languages):
-            own = names == name
-            key, count = keys[own], n[own].astype(np.float64)
-            ones, twos = (count == 1).sum(), (count == 2).sum()
-            discount = min(max(ones / (ones + 2 * twos), 0.1), 0.9) if ones + twos else 0.5
-            full = np.zeros(len(all_keys))
-            full[np.searchsorted(all_keys, key)] = count
-            context = np.searchsorted(all_contexts, all_keys >> CLASS_BITS)
-            total = np.bincount(context, weights=full, minlength=len(all_contexts))
-            kinds = np.bincount(context, weights=full > 0, minlength=len(all_contexts))
-            share = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)
-            p = np.maximum(full - discount, 0) / np.maximum(total, 1)[context] + share[context] * np.exp(lower[:, k])
-            scores[:, k] = np.log(p)
-            passed[:, k] = np.log(share)
-        model.grams[order], model.scores[order] = all_keys, scores
-        model.contexts[order], model.passed[order] = all_contexts, passed
+        off = F.array(*(F.lit(float(discount(order, k))) for k in range(len(languages))))[F.col("k")]
+        context = F.shiftright("gram", CLASS_BITS).alias("context")
+        totals = counts[order].groupBy("k", context).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        shares = written(totals.withColumn("share", off * F.col("kinds") / F.col("total")), f"contexts-{order}")
+        each = counts[order].select("k", "gram", "n", context, low("gram", order - 1).alias("short")).join(shares, ["k", "context"])
+        if order == 1:
+            each = each.withColumn("below", F.lit(float(np.exp(model.floor))))
+        else:
+            lower = model.grams[order - 1].select(F.col("gram").alias("short"), F.explode("p").alias("k", "v"))
+            each = each.join(lower, ["k", "short"]).withColumn("below", F.exp("v"))
+        p = F.greatest(F.col("n") - off, F.lit(0.0)) / F.col("total") + F.col("share") * F.col("below")
+        model.grams[order] = written(each.select("k", "gram", p.alias("each")).groupBy("gram").agg(by_language("p", "each")), f"model-{order}")
+        model.contexts[order] = written(shares.groupBy("context").agg(by_language("passed", "share")), f"passed-{order}")
     return model
 
 
-class Scorer:
-    """Sums of log-probabilities by text; remembers a bounded number of words."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.rows = np.zeros((0, len(self.model.languages) + 2), dtype=np.float32)
-
-    def _learn(self, new: list[str]) -> None:
-        packed, starts = grams(new)
-        step = max(1, 4_000_000 // max(1, len(self.model.languages)))
-        symbols = np.concatenate([self.model.symbol_scores(packed[i : i + step], ORDER) for i in range(0, len(packed), step)])
-        sums = np.add.reduceat(symbols, starts, axis=0)
-        sizes = np.diff([*starts, len(packed)])
-        letters = np.add.reduceat((packed & ((1 << CLASS_BITS) - 1)) != 0, starts, dtype=np.int64)
-        self.place.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
-        self.rows = np.concatenate([self.rows, np.column_stack([sums, sizes, letters]).astype(np.float32)])
-
-    def entropies(self, docs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Cross-entropy per symbol by language, number of symbols, number of letters of each text."""
-        words = [WORD.findall(x.lower()) for x in docs]
-        if len(self.place) > REMEMBERED:
-            self._forget()
-        if new := list(set().union(*words).difference(self.place)):
-            self._learn(new)
-        ends = np.cumsum([0, *map(len, words)])
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64, ends[-1])
-        sums = np.zeros((len(docs), self.rows.shape[1]))
-        some = np.flatnonzero(np.diff(ends))
-        if len(some):
-            sums[some] = np.add.reduceat(self.rows[at], ends[:-1][some], axis=0, dtype=np.float64)
-        n = np.maximum(sums[:, -2], 1)
-        return -sums[:, :-2] / n[:, None], sums[:, -2], sums[:, -1]
-
-
-def judged(model: Model, entropy: np.ndarray, symbols: np.ndarray, letters: np.ndarray):
-    """Best language (-1 without letters), score, rejected."""
-    if not model.languages:
-        return np.full(len(symbols), -1), np.zeros(len(symbols)), np.ones(len(symbols), bool)
-    best = entropy.argmin(axis=1)
-    score = softmax(entropy, symbols, model.heat).max(axis=1)
-    lowest = entropy[np.arange(len(best)), best]
-    none = letters == 0
-    return np.where(none, -1, best), np.where(none, 0.0, score), none | (lowest > model.most[best]) | (score < model.least)
+# ---------------------------------------------------------------- scoring
+
+
+def word_sums(model: Model, words: DataFrame) -> DataFrame:
+    """(word, n, sums): the word's log-probabilities by language in units of 1 / ``UNIT``, its symbols, its letters."""
+    exploded = written(with_grams(words).select("word", "n", F.explode("grams").alias("gram")), "word-grams")
+    whole = F.transform("scores", lambda x: F.round(x * UNIT).cast("long"))
+    scored = model.scored(exploded.select("gram").distinct()).select("gram", whole.alias("scores"))
+    letter = (low("gram", 1) != 0).cast("long")
+    sums = [F.sum(F.col("scores")[k]) for k in range(len(model.languages))]
+    return exploded.join(scored, "gram").groupBy("word").agg(
+        F.max("n").alias("n"), F.array(*sums, F.count(F.lit(1)), F.sum(letter)).alias("sums")
+    )
+
+
+def with_sums(df: DataFrame, model: Model, text: str, words: DataFrame | None = None, held: int | None = None) -> DataFrame:
+    """``df`` with ``SUMS``: the sums of ``word_sums`` over each text's words.
+
+    Every executor holds the ``held`` words of most occurrences; the others of a text
+    meet their sums in a join, by the text's MD5.  Whole numbers are added, so that the
+    way a word takes cannot change a sum.  ``words``: (word, n), all words of the texts.
+    """
+    width = len(model.languages) + 2
+    held = min(REMEMBERED, CELLS // width) if held is None else held
+    if words is None:
+        words = written(vocabulary(df, F.lit(""), text).select("word", "n"), "words")
+    table = written(word_sums(model, words), "word-sums")
+    first = table.orderBy(F.desc("n"), "word").limit(held).select("word", "sums").toPandas()
+    matrix = np.stack(first["sums"].to_numpy()).astype(np.int64) if len(first) else np.zeros((0, width), np.int64)
+    shared = df.sparkSession.sparkContext.broadcast((dict(zip(first["word"].tolist(), range(len(first)), strict=True)), matrix))
+    kept = df.schema.fields
+    rest_type = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())]))
+    schema = T.StructType([*kept, T.StructField(SUMS, T.ArrayType(T.LongType())), T.StructField(REST, rest_type)])
+    arrow_rest = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, rows = shared.value
+        for batch in batches:
+            for part in slices(batch, text):
+                found, ends, rest = [], [0], []
+                for x in texts(part, text):
+                    at = list(map(place.get, own := WORD.findall(x.lower())))
+                    if None in at:
+                        others = Counter(w for w, k in zip(own, at, strict=True) if k is None)
+                        rest.append([{"word": w, "n": n} for w, n in others.items()])
+                        at = [k for k in at if k is not None]
+                    else:
+                        rest.append([])
+                    found.extend(at)
+                    ends.append(len(found))
+                sums = np.zeros((part.num_rows, width), dtype=np.int64)
+                some = np.flatnonzero(np.diff(ends))
+                if len(some):
+                    sums[some] = np.add.reduceat(rows[np.array(found, np.int64)], np.array(ends[:-1])[some], axis=0)
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1, dtype=np.int32) * width), pa.array(sums.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*part.columns, listed, pa.array(rest, arrow_rest)], names=schema.names)
+
+    read = df.mapInArrow(work, schema)
+    if len(first) < held:  # that is all words
+        return read.drop(REST)
+    left = read.filter(F.size(REST) > 0).withColumn(KEY, F.md5(F.col(text).cast("binary")))
+    # copies of a text have the same words; one of them is enough
+    tokens = left.select(KEY, F.explode(REST).alias("t")).select(KEY, "t.word", "t.n").dropDuplicates([KEY, "word"])
+    joined = tokens.join(table.select("word", "sums"), "word")
+    more = joined.groupBy(KEY).agg(F.array(*(F.sum(F.col("n") * F.col("sums")[k]) for k in range(width))).alias(MORE))
+    both = F.zip_with(SUMS, MORE, lambda x, y: x + y)
+    summed = left.drop(REST).join(more, KEY).withColumn(SUMS, both).drop(KEY, MORE)
+    return read.filter(F.size(REST) == 0).drop(REST).unionByName(summed)
 
 
 def softmax(entropy: np.ndarray, symbols: np.ndarray, heat: float) -> np.ndarray:
@@ -261,59 +317,47 @@ def calibrate(model: Model, lang: np.ndarray, entropy: np.ndarray, symbols: np.n
             model.most[k] = SLACK * np.quantile(own, 0.999)
 
 
-def trained(rows: DataFrame, lang: str = "lang", text: str = "text", cells: int = CELLS) -> Model:
+def trained(rows: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     """A model of all rows whose ``lang`` is not null."""
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL")
-    counts = {ORDER: written(counted(rows, "lang", "text"), "grams")}
-    for order in range(ORDER - 1, 0, -1):
-        counts[order] = lower_order(counts[order + 1], order)
-    names = sorted(r["lang"] for r in counts[ORDER].select("lang").distinct().collect())
-    share = cells // max(1, ORDER * len(names))
-    model = build(names, {order: bounded(table, share) for order, table in counts.items()})
+    words = written(vocabulary(rows, F.col("lang"), "text"), "words")
+    names = sorted(r["lang"] for r in words.select("lang").distinct().collect())
     if not names:
-        return model
+        return Model(names)
+    number = F.create_map(*chain.from_iterable((F.lit(x), F.lit(k)) for k, x in enumerate(names)))
+    numbered = with_grams(words).select(number[F.col("lang")].alias("k"), "n", F.explode("grams").alias("gram"))
+    model = build(names, written(numbered.groupBy("k", "gram").agg(F.sum("n").alias("n")), f"grams-{ORDER}"))
     total = rows.count()
     sample = rows.sample(min(1.0, CALIBRATION_ROWS / max(total, 1)), seed=7)
-    seen = _scored(sample, model, "text", ["entropy", "symbols", "letters"]).filter("letters > 0").select("lang", "entropy", "symbols").toPandas()
-    if len(seen):
-        calibrate(model, seen["lang"].to_numpy(str), np.stack(seen["entropy"].to_numpy()), seen["symbols"].to_numpy())
+    all_words = words.groupBy("word").agg(F.sum("n").alias("n"))
+    seen = with_sums(sample, model, "text", all_words).select("lang", SUMS).toPandas()
+    sums = np.stack(seen[SUMS].to_numpy()).astype(np.float64) if len(seen) else np.zeros((0, len(names) + 2))
+    some = sums[:, -1] > 0
+    if some.any():
+        sums = sums[some]
+        calibrate(model, seen["lang"].to_numpy(str)[some], -sums[:, :-2] / UNIT / sums[:, -2:-1], sums[:, -2])
     return model
 
 
-NEW = {
-    "lang_pred": T.StringType(), "score": T.DoubleType(), "rejected": T.BooleanType(),
-    "entropy": T.ArrayType(T.DoubleType()), "symbols": T.DoubleType(), "letters": T.DoubleType(),
-}
-
-
-def _scored(df: DataFrame, model: Model, text: str, out: list[str]) -> DataFrame:
-    kept = [f for f in df.schema.fields if f.name not in out]
-    schema = T.StructType([*kept, *(T.StructField(c, NEW[c]) for c in out)])
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    names = np.array([*model.languages, UNKNOWN], dtype=object)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            for part in slices(batch, text):
-                entropy, symbols, letters = scorer.entropies(texts(part, text))
-                best, score, rejected = judged(shared.value, entropy, symbols, letters)
-                made = {
-                    "lang_pred": lambda: pa.array(names[best], pa.string()),
-                    "score": lambda: pa.array(score.astype(np.float64)),
-                    "rejected": lambda: pa.array(rejected),
-                    "entropy": lambda: pa.array(list(entropy), pa.list_(pa.float64())),
-                    "symbols": lambda: pa.array(symbols),
-                    "letters": lambda: pa.array(letters),
-                }
-                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), *(made[c]() for c in out)], names=schema.names)
-
-    return df.mapInArrow(work, schema)
-
-
-def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def predict(df: DataFrame, model: Model, text: str = "text", held: int | None = None) -> DataFrame:
     """``df`` with ``lang_pred``, ``score`` and ``rejected``, which replace columns of these names."""
-    return _scored(df, model, text, ["lang_pred", "score", "rejected"])
+    df = df.drop("lang_pred", "score", "rejected")
+    if not model.languages:
+        return df.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "rejected": F.lit(True)})
+    scored = with_sums(df, model, text, held=held)
+    n = len(model.languages)
+    sums, symbols = F.slice(SUMS, 1, n), F.greatest(F.col(SUMS)[n], F.lit(1)).cast("double")
+    most, none = F.array_max(sums), F.col(SUMS)[n + 1] == 0
+    best = F.array_position(sums, most).cast("int") - 1
+    # a softmax of entropies times the root of the number of symbols
+    shares = F.transform(sums, lambda x: F.exp((x - most) / UNIT / symbols * model.heat * F.sqrt(symbols)))
+    score = 1 / F.aggregate(shares, F.lit(0.0), lambda x, y: x + y)
+    highest = F.array(*(F.lit(float(x)) for x in model.most))[best]
+    return scored.withColumns({
+        "lang_pred": F.when(none, UNKNOWN).otherwise(F.array(*map(F.lit, model.languages))[best]),
+        "score": F.when(none, 0.0).otherwise(score),
+        "rejected": none | (-most / UNIT / symbols > highest) | (score < model.least),
+    }).drop(SUMS)
 
 
 def remainder(key: str, divisor: int) -> Column:

@@ -67,3 +67,21 @@ def test_one_language_and_repeats(spark):
     frame = spark.createDataFrame([("xx", "some words here"), ("xx", "some words here"), (None, "y")], "lang string, text string")
     model = langid.trained(frame)
     assert {r["lang_pred"] for r in langid.predict(frame, model).collect()} == {"xx"}
+
+
+def test_no_gram_is_cut(spark):
+    """Grams counted once keep their probability, however many languages and grams there are."""
+    draw = np.random.default_rng(5)
+    rows = [(f"l{k:03}", " ".join("".join(chr(c) for c in draw.integers(97, 123, size=8)) for _ in range(12))) for k in range(150)]
+    model = langid.trained(spark.createDataFrame([("aa", "quip"), *rows], "lang string, text string"))
+    packed, _ = langid.grams(["quip"])
+    highest, lower = (np.exp(model.symbol_scores(packed[3:4], order)[0, 0]) for order in (langid.ORDER, langid.ORDER - 1))
+    # one count, the largest discount, one continuation of the context
+    assert highest == pytest.approx(0.1 + 0.9 * lower, rel=1e-3) and highest > 1.01 * lower
+
+
+def test_words_joined_give_the_same_sums(spark, model):
+    rows = [(1, "the cat and the dog, the end"), (1, "the cat and the dog, the end"), (2, "el perro y el gato"), (3, None), (None, "zzyzx")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda found: sorted(map(str, found.collect()))
+    assert key(langid.predict(frame, model)) == key(langid.predict(frame, model, held=2)) == key(langid.predict(frame, model, held=0))
