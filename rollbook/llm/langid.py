@@ -9,14 +9,14 @@ in Spark; lower orders count distinct continuations, as Kneser and Ney have it.
 The model keeps, per order, written tables of all languages' grams with their
 log-probabilities, and of contexts with what they leave to the next lower order.
 Discounts, totals and kinds are counted in Spark over all grams; nothing is cut off and
-the tables are never collected.  The different words of the texts to judge meet them in
-joins; executors hold the most frequent words' sums, the other words' are joined.
+the tables are never collected.  The different grams of the texts to judge meet them in
+joins; executors hold the most frequent grams' scores, the other grams' are joined.
 
 A text gets the language of lowest cross-entropy per symbol.  Its score is a softmax of
 these entropies times the root of the number of symbols, with a temperature fitted on
-a drawn sample of about ``CALIBRATION_ROWS`` training rows at most.  ``rejected`` marks
-texts without letters (``und``, score 0), texts whose entropy is ``SLACK`` times that of
-nearly all calibration rows of the language, and texts whose score is below theirs.
+all training rows.  ``rejected`` marks texts without letters (``und``, score 0), texts
+whose entropy is ``SLACK`` times that of nearly all training rows of the language, and
+texts whose score is below theirs.
 
 Null and empty texts are ``und``.  Without training rows every text is.  Ties go to the
 language first by name.  Repeated rows count as often as they stand there.
@@ -41,13 +41,14 @@ from rollbook.llm.storage import written
 
 ORDER = 4
 CLASS_BITS = 15
-#: Numbers of word sums that an executor holds at most; the other words' sums are joined.
+#: Scores that an executor holds at most, over all languages; the other grams' scores are joined.
 CELLS = 8_000_000
 #: Log-probabilities are added as whole numbers of this unit's inverse.
 UNIT = 1 << 20
-CALIBRATION_ROWS = 20_000
+#: Quantiles of all training rows are right to this part of their number.
+ACCURACY = 100_000
 REMEMBERED = 200_000
-#: A rejected text's entropy is this many times that of all but a thousandth of the calibration rows.
+#: A rejected text's entropy is this many times that of all but a thousandth of the training rows.
 SLACK = 2.0
 UNKNOWN = "und"
 #: Columns that scoring adds for a while.
@@ -82,8 +83,8 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- counting
 
 
-def vocabulary(rows: DataFrame, lang: Column, text: str) -> DataFrame:
-    """(lang, word, n): how often each word stands in the texts of a language."""
+def counted(rows: DataFrame, lang: Column, text: str) -> DataFrame:
+    """(lang, gram, n): grams of the highest order over all rows."""
     rows = rows.select(lang.alias("lang"), F.col(text).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,11 +92,13 @@ def vocabulary(rows: DataFrame, lang: Column, text: str) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             for name, counts in words.items():
-                found = list(counts)
-                for at in range(0, len(found), 10_000):
-                    part = found[at : at + 10_000]
-                    columns = [pa.array([name] * len(part), pa.string()), pa.array(part, pa.string()), pa.array([counts[w] for w in part], pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
+                if not counts:
+                    continue
+                packed, starts = grams(list(counts))
+                each = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), np.diff([*starts, len(packed)]))
+                keys, at = np.unique(packed, return_inverse=True)
+                n = np.bincount(at, weights=each).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
             words.clear()
 
         for batch in batches:
@@ -106,22 +109,8 @@ def vocabulary(rows: DataFrame, lang: Column, text: str) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    partial = rows.mapInArrow(count, "lang string, word string, n long")
-    return partial.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-
-
-def with_grams(words: DataFrame) -> DataFrame:
-    """``words`` with the packed grams of each ``word``'s symbols as ``grams``."""
-    schema = T.StructType([*words.schema.fields, T.StructField("grams", T.ArrayType(T.LongType()))])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "word"):
-                packed, starts = grams(part.column("word").to_pylist())
-                listed = pa.ListArray.from_arrays(pa.array([*starts, len(packed)], pa.int32()), pa.array(packed, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*part.columns, listed], names=schema.names)
-
-    return words.mapInArrow(work, schema)
+    partial = rows.mapInArrow(count, "lang string, gram long, n long")
+    return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def low(gram: str, order: int) -> Column:
@@ -154,7 +143,7 @@ class Model:
         self.most = np.full(len(languages), np.inf)
 
     def scored(self, wanted: DataFrame, order: int = ORDER) -> DataFrame:
-        """(gram, scores): log-probability by language of each different gram's last symbol after the ones before it."""
+        """``wanted`` (different grams) with ``scores``: by language, the log-probability of the last symbol after the others."""
         floor = F.array(*[F.lit(self.floor)] * len(self.languages))
         if order == 1:
             with_lower = wanted.withColumn("lower", floor)
@@ -167,7 +156,7 @@ class Model:
             .join(self.grams[order], "gram", "left").join(self.contexts[order], "context", "left")
         )
         passed = lambda v, k: F.coalesce(F.col("p")[k], v + F.coalesce(F.col("passed")[k], F.lit(0.0)))
-        return joined.select("gram", F.transform("lower", passed).alias("scores"))
+        return joined.select(*wanted.columns, F.transform("lower", passed).alias("scores"))
 
     def symbol_scores(self, packed: np.ndarray, order: int) -> np.ndarray:
         """The same for a few grams, on the driver."""
@@ -190,6 +179,14 @@ class Model:
         return out
 
 
+def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of keys in a sorted table, and whether they are there."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return at, table[at] == keys
+
+
 def build(languages: list[str], highest: DataFrame) -> Model:
     """Interpolated Kneser-Ney from the counts (k, gram, n) of all grams of the highest order."""
     model = Model(languages)
@@ -229,113 +226,132 @@ def build(languages: list[str], highest: DataFrame) -> Model:
 # ---------------------------------------------------------------- scoring
 
 
-def word_sums(model: Model, words: DataFrame) -> DataFrame:
-    """(word, n, sums): the word's log-probabilities by language in units of 1 / ``UNIT``, its symbols, its letters."""
-    exploded = written(with_grams(words).select("word", "n", F.explode("grams").alias("gram")), "word-grams")
-    whole = F.transform("scores", lambda x: F.round(x * UNIT).cast("long"))
-    scored = model.scored(exploded.select("gram").distinct()).select("gram", whole.alias("scores"))
-    letter = (low("gram", 1) != 0).cast("long")
-    sums = [F.sum(F.col("scores")[k]) for k in range(len(model.languages))]
-    return exploded.join(scored, "gram").groupBy("word").agg(
-        F.max("n").alias("n"), F.array(*sums, F.count(F.lit(1)), F.sum(letter)).alias("sums")
-    )
-
-
-def with_sums(df: DataFrame, model: Model, text: str, words: DataFrame | None = None, held: int | None = None) -> DataFrame:
-    """``df`` with ``SUMS``: the sums of ``word_sums`` over each text's words.
-
-    Every executor holds the ``held`` words of most occurrences; the others of a text
-    meet their sums in a join, by the text's MD5.  Whole numbers are added, so that the
-    way a word takes cannot change a sum.  ``words``: (word, n), all words of the texts.
+class Scorer:
+    """Sums over texts' words of what grams score; remembers a bounded number of words."""
+
+    def __init__(self, keys: np.ndarray, scores: np.ndarray):
+        self.keys, self.scores = keys, scores
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.open: dict[str, list[int]] = {}
+        self.rows = np.zeros((0, self.scores.shape[1] + 2), dtype=np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        packed, starts = grams(new)
+        at, known = _find(self.keys, packed)
+        each = np.zeros((len(packed), self.rows.shape[1]), dtype=np.int64)
+        each[known, :-2] = self.scores[at[known]]
+        each[:, -2], each[:, -1] = 1, (packed & ((1 << CLASS_BITS) - 1)) != 0
+        if not known.all():
+            word = np.searchsorted(starts, np.flatnonzero(~known), side="right") - 1
+            for k, gram in zip(word.tolist(), packed[~known].tolist(), strict=True):
+                self.open.setdefault(new[k], []).append(gram)
+        self.place.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
+        self.rows = np.concatenate([self.rows, np.add.reduceat(each, starts, axis=0)])
+
+    def sums(self, docs: list[str]) -> tuple[np.ndarray, list[Counter]]:
+        """Of each text: scores by language, symbols, letters; and how often it has each gram that is not held."""
+        words = [WORD.findall(x.lower()) for x in docs]
+        if len(self.place) > REMEMBERED:
+            self._forget()
+        if new := list(set().union(*words).difference(self.place)):
+            self._learn(new)
+        ends = np.cumsum([0, *map(len, words)])
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64, ends[-1])
+        out = np.zeros((len(docs), self.rows.shape[1]), dtype=np.int64)
+        some = np.flatnonzero(np.diff(ends))
+        if len(some):
+            out[some] = np.add.reduceat(self.rows[at], ends[:-1][some], axis=0)
+        if not self.open:
+            return out, [Counter()] * len(docs)
+        return out, [Counter(chain.from_iterable(self.open.get(w, ()) for w in own)) for own in words]
+
+
+def with_sums(df: DataFrame, model: Model, text: str, wanted: DataFrame | None = None, held: int | None = None) -> DataFrame:
+    """``df`` with ``SUMS``: by language the sum of log-probabilities in units of 1 / ``UNIT``, then symbols, letters.
+
+    Every executor holds the ``held`` grams of most occurrences; the others of a text meet
+    their scores in a join, by the text's MD5.  Whole numbers are added, so that the way
+    a gram takes cannot change a sum.  ``wanted``: (gram, n), all grams of the texts.
     """
-    width = len(model.languages) + 2
-    held = min(REMEMBERED, CELLS // width) if held is None else held
-    if words is None:
-        words = written(vocabulary(df, F.lit(""), text).select("word", "n"), "words")
-    table = written(word_sums(model, words), "word-sums")
-    first = table.orderBy(F.desc("n"), "word").limit(held).select("word", "sums").toPandas()
-    matrix = np.stack(first["sums"].to_numpy()).astype(np.int64) if len(first) else np.zeros((0, width), np.int64)
-    shared = df.sparkSession.sparkContext.broadcast((dict(zip(first["word"].tolist(), range(len(first)), strict=True)), matrix))
-    kept = df.schema.fields
-    rest_type = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())]))
-    schema = T.StructType([*kept, T.StructField(SUMS, T.ArrayType(T.LongType())), T.StructField(REST, rest_type)])
-    arrow_rest = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+    n = len(model.languages)
+    held = CELLS // n if held is None else held
+    if wanted is None:
+        wanted = written(counted(df, F.lit(""), text).select("gram", "n"), "wanted")
+    whole = F.transform("scores", lambda x: F.round(x * UNIT).cast("long"))
+    table = written(model.scored(wanted).select("gram", "n", whole.alias("scores")), "gram-scores")
+    first = table.orderBy(F.desc("n"), "gram").limit(held).select("gram", "scores").toArrow().combine_chunks()
+    keys = first.column("gram").to_numpy()
+    scores = first.column("scores").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+    order = np.argsort(keys)
+    shared = df.sparkSession.sparkContext.broadcast((keys[order], scores[order].astype(np.int64)))
+    rest_type = T.ArrayType(T.StructType([T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())]))
+    schema = T.StructType([*df.schema.fields, T.StructField(SUMS, T.ArrayType(T.LongType())), T.StructField(REST, rest_type)])
+    arrow_rest = pa.list_(pa.struct([("gram", pa.int64()), ("n", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, rows = shared.value
+        scorer = Scorer(*shared.value)
         for batch in batches:
             for part in slices(batch, text):
-                found, ends, rest = [], [0], []
-                for x in texts(part, text):
-                    at = list(map(place.get, own := WORD.findall(x.lower())))
-                    if None in at:
-                        others = Counter(w for w, k in zip(own, at, strict=True) if k is None)
-                        rest.append([{"word": w, "n": n} for w, n in others.items()])
-                        at = [k for k in at if k is not None]
-                    else:
-                        rest.append([])
-                    found.extend(at)
-                    ends.append(len(found))
-                sums = np.zeros((part.num_rows, width), dtype=np.int64)
-                some = np.flatnonzero(np.diff(ends))
-                if len(some):
-                    sums[some] = np.add.reduceat(rows[np.array(found, np.int64)], np.array(ends[:-1])[some], axis=0)
-                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1, dtype=np.int32) * width), pa.array(sums.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([*part.columns, listed, pa.array(rest, arrow_rest)], names=schema.names)
+                sums, rest = scorer.sums(texts(part, text))
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1, dtype=np.int32) * (n + 2)), pa.array(sums.reshape(-1)))
+                others = pa.array([[{"gram": g, "n": c} for g, c in x.items()] for x in rest], arrow_rest)
+                yield pa.RecordBatch.from_arrays([*part.columns, listed, others], names=schema.names)
 
     read = df.mapInArrow(work, schema)
-    if len(first) < held:  # that is all words
+    if len(keys) < held:  # that is all grams
         return read.drop(REST)
     left = read.filter(F.size(REST) > 0).withColumn(KEY, F.md5(F.col(text).cast("binary")))
-    # copies of a text have the same words; one of them is enough
-    tokens = left.select(KEY, F.explode(REST).alias("t")).select(KEY, "t.word", "t.n").dropDuplicates([KEY, "word"])
-    joined = tokens.join(table.select("word", "sums"), "word")
-    more = joined.groupBy(KEY).agg(F.array(*(F.sum(F.col("n") * F.col("sums")[k]) for k in range(width))).alias(MORE))
-    both = F.zip_with(SUMS, MORE, lambda x, y: x + y)
+    # copies of a text have the same grams; one of them is enough
+    tokens = left.select(KEY, F.explode(REST).alias("t")).select(KEY, "t.*").dropDuplicates([KEY, "gram"])
+    joined = tokens.join(table.select("gram", "scores"), "gram")
+    more = joined.groupBy(KEY).agg(F.array(*(F.sum(F.col("n") * F.col("scores")[k]) for k in range(n))).alias(MORE))
+    both = F.zip_with(SUMS, MORE, lambda x, y: x + F.coalesce(y, F.lit(0)))
     summed = left.drop(REST).join(more, KEY).withColumn(SUMS, both).drop(KEY, MORE)
     return read.filter(F.size(REST) == 0).drop(REST).unionByName(summed)
 
 
-def softmax(entropy: np.ndarray, symbols: np.ndarray, heat: float) -> np.ndarray:
-    x = -(entropy - entropy.min(axis=1, keepdims=True)) * (heat * np.sqrt(np.maximum(symbols, 1)))[:, None]
-    p = np.exp(x)
-    return p / p.sum(axis=1, keepdims=True)
+def confidence(sums: Column, symbols: Column, heat: float) -> Column:
+    """By language: a softmax of entropies times the root of the number of symbols."""
+    x = F.transform(sums, lambda x: F.exp((x - F.array_max(sums)) / UNIT / symbols * heat * F.sqrt(symbols)))
+    total = F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
+    return F.transform(x, lambda v: v / total)
 
 
-def calibrate(model: Model, lang: np.ndarray, entropy: np.ndarray, symbols: np.ndarray) -> None:
-    """The lowest temperature of nearly least log-loss, and which entropies and scores training rows have."""
-    true = np.array([model.languages.index(x) for x in lang], dtype=np.int64)
-    each = np.arange(len(true))
+def calibrate(model: Model, scored: DataFrame) -> None:
+    """The lowest temperature of nearly least log-loss, and which entropies and scores training rows (k, SUMS) have."""
+    n = len(model.languages)
+    rows = scored.filter(F.col(SUMS)[n + 1] > 0).select("k", F.slice(SUMS, 1, n).alias("sums"), F.col(SUMS)[n].cast("double").alias("symbols"))
+    rows = written(rows, "calibration")
     heats = 2.0 ** np.arange(-4, 7)
-    losses = [-np.log(np.maximum(softmax(entropy, symbols, h)[each, true], 1e-6)).mean() for h in heats]
-    model.heat = float(heats[int(np.argmax(np.array(losses) <= min(losses) + 1e-3))])
-    score = softmax(entropy, symbols, model.heat).max(axis=1)
-    model.least = float(min(np.quantile(score, 0.001), 1.5 / max(len(model.languages), 2)))
-    for k in range(len(model.languages)):
-        own = entropy[true == k, k]
-        if len(own):
-            model.most[k] = SLACK * np.quantile(own, 0.999)
+    loss = [-F.log(F.greatest(confidence(F.col("sums"), F.col("symbols"), float(h))[F.col("k")], F.lit(1e-6))) for h in heats]
+    # whole numbers, so that the order of adding cannot change the choice
+    found = rows.agg(F.count(F.lit(1)), *(F.sum(F.round(x * UNIT).cast("long")) for x in loss)).first()
+    if not found[0]:
+        return
+    losses = np.array(found[1:], dtype=np.float64) / UNIT / found[0]
+    model.heat = float(heats[int(np.argmax(losses <= losses.min() + 1e-3))])
+    score = F.array_max(confidence(F.col("sums"), F.col("symbols"), model.heat))
+    least = rows.agg(F.percentile_approx(score, 0.001, ACCURACY)).first()[0]
+    model.least = float(min(least, 1.5 / max(n, 2)))
+    own = -F.col("sums")[F.col("k")] / UNIT / F.col("symbols")
+    for r in rows.groupBy("k").agg(F.percentile_approx(own, 0.999, ACCURACY).alias("most")).collect():
+        model.most[r["k"]] = SLACK * r["most"]
 
 
 def trained(rows: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     """A model of all rows whose ``lang`` is not null."""
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL")
-    words = written(vocabulary(rows, F.col("lang"), "text"), "words")
-    names = sorted(r["lang"] for r in words.select("lang").distinct().collect())
+    found = written(counted(rows, F.col("lang"), "text"), f"grams-{ORDER}")
+    names = sorted(r["lang"] for r in found.select("lang").distinct().collect())
     if not names:
         return Model(names)
-    number = F.create_map(*chain.from_iterable((F.lit(x), F.lit(k)) for k, x in enumerate(names)))
-    numbered = with_grams(words).select(number[F.col("lang")].alias("k"), "n", F.explode("grams").alias("gram"))
-    model = build(names, written(numbered.groupBy("k", "gram").agg(F.sum("n").alias("n")), f"grams-{ORDER}"))
-    total = rows.count()
-    sample = rows.sample(min(1.0, CALIBRATION_ROWS / max(total, 1)), seed=7)
-    all_words = words.groupBy("word").agg(F.sum("n").alias("n"))
-    seen = with_sums(sample, model, "text", all_words).select("lang", SUMS).toPandas()
-    sums = np.stack(seen[SUMS].to_numpy()).astype(np.float64) if len(seen) else np.zeros((0, len(names) + 2))
-    some = sums[:, -1] > 0
-    if some.any():
-        sums = sums[some]
-        calibrate(model, seen["lang"].to_numpy(str)[some], -sums[:, :-2] / UNIT / sums[:, -2:-1], sums[:, -2])
+    number = F.create_map(*chain.from_iterable((F.lit(x), F.lit(k)) for k, x in enumerate(names)))[F.col("lang")].alias("k")
+    model = build(names, found.select(number, "gram", "n"))
+    wanted = written(found.groupBy("gram").agg(F.sum("n").alias("n")), "wanted")
+    calibrate(model, with_sums(rows.select(number, "text"), model, "text", wanted).select("k", SUMS))
     return model
 
 
@@ -349,9 +365,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", held: int | None =
     sums, symbols = F.slice(SUMS, 1, n), F.greatest(F.col(SUMS)[n], F.lit(1)).cast("double")
     most, none = F.array_max(sums), F.col(SUMS)[n + 1] == 0
     best = F.array_position(sums, most).cast("int") - 1
-    # a softmax of entropies times the root of the number of symbols
-    shares = F.transform(sums, lambda x: F.exp((x - most) / UNIT / symbols * model.heat * F.sqrt(symbols)))
-    score = 1 / F.aggregate(shares, F.lit(0.0), lambda x, y: x + y)
+    score = F.array_max(confidence(sums, symbols, model.heat))
     highest = F.array(*(F.lit(float(x)) for x in model.most))[best]
     return scored.withColumns({
         "lang_pred": F.when(none, UNKNOWN).otherwise(F.array(*map(F.lit, model.languages))[best]),

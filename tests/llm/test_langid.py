@@ -80,8 +80,16 @@ def test_no_gram_is_cut(spark):
     assert highest == pytest.approx(0.1 + 0.9 * lower, rel=1e-3) and highest > 1.01 * lower
 
 
-def test_words_joined_give_the_same_sums(spark, model):
+def test_grams_joined_give_the_same_sums(spark, model):
     rows = [(1, "the cat and the dog, the end"), (1, "the cat and the dog, the end"), (2, "el perro y el gato"), (3, None), (None, "zzyzx")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     key = lambda found: sorted(map(str, found.collect()))
     assert key(langid.predict(frame, model)) == key(langid.predict(frame, model, held=2)) == key(langid.predict(frame, model, held=0))
+
+
+def test_every_language_has_its_own_limit(spark):
+    """One row of 60,000 is enough for a language to have an entropy that it rejects from."""
+    lang = F.when(F.col("id") % 10_000 == 1, F.concat(F.lit("z"), (F.col("id") / 10_000).cast("int"))).otherwise("aa")
+    rows = spark.range(60_000).select(lang.alias("lang"), F.concat(F.lit("some words here "), F.col("lang")).alias("text"))
+    model = langid.trained(rows)
+    assert len(model.languages) == 7 and np.isfinite(model.most).all()
