@@ -7,7 +7,8 @@
 3. Every page is read again and its text taken from the elements of the first winning
    path that holds a fair part of what its own best container holds; a page where none
    does, or whose host has none, falls back on its own best container, and a page
-   without containers on its body.
+   without containers on its body.  What is taken inside an article element (or a main
+   element, without one) is widened to all of it.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments are left out by element, role, and words in class or id.  A block ends where a
@@ -202,6 +203,22 @@ def votes(page: str) -> list[tuple[str, float]]:
     return list(found.items())
 
 
+def widened(spans: list[tuple[int, int]], elements: list[Element]) -> list[tuple[int, int]]:
+    """Spans of blocks in an article element become all of the outermost one, else of the main element."""
+    found: list[tuple[int, int]] = []
+    for a, z in spans:
+        for tag in ("article", "main"):
+            around = next((e for e in elements if e.tag == tag and e.first <= a and z <= e.last), None)
+            if around:
+                a, z = around.first, around.last
+                break
+        if found and a < found[-1][1]:
+            a, z = min(a, found[-1][0]), max(z, found[-1][1])
+            found.pop()
+        found.append((a, z))
+    return found
+
+
 def main_text(page: str, winners: list[str]) -> str:
     blocks, elements = read(page)
     own = best_container(elements)
@@ -221,8 +238,8 @@ def main_text(page: str, winners: list[str]) -> str:
                 spans.append((e.first, e.last))
                 to = e.last
         if spans and sum(size[b] - size[a] for a, b in spans) >= max(enough, 1):
-            return "\n".join(b for a, z in spans for b in blocks[a:z])
-    return "\n".join(blocks[own.first : own.last])
+            return "\n".join(b for a, z in widened(spans, elements) for b in blocks[a:z])
+    return "\n".join(b for a, z in widened([(own.first, own.last)], elements) for b in blocks[a:z])
 
 
 def host(url: str) -> Column:

@@ -79,3 +79,10 @@ def test_supplied_pages(spark):
 @pytest.mark.parametrize("text", ["<" * 20_000, "<a " * 20_000, "<p \"" * 20_000, "<script " * 20_000, "&" * 50_000, "<div>" * 20_000 + "x"])
 def test_broken_pages_take_linear_time(text):
     pages.main_text(text, [])
+
+
+def test_sections_of_an_article_stay_together():
+    body = "<article><h1>head</h1><section class=intro><p>the first part</p></section><section class=body><p>the second and much longer part of it</p></section></article>"
+    whole = "head\nthe first part\nthe second and much longer part of it"
+    assert pages.main_text(page(body), []) == whole
+    assert pages.main_text(page(body), ["html/body/article/section.body"]) == whole
