@@ -11,7 +11,9 @@
    element, without one) is widened to all of it.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments are left out by element, role, and words in class or id.  A block ends where a
+comments are left out by element, role, and words in class or id; such words do not
+count on what holds an article or main element or, without one, most paragraph text, nor
+on a page that would be empty.  A block ends where a
 block-level element begins or ends; character references are decoded, white space
 becomes one space, blocks are joined by newlines.
 
@@ -73,6 +75,8 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Pages without such a word need no search for wrappers.
+HINT = re.compile("|".join(sorted(BOILERPLATE)), re.I)
 
 
 class Element:
@@ -89,8 +93,11 @@ def step(tag: str, classes: str) -> str:
     return ".".join([tag, *names[:4]])
 
 
-def marked(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    """Whether an element holds no article text. ``inside``: an article or main element is open."""
+def marked(tag: str, attributes: dict[str, str], inside: bool, words: bool = True) -> bool:
+    """Whether an element holds no article text. ``inside``: an article or main element is open.
+
+    ``words``: whether words of its class and id count.
+    """
     if tag in DROPPED or tag == "header" and not inside:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
@@ -100,11 +107,65 @@ def marked(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return any(word.lower() in BOILERPLATE for word in NAME.findall(names))
+    return words and any(word.lower() in BOILERPLATE for word in NAME.findall(names))
+
+
+def wrappers(page: str) -> set[int]:
+    """Where elements begin whose class or id words do not count: they hold an article or
+    main element or, on pages without one, most of the text of the paragraphs."""
+    found: set[int] = set()
+    stack: list[list] = []  # tag, where it begins, paragraph text before it, an article in it
+    total, at, paragraphs = 0, 0, 0
+    sizes: list[tuple[int, int]] = []
+
+    def close(upto: int) -> None:
+        nonlocal paragraphs
+        while len(stack) > upto:
+            tag, start, before, article = stack.pop()
+            paragraphs -= tag == "p"
+            if article:
+                found.add(start)
+                if stack:
+                    stack[-1][3] = True
+            sizes.append((start, total - before))
+
+    for m in TOKEN.finditer(page):
+        if paragraphs:
+            total += len(page[at : m.start()].strip())
+        at = m.end()
+        if m["tag"] is None:
+            continue
+        tag = m["tag"].lower()
+        if tag in INLINE or tag in VOID:
+            continue
+        if m["end"]:
+            if (k := next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), -1)) >= 0:
+                close(k)
+            continue
+        if stack and stack[-1][0] == "p":
+            close(len(stack) - 1)
+        if tag in ("article", "main"):
+            found.add(m.start())
+            if stack:
+                stack[-1][3] = True
+        paragraphs += tag == "p"
+        stack.append([tag, m.start(), total, False])
+    close(0)
+    if not found:
+        found.update(start for start, size in sizes if 2 * size > total)
+    return found
 
 
 def read(page: str) -> tuple[list[str], list[Element]]:
     """The blocks of text that are not left out, and all elements that are not."""
+    blocks, elements = _read(page, wrappers(page) if HINT.search(page) else set())
+    if not blocks:  # rather what its words mark than nothing
+        blocks, elements = _read(page, None)
+    return blocks, elements
+
+
+def _read(page: str, spared: set[int] | None) -> tuple[list[str], list[Element]]:
+    """``spared``: where elements begin whose words do not count; None: nowhere do they."""
     blocks: list[str] = []
     elements: list[Element] = []
     stack: list[Element] = [Element("", (), False, 0)]
@@ -174,7 +235,7 @@ def read(page: str) -> tuple[list[str], list[Element]]:
             continue
         attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m["rest"])} if m["rest"].strip() else {}
         up = stack[-1]
-        dropped = up.dropped or marked(tag, attributes, articles > 0)
+        dropped = up.dropped or marked(tag, attributes, articles > 0, spared is not None and m.start() not in spared)
         e = Element(tag, (*up.path, step(tag, attributes.get("class", "")))[-PATH:], dropped, len(blocks))
         stack.append(e)
         in_link += tag == "a"

@@ -86,3 +86,15 @@ def test_sections_of_an_article_stay_together():
     whole = "head\nthe first part\nthe second and much longer part of it"
     assert pages.main_text(page(body), []) == whole
     assert pages.main_text(page(body), ["html/body/article/section.body"]) == whole
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "no-comments", "page-header-fixed"])
+def test_wrappers_of_the_article_stay(name):
+    kept = "<p>the text of the article, kept</p>"
+    side = "<div class=sidebar><p>side</p></div>"
+    assert pages.main_text(page(f"<div class='{name}'><article>{kept}</article>{side}</div>"), []) == "the text of the article, kept"
+    assert pages.main_text(page(f"<div id='{name}'><div class=a>{kept}</div>{side}</div>"), []) == "the text of the article, kept"
+
+
+def test_a_page_of_marked_words_is_not_empty():
+    assert pages.main_text(page("<div class=notice>only this</div>"), []) == "only this"
