@@ -3,7 +3,8 @@
 1. Every page is read into blocks of text and its elements; each container is scored by
    the text that its paragraphs hold outside links.  A page votes for the generalised
    paths (tags and classes without numbers) of its best containers.
-2. Votes are summed per host and path in Spark; a host keeps its ``WINNERS`` first paths.
+2. Votes are summed per host and path in Spark; each page gets all those of the paths that
+   it has itself.
 3. Every page is read again and its text taken from the elements of the first winning
    path that holds a fair part of what its own best container holds; a page where none
    does, or whose host has none, falls back on its own best container, and a page
@@ -38,7 +39,6 @@ from rollbook.llm.arrowtext import slices, texts
 
 PATH = 6
 VOTES = 3
-WINNERS = 8
 SALTS = 16
 #: Least part of the own best container's text that a winning path has to hold.
 FAIR = 0.4
@@ -307,8 +307,8 @@ def host(url: str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-def winning_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, winners): each host's paths of most votes, first one first."""
+def voted_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, path, votes): all paths that a host's pages vote for."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,11 +319,28 @@ def winning_paths(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
 
     cast = pages.select(host(url).alias("host"), html).mapInArrow(work, "host string, path string, score double")
     # rounded, so that the order of summing cannot change a rank
-    summed = cast.groupBy("host", "path").agg(F.sum(F.round(F.col("score") * 1000).cast("long")).alias("votes"))
-    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
-    first = summed.withColumn("rank", rank).filter(F.col("rank") <= WINNERS)
-    listed = first.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("won"))
-    return listed.select("host", F.col("won.path").alias("winners"))
+    return cast.groupBy("host", "path").agg(F.sum(F.round(F.col("score") * 1000).cast("long")).alias("votes"))
+
+
+def page_winners(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, page, winners): by MD5 of the html, the voted paths that the page has itself, most votes first."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, html):
+                rows = []
+                for h, key, x in zip(part.column("host").to_pylist(), part.column("page").to_pylist(), texts(part, html), strict=True):
+                    rows += [(h, key, path) for path in {"/".join(e.path) for e in read(x)[1] if e.last > e.first}]
+                columns = zip(*rows, strict=True) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["host", "page", "path"])
+
+    keyed = pages.select(host(url).alias("host"), F.md5(F.col(html).cast("binary")).alias("page"), html)
+    held = keyed.mapInArrow(work, "host string, page string, path string").distinct()
+    # the salt deals a path that very many pages of a host have over several tasks
+    held = held.withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int"))
+    voted = voted_paths(pages, url, html).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("rank"), "path")))
+    return held.join(voted, ["host", "path", "salt"]).groupBy("host", "page").agg(ranked["path"].alias("winners"))
 
 
 def extract(pages: DataFrame, out: str = "main_text", url: str = "url", html: str = "html") -> DataFrame:
@@ -331,14 +348,11 @@ def extract(pages: DataFrame, out: str = "main_text", url: str = "url", html: st
     kept = [f for f in pages.schema.fields if f.name not in (html, out)]
     schema = T.StructType([*kept, T.StructField(out, T.StringType())])
     names = [f"column_{k}" for k in range(len(kept))]  # whatever the columns are called
-    winners = winning_paths(pages, url, html).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    # the salt deals a host with very many pages over several tasks
-    salt = F.pmod(F.xxhash64(F.col(html)), F.lit(SALTS)).cast("int")
     rows = pages.select(
         *(F.col(f.name).alias(n) for f, n in zip(kept, names, strict=True)),
-        F.col(html).alias("html"), host(url).alias("host"), salt.alias("salt"),
+        F.col(html).alias("html"), host(url).alias("host"), F.md5(F.col(html).cast("binary")).alias("page"),
     )
-    joined = rows.join(winners, ["host", "salt"], "left").select(*names, "html", "winners")
+    joined = rows.join(page_winners(pages, url, html), ["host", "page"], "left").select(*names, "html", "winners")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -98,3 +98,13 @@ def test_wrappers_of_the_article_stay(name):
 
 def test_a_page_of_marked_words_is_not_empty():
     assert pages.main_text(page("<div class=notice>only this</div>"), []) == "only this"
+
+
+def test_every_template_of_a_host_is_voted(spark):
+    template = "<div class=wrap{0}><div class=story{0}><p>{1}</p></div><div class=box{0}><p>{2}</p></div></div>"
+    rows = []
+    for k in "abcdefghijkl":
+        rows += [(f"http://w.org/{k}{n}", page(template.format(k, "main text " * 30, "teaser"))) for n in range(3)]
+        rows += [(f"http://w.org/{k}-short", page(template.format(k, "short main text here", "a teaser that is longer " * 2)))]
+    got = pages.extract(spark.createDataFrame(rows, "url string, html string")).filter("url LIKE '%-short'").collect()
+    assert {r["main_text"] for r in got} == {"short main text here"} and len(got) == 12
