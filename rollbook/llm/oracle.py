@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from rollbook.llm import votes
+
 COVER_TREE_TOP_K = """
 WITH valid AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
@@ -106,7 +108,139 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
+CONVERSATION_TRIE = r"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')
+        ) AS k
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base,
+        -- CRC-32 of the decimal digits, bit by bit: the shift below works on a byte and on seven zeros after it
+        xor(list_reduce(
+            list_prepend(4294967295::BIGINT, flatten(list_transform(
+                string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+            lambda crc, bits: xor(xor(crc, bits) >> 1, 3988292384::BIGINT * (xor(crc, bits) & 1))
+        ), 4294967295::BIGINT) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+),
+rebuilt AS (
+    SELECT c.conv_id, 0 AS part, k, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.k <= c.h
+    UNION ALL
+    SELECT c.conv_id, 1, k, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.k > c.h
+),
+said AS (
+    SELECT conv_id, part, k, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n_words,
+        sha256(length(role) || ':' || role || text) AS turn
+    FROM rebuilt
+),
+paths AS (
+    SELECT conv_id, coalesce(list(turn ORDER BY part, k) FILTER (WHERE turn IS NOT NULL), []) AS path,
+        coalesce(list(n_words ORDER BY part, k) FILTER (WHERE turn IS NOT NULL), []) AS words
+    FROM convs LEFT JOIN said USING (conv_id) GROUP BY conv_id
+),
+members AS (
+    SELECT conv_id, depth, path[1:depth] AS node, coalesce(words[depth], 0) AS n_words
+    FROM (SELECT *, unnest(generate_series(0, len(path))) AS depth FROM paths)
+),
+nodes AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n_words) AS saved
+    FROM members GROUP BY node, depth
+),
+children AS (SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+tops AS (
+    SELECT n.node[1:top] AS node, sum(saved) AS saved, count(*) FILTER (WHERE leaf) AS leaves
+    FROM (
+        SELECT nodes.*, children.n IS NULL AS leaf, unnest(generate_series(0, depth)) AS top
+        FROM nodes LEFT JOIN children USING (node)
+    ) n GROUP BY ALL
+),
+ends AS (SELECT path AS node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM paths GROUP BY path)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id,
+    n.n_convs::BIGINT AS n_convs, coalesce(c.n, 0)::BIGINT AS n_children, t.leaves::BIGINT AS n_leaves,
+    t.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN tops t ON t.node = n.node
+    LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+    LEFT JOIN children c ON c.node = n.node LEFT JOIN ends e ON e.node = n.node
+"""
+
+
+def _quality_votes() -> str:
+    """Counts and votes, then one pair of tables a step of expectation and maximisation."""
+    rules = votes.RULES
+    start = votes.start(len(rules))
+
+    def vote(rule: votes.Rule) -> str:
+        up = rule.good > rule.bad
+        m = f"({rule.measure})"
+        return (
+            f"CASE WHEN {m} {'<=' if up else '>='} {rule.bad}::DOUBLE THEN -1"
+            f" WHEN {m} {'>=' if up else '<='} {rule.good}::DOUBLE THEN 1 ELSE 0 END"
+        )
+
+    k = range(len(rules))
+    good = " * ".join(["share", *(f"CASE v{i} WHEN 1 THEN g{i} WHEN -1 THEN 1 - g{i} ELSE 1.0::DOUBLE END" for i in k)])
+    bad = " * ".join(["(1 - share)", *(f"CASE v{i} WHEN -1 THEN b{i} WHEN 1 THEN 1 - b{i} ELSE 1.0::DOUBLE END" for i in k)])
+    posterior = f"({good}) / (({good}) + ({bad}))"
+
+    def rate(weight: str, right: int, i: int, prior: tuple[float, float]) -> str:
+        seen = [f"coalesce(sum({weight}) FILTER (WHERE v{i} {test}), 0)" for test in (f"= {right}", "<> 0")]
+        return f"({seen[0]} + {prior[0]}::DOUBLE) / ({seen[1]} + {sum(prior)}::DOUBLE)"
+
+    steps = ["em0 AS (SELECT " + ", ".join([
+        f"{start.good}::DOUBLE AS share",
+        *(f"{start.on_good[i]}::DOUBLE AS g{i}, {start.on_bad[i]}::DOUBLE AS b{i}" for i in k)]) + ")"]
+    for at in range(votes.STEPS):
+        sums = [
+            f"(coalesce(sum(n * p), 0) + {votes.IMAGINED[0]}::DOUBLE)"
+            f" / (coalesce(sum(n), 0) + {sum(votes.IMAGINED)}::DOUBLE) AS share"
+        ]
+        for i in k:
+            sums.append(f"greatest({votes.ON_GOOD}::DOUBLE, {rate('n * p', 1, i, votes.RIGHT_ON_GOOD)}) AS g{i}")
+            sums.append(f"{rate('n * (1 - p)', -1, i, votes.RIGHT_ON_BAD)} AS r{i}")
+        floors = [f"g{i}, greatest(1 - g{i} + {votes.MORE}::DOUBLE, r{i}) AS b{i}" for i in k]
+        steps.append(
+            f"em{at + 1} AS MATERIALIZED (SELECT share, {', '.join(floors)} FROM (SELECT {', '.join(sums)}"
+            f" FROM (SELECT *, {posterior} AS p FROM patterns, em{at})))"
+        )
+    return f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '{votes.WORD}') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{votes.WORD}')) AS lines
+    FROM documents
+),
+starts AS (SELECT r, w, unnest(generate_series(1, len(w) - 4)) AS s FROM docs WHERE len(w) >= 5),
+windows AS (SELECT r, s, array_to_string(w[s:s + 4], ' ') AS said FROM starts),
+again AS (SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY r, said) AS n FROM windows) WHERE n > 1),
+repeated AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(generate_series(s, s + 4)) AS place FROM again) GROUP BY r),
+counts AS (
+    SELECT r, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+        len(lines)::BIGINT AS n_lines, len(regexp_extract_all(text, '[A-Z]'))::BIGINT AS n_capitals,
+        len(regexp_extract_all(text, '[A-Za-z]'))::BIGINT AS n_letters,
+        len(regexp_extract_all(text, '[!?]'))::BIGINT AS n_marks, len(list_distinct(w))::BIGINT AS n_different
+    FROM docs LEFT JOIN repeated USING (r)
+),
+voted AS (SELECT *, {', '.join(f'{vote(rule)} AS v{i}' for i, rule in enumerate(rules))} FROM counts),
+patterns AS MATERIALIZED (SELECT {', '.join(f'v{i}' for i in k)}, count(*) AS n FROM voted GROUP BY ALL),
+{', '.join(steps)},
+judged AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {posterior} AS quality
+    FROM voted, em{votes.STEPS}
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND quality >= 0.5 AS kept
+FROM judged
+"""
+
+
 STATEMENTS: dict[str, str] = {
+    "op11_conversation_trie": CONVERSATION_TRIE,
+    "op12_quality_votes": _quality_votes(),
     "op5_benchmark_decontamination": BENCHMARK_DECONTAMINATION,
     "op6_jaccard_components": JACCARD_COMPONENTS,
     "op10_chat_formatting": CHAT_FORMATTING,

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import byte_bpe, chat, covertree, decontaminate, feistel, jaccard, langid, pages, pii, rules
+from rollbook.llm import byte_bpe, chat, covertree, decontaminate, feistel, jaccard, langid, pages, pii, rules, trie, votes, whitening
 from rollbook.llm.storage import table, written
 
 SHARDS = 40
 NEIGHBOURS = 10
+#: Conversations share the beginning of one in so many, fewer turns than HEAD of it.
+TWENTY, HEAD = 20, 4
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +103,39 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rebuilt_paths(turns: DataFrame) -> DataFrame:
+    """(conv, path): a few first turns of the conversation at the start of its twenty, then its own turns after as many."""
+    own = written(trie.turn_keys(turns, "conv_id", "turn", "role", "text"), "turns")
+    first = F.col("conv") - F.col("conv") % TWENTY
+    heads = own.filter(F.col("conv") == first).select(F.col("conv").alias("base"), F.slice("keys", 1, HEAD - 1).alias("head"))
+    taken = F.pmod(F.crc32(F.encode(F.col("conv").cast("string"), "UTF-8")), F.lit(HEAD)).cast("int")
+    begin = F.slice(F.coalesce("head", F.array().cast("array<string>")), F.lit(1), F.col("h"))
+    rest = F.slice("keys", F.col("h") + 1, F.greatest(F.size("keys") - F.col("h"), F.lit(0)))
+    joined = own.withColumns({"base": first, "h": taken}).join(heads, "base", "left")
+    return joined.select("conv", trie.path_of(F.concat(begin, rest)).alias("path"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return trie.prefix_trie(rebuilt_paths(turns))
+
+
+def quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = votes.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & (F.col("quality") >= 0.5)).alias("kept"),
+    )
+
+
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    # beyond 64 bits the exact number has no long and is null
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 NAMED = {
     "op1_quality_rules": quality_rules,
     "op2_cover_tree_top_k": cover_tree_top_k,
@@ -112,4 +147,7 @@ NAMED = {
     "op8_page_extraction": page_extraction,
     "op9_byte_bpe": byte_bpe_round_trip,
     "op10_chat_formatting": chat_formatting,
+    "op11_conversation_trie": conversation_trie,
+    "op12_quality_votes": quality_votes,
+    "op13_embedding_whitening": embedding_whitening,
 }

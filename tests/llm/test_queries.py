@@ -33,6 +33,18 @@ COLUMNS = {
     "op10_chat_formatting": {
         "conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string", "formatted_chars": "bigint",
     },
+    "op11_conversation_trie": {
+        "conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint", "n_children": "bigint",
+        "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string",
+    },
+    "op12_quality_votes": {
+        "doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint",
+        "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean",
+    },
+    "op13_embedding_whitening": {
+        "vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double",
+        "identity_error": "double",
+    },
 }
 
 
@@ -57,7 +69,8 @@ def test_statement(spark, name):
     got = NAMED[name](spark, SF).select(*columns).collect()
     listed = ", ".join(columns)
     expected = con.execute(f"SELECT {listed} FROM ({STATEMENTS[name]})").fetchall()
-    assert sorted(map(tuple, got)) == sorted(expected)
+    key = lambda row: tuple((x is not None, x) for x in row)
+    assert sorted(map(tuple, got), key=key) == sorted(expected, key=key)
 
 
 def test_shards_of_documents(spark):
