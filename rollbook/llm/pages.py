@@ -1,27 +1,33 @@
 """Main text of web pages by consensus of their host's pages.
 
-1. Every page is read into blocks of text and its elements; each container is scored by
-   the text that its paragraphs hold outside links.  A page votes for the generalised
-   paths (tags and classes without numbers) of its best containers.
-2. Votes are summed per host and path in Spark; each page gets all those of the paths that
-   it has itself.
-3. Every page is read again and its text taken from the elements of the first winning
-   path that holds a fair part of what its own best container holds; a page where none
-   does, or whose host has none, falls back on its own best container, and a page
-   without containers on its body.  What is taken inside an article element (or a main
-   element, without one) is widened to all of it.
+1. Every page is read into blocks of text; a block belongs to the container around it, or
+   to the outermost article element it stands in.  Containers of one generalised path (tags
+   and classes without numbers) are a region, scored by the text that its blocks hold
+   outside links.  A page votes on each of its regions: whether it is weak, with less than
+   ``WEAK`` of what the page's best region holds.  Only these votes are written.
+2. Votes are counted per host and path in Spark.  A path that is weak on most of its pages, and
+   on ``LEAST_PAGES`` at least, is a teaser there; all others win.
+3. Every page gets the teasers of its host among its own paths, is read again, and its text is that of
+   all regions with winning paths, in page order.  An article split over several containers
+   so stays whole, on a page of its own or with no host to ask too.
+
+Article elements, or else main elements, that hold half of the page's text are all of it; regions of
+mere links are left out beside others, and a page never loses its last region.
+Nothing in an article element is left out by votes.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments are left out by element, role, and words in class or id; such words do not
 count on what holds an article or main element or, without one, most paragraph text, nor
-on a page that would be empty.  A block ends where a
+on a page that would be empty.  In an article they count on sections and paragraphs only
+if they are a whole name of it, and never on headings.  A block ends where a
 block-level element begins or ends; character references are decoded, white space
 becomes one space, blocks are joined by newlines.
 
 Null and empty html give the empty text; unclosed elements, comments and attributes end
 where the page ends or where HTML closes them by itself.  A null url is a host of its
 own.  Repeated rows vote each.  Paths have at most ``PATH`` steps, so deep nesting costs
-no more than its tags.
+no more than its tags; very long pages are read whole.  An empty table gives none.  Other columns are
+kept whatever they are called; one named as the text is replaced.
 """
 
 from __future__ import annotations
@@ -31,17 +37,19 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook.llm.arrowtext import slices, texts
+from rollbook.llm.storage import written
 
 PATH = 6
-VOTES = 3
 SALTS = 16
-#: Least part of the own best container's text that a winning path has to hold.
-FAIR = 0.4
+#: Share of the page's best region below which a region is weak; pages that make it a teaser.
+WEAK, LEAST_PAGES = 0.1, 3
+#: Share of a page's text that its article or main elements hold at least if they are all of it.
+MOST = 0.5
 
 #: Tags of HTML by what they do here. Fixed values.
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "textarea", "xmp")
@@ -52,6 +60,8 @@ INLINE = frozenset(
 )
 CONTAINERS = frozenset("article main section div td body blockquote".split())
 DROPPED = frozenset((*RAW, *"head title nav aside footer form button select menu dialog object applet".split()))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = frozenset("p section blockquote ul ol dl table figure".split())
 ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split())
 #: Words of class or id names that mark what is no article text. Fixed values.
 BOILERPLATE = frozenset(
@@ -80,11 +90,18 @@ HINT = re.compile("|".join(sorted(BOILERPLATE)), re.I)
 
 
 class Element:
-    __slots__ = ("tag", "path", "dropped", "first", "last", "score", "container")
+    __slots__ = ("tag", "path", "dropped", "container", "article")
 
-    def __init__(self, tag: str, path: tuple[str, ...], dropped: bool, first: int):
-        self.tag, self.path, self.dropped, self.first, self.last = tag, path, dropped, first, first
-        self.score, self.container = 0.0, tag in CONTAINERS and not dropped
+    def __init__(self, tag: str, path: tuple[str, ...], dropped: bool, article: Element | None):
+        """``article``: the outermost article element around this one."""
+        self.tag, self.path, self.dropped, self.article = tag, path, dropped, article
+        self.container = tag in CONTAINERS and not dropped
+        if tag == "article" and article is None and not dropped:
+            self.article = self
+
+
+#: A block: its text, its worth, its region's path, whether it stands in an article element, and in a main element.
+Block = tuple[str, int, str, bool, bool]
 
 
 def step(tag: str, classes: str) -> str:
@@ -107,7 +124,11 @@ def marked(tag: str, attributes: dict[str, str], inside: bool, words: bool = Tru
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return words and any(word.lower() in BOILERPLATE for word in NAME.findall(names))
+    if not words or inside and tag in HEADINGS:
+        return False
+    if inside and tag in PROSE:
+        return any(name.lower() in BOILERPLATE for name in names.split())
+    return any(word.lower() in BOILERPLATE for word in NAME.findall(names))
 
 
 def wrappers(page: str) -> set[int]:
@@ -156,45 +177,40 @@ def wrappers(page: str) -> set[int]:
     return found
 
 
-def read(page: str) -> tuple[list[str], list[Element]]:
-    """The blocks of text that are not left out, and all elements that are not."""
-    blocks, elements = _read(page, wrappers(page) if HINT.search(page) else set())
-    if not blocks:  # rather what its words mark than nothing
-        blocks, elements = _read(page, None)
-    return blocks, elements
+def read(page: str) -> list[Block]:
+    """The blocks of text that are not left out."""
+    blocks = _read(page, wrappers(page) if HINT.search(page) else set())
+    # rather what its words mark than nothing
+    return blocks or _read(page, None)
 
 
-def _read(page: str, spared: set[int] | None) -> tuple[list[str], list[Element]]:
+def _read(page: str, spared: set[int] | None) -> list[Block]:
     """``spared``: where elements begin whose words do not count; None: nowhere do they."""
-    blocks: list[str] = []
-    elements: list[Element] = []
-    stack: list[Element] = [Element("", (), False, 0)]
+    blocks: list[Block] = []
+    stack: list[Element] = [Element("", (), False, None)]
     parts: list[str] = []
     link_parts = 0
-    in_link = articles = 0
+    in_link = articles = mains = 0
 
     def flush() -> None:
         nonlocal link_parts
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                blocks.append(text)
+                article = stack[-1].article
+                holder = article or next((e for e in reversed(stack) if e.container), stack[0])
                 worth = max(0, len(text) - 2 * link_parts)
-                holders = [e for e in stack[:0:-1] if e.tag not in INLINE][:3]
-                # the paragraph gives its text to the container around it, half of it to the next
-                around = [e for e in holders if e.container][:2]
-                for share, e in zip((1.0, 0.5), around, strict=False):
-                    e.score += share * worth
+                blocks.append((text, worth, "/".join(holder.path), article is not None, mains > 0))
             parts.clear()
         link_parts = 0
 
     def close(upto: int) -> None:
-        nonlocal in_link, articles
+        nonlocal in_link, articles, mains
         while len(stack) > upto:
             e = stack.pop()
-            e.last = len(blocks)
             in_link -= e.tag == "a"
             articles -= e.tag in ("article", "main")
+            mains -= e.tag == "main"
 
     def find(tags: tuple[str, ...], barriers: frozenset[str]) -> int:
         for k in range(len(stack) - 1, 0, -1):
@@ -236,111 +252,89 @@ def _read(page: str, spared: set[int] | None) -> tuple[list[str], list[Element]]
         attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m["rest"])} if m["rest"].strip() else {}
         up = stack[-1]
         dropped = up.dropped or marked(tag, attributes, articles > 0, spared is not None and m.start() not in spared)
-        e = Element(tag, (*up.path, step(tag, attributes.get("class", "")))[-PATH:], dropped, len(blocks))
-        stack.append(e)
+        stack.append(Element(tag, (*up.path, step(tag, attributes.get("class", "")))[-PATH:], dropped, up.article))
         in_link += tag == "a"
         articles += tag in ("article", "main")
-        if not dropped and e.container:
-            elements.append(e)
+        mains += tag == "main"
     if at < len(page) and not stack[-1].dropped:
         parts.append(page[at:])
     flush()
-    close(0)
-    return blocks, elements
-
-
-def best_container(elements: list[Element]) -> Element | None:
-    return max(elements, key=lambda e: (e.score, -e.first), default=None)
-
-
-def votes(page: str) -> list[tuple[str, float]]:
-    """Paths of the page's best containers and their scores as shares of the best."""
-    _, elements = read(page)
-    first = sorted((e for e in elements if e.score > 0), key=lambda e: -e.score)[:VOTES]
-    found: dict[str, float] = {}
-    for e in first:
-        path = "/".join(e.path)
-        found[path] = max(found.get(path, 0.0), e.score / first[0].score)
-    return list(found.items())
+    return blocks
+
+
+def scope(blocks: list[Block]) -> list[Block]:
+    """The blocks in article elements, or else main elements, if these hold most; without regions of mere links."""
+    total = sum(len(b[0]) for b in blocks)
+    for within in (3, 4):
+        own = [b for b in blocks if b[within]]
+        if own and sum(len(b[0]) for b in own) >= MOST * total:
+            blocks = own
+            break
+    worth = regions(blocks)
+    if any(worth.values()):
+        blocks = [b for b in blocks if b[3] or worth[b[2]]]
+    return blocks
+
+
+def regions(blocks: list[Block]) -> dict[str, int]:
+    """The worth of each region's path."""
+    found: dict[str, int] = {}
+    for _, worth, path, *_ in blocks:
+        found[path] = found.get(path, 0) + worth
+    return found
 
 
-def widened(spans: list[tuple[int, int]], elements: list[Element]) -> list[tuple[int, int]]:
-    """Spans of blocks in an article element become all of the outermost one, else of the main element."""
-    found: list[tuple[int, int]] = []
-    for a, z in spans:
-        for tag in ("article", "main"):
-            around = next((e for e in elements if e.tag == tag and e.first <= a and z <= e.last), None)
-            if around:
-                a, z = around.first, around.last
-                break
-        if found and a < found[-1][1]:
-            a, z = min(a, found[-1][0]), max(z, found[-1][1])
-            found.pop()
-        found.append((a, z))
-    return found
+def votes(page: str) -> list[tuple[str, bool]]:
+    """The paths of the page's regions, and whether they are weak on it."""
+    found = regions(scope(read(page)))
+    best = max(found.values(), default=0)
+    return [(path, worth < WEAK * best) for path, worth in found.items()]
 
 
-def main_text(page: str, winners: list[str]) -> str:
-    blocks, elements = read(page)
-    own = best_container(elements)
-    if own is None or own.score <= 0:
-        return "\n".join(blocks)
-    size = [0]
-    for b in blocks:
-        size.append(size[-1] + len(b))
-    enough = FAIR * (size[own.last] - size[own.first])
-    by_path: dict[str, list[Element]] = {}
-    for e in elements:
-        by_path.setdefault("/".join(e.path), []).append(e)
-    for path in winners:
-        spans, to = [], 0
-        for e in by_path.get(path, ()):
-            if e.first >= to and e.last > e.first:  # not within one taken already
-                spans.append((e.first, e.last))
-                to = e.last
-        if spans and sum(size[b] - size[a] for a, b in spans) >= max(enough, 1):
-            return "\n".join(b for a, z in widened(spans, elements) for b in blocks[a:z])
-    return "\n".join(b for a, z in widened([(own.first, own.last)], elements) for b in blocks[a:z])
+def main_text(page: str, teasers: list[str]) -> str:
+    blocks = scope(read(page))
+    out = set(teasers)
+    kept = [b for b in blocks if b[2] not in out]
+    return "\n".join(b[0] for b in kept or blocks)
 
 
 def host(url: str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-def voted_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, path, votes): all paths that a host's pages vote for."""
+def page_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, page, path, weak): the votes of each page, by MD5 of the html; repeated rows vote each."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, html):
-                rows = [(h, *v) for h, x in zip(part.column("host").to_pylist(), texts(part, html), strict=True) for v in votes(x)]
-                hosts, paths, scores = zip(*rows, strict=True) if rows else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())], names=["host", "path", "score"])
+                rows = []
+                for h, key, x in zip(part.column("host").to_pylist(), part.column("page").to_pylist(), texts(part, html), strict=True):
+                    rows += [(h, key, path, weak) for path, weak in votes(x)]
+                columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+                kinds = (pa.string(), pa.string(), pa.string(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["host", "page", "path", "weak"])
 
-    cast = pages.select(host(url).alias("host"), html).mapInArrow(work, "host string, path string, score double")
-    # rounded, so that the order of summing cannot change a rank
-    return cast.groupBy("host", "path").agg(F.sum(F.round(F.col("score") * 1000).cast("long")).alias("votes"))
+    keyed = pages.select(host(url).alias("host"), F.md5(F.col(html).cast("binary")).alias("page"), html)
+    return keyed.mapInArrow(work, "host string, page string, path string, weak boolean")
 
 
-def page_winners(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, page, winners): by MD5 of the html, the voted paths that the page has itself, most votes first."""
+def teasers(voted: DataFrame) -> DataFrame:
+    """(host, path) that are weak on most of the host's pages that have them."""
+    counts = voted.groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"), F.count_if("weak").alias("weak"))
+    return counts.where((F.col("weak") >= LEAST_PAGES) & (2 * F.col("weak") > F.col("pages"))).select("host", "path")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, html):
-                rows = []
-                for h, key, x in zip(part.column("host").to_pylist(), part.column("page").to_pylist(), texts(part, html), strict=True):
-                    rows += [(h, key, path) for path in {"/".join(e.path) for e in read(x)[1] if e.last > e.first}]
-                columns = zip(*rows, strict=True) if rows else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["host", "page", "path"])
 
-    keyed = pages.select(host(url).alias("host"), F.md5(F.col(html).cast("binary")).alias("page"), html)
-    held = keyed.mapInArrow(work, "host string, page string, path string").distinct()
+def page_teasers(voted: DataFrame) -> DataFrame:
+    """(host, page, teasers): of the pages with a teaser, their paths that are one.
+
+    Article elements may be teasers too, as whole ones.
+    """
     # the salt deals a path that very many pages of a host have over several tasks
-    held = held.withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int"))
-    voted = voted_paths(pages, url, html).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("rank"), "path")))
-    return held.join(voted, ["host", "path", "salt"]).groupBy("host", "page").agg(ranked["path"].alias("winners"))
+    held = voted.select("host", "page", "path").withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int"))
+    marked_ = teasers(voted).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = held.join(marked_, ["host", "path", "salt"])
+    return found.groupBy("host", "page").agg(F.sort_array(F.collect_set("path")).alias("teasers"))
 
 
 def extract(pages: DataFrame, out: str = "main_text", url: str = "url", html: str = "html") -> DataFrame:
@@ -352,12 +346,13 @@ def extract(pages: DataFrame, out: str = "main_text", url: str = "url", html: st
         *(F.col(f.name).alias(n) for f, n in zip(kept, names, strict=True)),
         F.col(html).alias("html"), host(url).alias("host"), F.md5(F.col(html).cast("binary")).alias("page"),
     )
-    joined = rows.join(page_winners(pages, url, html), ["host", "page"], "left").select(*names, "html", "winners")
+    voted = written(page_votes(pages, url, html), "votes")
+    joined = rows.join(page_teasers(voted), ["host", "page"], "left").select(*names, "html", "teasers")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                found = [main_text(x, w or []) for x, w in zip(texts(part, "html"), part.column("winners").to_pylist(), strict=True)]
+                found = [main_text(x, t or []) for x, t in zip(texts(part, "html"), part.column("teasers").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(found, pa.string())], names=schema.names)
 
     return joined.mapInArrow(work, schema)

@@ -40,11 +40,47 @@ def test_reading(name):
     assert pages.main_text(page(body), []) == text
 
 
-def test_winning_path_decides():
+def test_votes_decide():
     own = page("<div class='a-1'><p>the article of this page, short</p></div><div class=b><p>a longer teaser for another page, not wanted</p></div>")
-    assert pages.main_text(own, []).startswith("a longer")
-    assert pages.main_text(own, ["html/body/div.a-#"]).startswith("the article")
-    assert pages.main_text(own, ["html/body/div.none"]).startswith("a longer")
+    assert pages.main_text(own, []) == "the article of this page, short\na longer teaser for another page, not wanted"
+    assert pages.main_text(own, ["html/body/div.b"]) == "the article of this page, short"
+    assert pages.main_text(own, ["html/body/div.none"]).endswith("not wanted")
+    assert pages.main_text(own, ["html/body/div.a-#", "html/body/div.b"]).startswith("the article")
+
+
+def words(n: int, name: str) -> str:
+    return " ".join(f"{name}{k}" for k in range(n))
+
+
+SPLIT = {
+    "siblings at the top": "<h1>Head</h1><div class=a><p>{a}</p></div><div class=b><p>{b}</p></div>",
+    "siblings in a wrapper": "<div class=post><h1>Head</h1><div class=a><p>{a}</p></div><div class=b><p>{b}</p></div></div>",
+    "nested": "<div class=x><h1>Head</h1><div class=a><p>{a}</p><div class=b><p>{b}</p></div></div></div>",
+    "a paragraph outside": "<h1>Head</h1><p>{a}</p><div class=b><p>{b}</p></div>",
+    "article and more": "<article><h1>Head</h1><p>{a}</p></article><div class=more><p>{b}</p></div>",
+    "words of a paragraph": "<article><h1 class=header>Head</h1><p class='related-work'>{a}</p><section class='social-history'><p>{b}</p></section></article>",
+}
+
+
+@pytest.mark.parametrize("share", [60, 90])
+@pytest.mark.parametrize("name", SPLIT)
+def test_split_articles_keep_every_word(name, share):
+    a, b = words(share, "a"), words(200 - share, "b")
+    noise = "<nav>menu</nav>{}<div class=links><a href=1>{}</a></div><div class=comments><p>they say</p></div><footer>f</footer>"
+    assert pages.main_text(page(noise.format(SPLIT[name].format(a=a, b=b), words(30, "link"))), []) == f"Head\n{a}\n{b}"
+
+
+def test_a_region_of_one_page_does_not_cut_another(spark):
+    """div.text alone is the usual article; a page that goes on in div.more keeps both."""
+    rows = [(f"http://v.org/{n}", page(f"<div class=text><p>{words(80, 't')}</p></div>")) for n in range(20)]
+    rows.append(("http://v.org/long", page(f"<div class=text><p>{words(45, 't')}</p></div><div class=more><p>{words(55, 'm')}</p></div>")))
+    got = pages.extract(spark.createDataFrame(rows, "url string, html string")).filter("url LIKE '%long'").collect()
+    assert [r["main_text"] for r in got] == [f"{words(45, 't')}\n{words(55, 'm')}"]
+
+
+def test_reader_comments_in_an_article_are_left_out():
+    body = "<article><p>the text</p><section id=comments><p>they say</p></section><div class='comment-list'><p>and say</p></div></article>"
+    assert pages.main_text(page(body), []) == "the text"
 
 
 def test_hosts_agree(spark):
@@ -85,7 +121,7 @@ def test_sections_of_an_article_stay_together():
     body = "<article><h1>head</h1><section class=intro><p>the first part</p></section><section class=body><p>the second and much longer part of it</p></section></article>"
     whole = "head\nthe first part\nthe second and much longer part of it"
     assert pages.main_text(page(body), []) == whole
-    assert pages.main_text(page(body), ["html/body/article/section.body"]) == whole
+    assert pages.main_text(page(body), ["html/body/article/section.intro"]) == whole
 
 
 @pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "no-comments", "page-header-fixed"])
