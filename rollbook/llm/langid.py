@@ -2,7 +2,8 @@
 
 A text's words are its runs of letters in lower case; a word's symbols are its letters
 and its end, each predicted from the three symbols before it in the word.  Characters
-are classes of 15 bits (the code point where it fits), so four symbols pack into one
+are classes of 16 bits, the code point itself up to U+FFFF; letters beyond (historic
+scripts, rare Han) share the classes that no letter has.  So four symbols pack into one
 long, the gram's hash.  Grams of all training words are counted over all training rows
 in Spark; lower orders count distinct continuations, as Kneser and Ney have it.
 
@@ -12,6 +13,9 @@ Discounts, totals and kinds are counted in Spark over all grams; nothing is cut
 the tables are never collected.  The different grams of the texts to judge meet them in
 joins; executors hold the most frequent grams' scores, the other grams' are joined.
 
+Texts are read twice by ``judged``: once to count the grams of all of them, training rows by
+their language, and once for the sums, from which training rows set the limits and all get their language.
+
 A text gets the language of lowest cross-entropy per symbol.  Its score is a softmax of
 these entropies times the root of the number of symbols, with a temperature fitted on
 all training rows.  ``rejected`` marks texts without letters (``und``, score 0), texts
@@ -40,29 +44,30 @@ from rollbook.llm.arrowtext import slices, texts
 from rollbook.llm.storage import written
 
 ORDER = 4
-CLASS_BITS = 15
-#: Scores that an executor holds at most, over all languages; the other grams' scores are joined.
+CLASS_BITS = 16
+#: Scores that an executor holds at most, over all languages, in 32 bits; the other grams' scores are joined.
 CELLS = 8_000_000
 #: Log-probabilities are added as whole numbers of this unit's inverse.
 UNIT = 1 << 20
 #: Quantiles of all training rows are right to this part of their number.
 ACCURACY = 100_000
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: A rejected text's entropy is this many times that of all but a thousandth of the training rows.
 SLACK = 2.0
 UNKNOWN = "und"
 #: Columns that scoring adds for a while.
-SUMS, REST, KEY, MORE = "langid_sums_", "langid_rest_", "langid_key_", "langid_more_"
+SUMS, REST, KEY, MORE, TAUGHT = "langid_sums_", "langid_rest_", "langid_key_", "langid_more_", "langid_taught_"
 WORD = re.compile(r"[^\W\d_]+")
 
 
 @cache
 def classes() -> np.ndarray:
     """The class of each code point: 0 for what is no letter."""
-    found = np.zeros(0x110000, dtype=np.int64)
-    for c in range(0x110000):
-        if chr(c).isalpha():
-            found[c] = c if c < 1 << CLASS_BITS else 1 + (c * 40503) % ((1 << CLASS_BITS) - 1)
+    letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    found = np.where(letters, np.arange(0x110000, dtype=np.int64), 0)
+    free = np.flatnonzero(~letters[: 1 << CLASS_BITS])[1:]
+    beyond = np.flatnonzero(letters[1 << CLASS_BITS :]) + (1 << CLASS_BITS)
+    found[beyond] = free[beyond * 40503 % len(free)]
     return found
 
 
@@ -152,32 +157,12 @@ class Model:
             lower = self.scored(short, order - 1).select(F.col("gram").alias("short"), F.col("scores").alias("lower"))
             with_lower = wanted.withColumn("short", low("gram", order - 1)).join(lower, "short")
         joined = (
-            with_lower.withColumn("context", F.shiftright("gram", CLASS_BITS))
+            with_lower.withColumn("context", F.shiftrightunsigned("gram", CLASS_BITS))
             .join(self.grams[order], "gram", "left").join(self.contexts[order], "context", "left")
         )
         passed = lambda v, k: F.coalesce(F.col("p")[k], v + F.coalesce(F.col("passed")[k], F.lit(0.0)))
         return joined.select(*wanted.columns, F.transform("lower", passed).alias("scores"))
 
-    def symbol_scores(self, packed: np.ndarray, order: int) -> np.ndarray:
-        """The same for a few grams, on the driver."""
-        rows = []
-        for o in range(1, order + 1):
-            keys = np.unique(packed & ((1 << (CLASS_BITS * o)) - 1))
-            rows.append(self.grams[o].filter(F.col("gram").isin(keys.tolist())).select(F.lit(o).alias("o"), F.lit("p").alias("what"), F.col("gram").alias("key"), F.col("p").alias("by")))
-            rows.append(self.contexts[o].filter(F.col("context").isin(np.unique(keys >> CLASS_BITS).tolist())).select(F.lit(o), F.lit("c"), "context", "passed"))
-        out = np.full((len(packed), len(self.languages)), self.floor)
-        if not rows:
-            return out
-        found = {(r["o"], r["what"], r["key"]): r["by"] for r in reduce(DataFrame.unionAll, rows).collect()}
-        for scores, gram in zip(out, packed.tolist(), strict=True):
-            for o in range(1, order + 1):
-                gram_o = gram & ((1 << (CLASS_BITS * o)) - 1)
-                for k, x in found.get((o, "c", gram_o >> CLASS_BITS), {}).items():
-                    scores[k] += x
-                for k, x in found.get((o, "p", gram_o), {}).items():
-                    scores[k] = x
-        return out
-
 
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of keys in a sorted table, and whether they are there."""
@@ -208,7 +193,7 @@ def build(languages: list[str], highest: DataFrame) -> Model:
 
     for order in range(1, ORDER + 1):
         off = F.array(*(F.lit(float(discount(order, k))) for k in range(len(languages))))[F.col("k")]
-        context = F.shiftright("gram", CLASS_BITS).alias("context")
+        context = F.shiftrightunsigned("gram", CLASS_BITS).alias("context")
         totals = counts[order].groupBy("k", context).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
         shares = written(totals.withColumn("share", off * F.col("kinds") / F.col("total")), f"contexts-{order}")
         each = counts[order].select("k", "gram", "n", context, low("gram", order - 1).alias("short")).join(shares, ["k", "context"])
@@ -235,7 +220,9 @@ class Scorer:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        #: Words with grams that are not held, and these grams; by place, whether a word is one.
         self.open: dict[str, list[int]] = {}
+        self.is_open = np.zeros(0, dtype=bool)
         self.rows = np.zeros((0, self.scores.shape[1] + 2), dtype=np.int64)
 
     def _learn(self, new: list[str]) -> None:
@@ -248,6 +235,7 @@ class Scorer:
             word = np.searchsorted(starts, np.flatnonzero(~known), side="right") - 1
             for k, gram in zip(word.tolist(), packed[~known].tolist(), strict=True):
                 self.open.setdefault(new[k], []).append(gram)
+        self.is_open = np.concatenate([self.is_open, np.fromiter((w in self.open for w in new), bool, len(new))])
         self.place.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
         self.rows = np.concatenate([self.rows, np.add.reduceat(each, starts, axis=0)])
 
@@ -266,7 +254,23 @@ class Scorer:
             out[some] = np.add.reduceat(self.rows[at], ends[:-1][some], axis=0)
         if not self.open:
             return out, [Counter()] * len(docs)
-        return out, [Counter(chain.from_iterable(self.open.get(w, ()) for w in own)) for own in words]
+        rest: list[Counter] = [Counter()] * len(docs)
+        for place in np.flatnonzero(self.is_open[at]).tolist():
+            doc = int(np.searchsorted(ends, place, side="right")) - 1
+            if not rest[doc]:
+                rest[doc] = Counter()
+            rest[doc].update(self.open[words[doc][place - ends[doc]]])
+        return out, rest
+
+
+def least_count(table: DataFrame, held: int) -> int:
+    """The least power of two such that at most ``held`` grams of (gram, n) have that count."""
+    power = F.floor(F.log2("n")).cast("int")
+    rows = {r["power"]: r["rows"] for r in table.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("rows")).collect()}
+    least, total = max(rows, default=0) + 1, 0
+    while least > 0 and total + rows.get(least - 1, 0) <= held:
+        least, total = least - 1, total + rows.get(least - 1, 0)
+    return 1 << least
 
 
 def with_sums(df: DataFrame, model: Model, text: str, wanted: DataFrame | None = None, held: int | None = None) -> DataFrame:
@@ -282,11 +286,11 @@ def with_sums(df: DataFrame, model: Model, text: str, wanted: DataFrame | None =
         wanted = written(counted(df, F.lit(""), text).select("gram", "n"), "wanted")
     whole = F.transform("scores", lambda x: F.round(x * UNIT).cast("long"))
     table = written(model.scored(wanted).select("gram", "n", whole.alias("scores")), "gram-scores")
-    first = table.orderBy(F.desc("n"), "gram").limit(held).select("gram", "scores").toArrow().combine_chunks()
+    first = table.filter(F.col("n") >= least_count(table, held)).select("gram", "scores").toArrow().combine_chunks()
     keys = first.column("gram").to_numpy()
     scores = first.column("scores").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
     order = np.argsort(keys)
-    shared = df.sparkSession.sparkContext.broadcast((keys[order], scores[order].astype(np.int64)))
+    shared = df.sparkSession.sparkContext.broadcast((keys[order], scores[order].astype(np.int32)))
     rest_type = T.ArrayType(T.StructType([T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())]))
     schema = T.StructType([*df.schema.fields, T.StructField(SUMS, T.ArrayType(T.LongType())), T.StructField(REST, rest_type)])
     arrow_rest = pa.list_(pa.struct([("gram", pa.int64()), ("n", pa.int64())]))
@@ -301,8 +305,6 @@ def with_sums(df: DataFrame, model: Model, text: str, wanted: DataFrame | None =
                 yield pa.RecordBatch.from_arrays([*part.columns, listed, others], names=schema.names)
 
     read = df.mapInArrow(work, schema)
-    if len(keys) < held:  # that is all grams
-        return read.drop(REST)
     left = read.filter(F.size(REST) > 0).withColumn(KEY, F.md5(F.col(text).cast("binary")))
     # copies of a text have the same grams; one of them is enough
     tokens = left.select(KEY, F.explode(REST).alias("t")).select(KEY, "t.*").dropDuplicates([KEY, "gram"])
@@ -341,26 +343,58 @@ def calibrate(model: Model, scored: DataFrame) -> None:
         model.most[r["k"]] = SLACK * r["most"]
 
 
+def model_of(found: DataFrame) -> Model:
+    """A model from counts (lang, gram, n) of the highest order; rows without a language teach nothing."""
+    taught = found.filter("lang IS NOT NULL")
+    names = sorted(r["lang"] for r in taught.select("lang").distinct().collect())
+    return build(names, taught.select(_number(names), "gram", "n")) if names else Model(names)
+
+
+def _number(names: list[str]) -> Column:
+    pairs = chain.from_iterable((F.lit(x), F.lit(k)) for k, x in enumerate(names))
+    return F.create_map(*pairs)[F.col("lang")].alias("k")
+
+
 def trained(rows: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     """A model of all rows whose ``lang`` is not null."""
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL")
     found = written(counted(rows, F.col("lang"), "text"), f"grams-{ORDER}")
-    names = sorted(r["lang"] for r in found.select("lang").distinct().collect())
-    if not names:
-        return Model(names)
-    number = F.create_map(*chain.from_iterable((F.lit(x), F.lit(k)) for k, x in enumerate(names)))[F.col("lang")].alias("k")
-    model = build(names, found.select(number, "gram", "n"))
-    wanted = written(found.groupBy("gram").agg(F.sum("n").alias("n")), "wanted")
-    calibrate(model, with_sums(rows.select(number, "text"), model, "text", wanted).select("k", SUMS))
+    model = model_of(found)
+    if model.languages:
+        wanted = written(found.groupBy("gram").agg(F.sum("n").alias("n")), "wanted")
+        scored = with_sums(rows.select(_number(model.languages), "text"), model, "text", wanted)
+        calibrate(model, scored.select("k", SUMS))
     return model
 
 
+def judged(df: DataFrame, learn: Column, lang: str = "lang", text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``df`` with what a model of its rows with ``learn`` and a language tells of all of them (see ``predict``).
+
+    The same as ``predict`` with ``trained`` rows, in two passes over the texts.
+    """
+    taught = F.when(learn, F.col(lang))
+    found = written(counted(df, taught, text), f"grams-{ORDER}")
+    model = model_of(found)
+    if not model.languages:
+        return predict(df if keep_text else df.drop(text), model, text)
+    wanted = written(found.groupBy("gram").agg(F.sum("n").alias("n")), "wanted")
+    scored = with_sums(df.drop("lang_pred", "score", "rejected").withColumn(TAUGHT, taught), model, text, wanted)
+    sums = written(scored if keep_text else scored.drop(text), "sums")
+    marked = sums.filter(F.col(TAUGHT).isNotNull()).select(F.col(TAUGHT).alias("lang"), SUMS)
+    calibrate(model, marked.select(_number(model.languages), SUMS))
+    return told(sums.drop(TAUGHT), model)
+
+
 def predict(df: DataFrame, model: Model, text: str = "text", held: int | None = None) -> DataFrame:
     """``df`` with ``lang_pred``, ``score`` and ``rejected``, which replace columns of these names."""
     df = df.drop("lang_pred", "score", "rejected")
     if not model.languages:
         return df.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "rejected": F.lit(True)})
-    scored = with_sums(df, model, text, held=held)
+    return told(with_sums(df, model, text, held=held), model)
+
+
+def told(scored: DataFrame, model: Model) -> DataFrame:
+    """Language, score and rejection from the sums."""
     n = len(model.languages)
     sums, symbols = F.slice(SUMS, 1, n), F.greatest(F.col(SUMS)[n], F.lit(1)).cast("double")
     most, none = F.array_max(sums), F.col(SUMS)[n + 1] == 0

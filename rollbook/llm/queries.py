@@ -63,8 +63,8 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", F.coalesce(langid.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
     )
-    model = langid.trained(docs.filter(~F.col("held_out")))
-    return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+    found = langid.judged(docs, ~F.col("held_out"), keep_text=False)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
