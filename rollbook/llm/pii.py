@@ -6,7 +6,9 @@ secrets (passwords, keys, tokens), which are told by shape and neighbours.  Its
 are a word's shape, affixes and the shapes of the words beside it; weights come from a
 small labelled table that ``labelled_lines`` builds from templates.  All words of a text
 are labelled: emissions are sums of per-word rows, and Viterbi runs in numpy over
-batches of lines of like length.
+batches of lines of like length.  A line that a batch of texts repeats is decoded once, and a
+line is not decoded where no word's best score, with the best transitions around it, comes up to
+that of staying outside all spans: there the best path is known to have none.
 
 A span of the CRF that touches a pattern's span is dropped, patterns' spans stay.
 Null texts are empty and have no spans; repeated rows are judged each.
@@ -267,6 +269,29 @@ class Field:
             self.rows = np.concatenate([self.rows, np.stack(rows)])
         return self.row_of[np.fromiter(map(self.place.__getitem__, chain.from_iterable(lines)), np.int64, count)]
 
+    def may_hold(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Of each line, whether a path through a span may be worth as much as the path outside all.
+
+        A span begins at a word, and gains there no more than its kind's first state does with the
+        best transition into it; after that, no more than all later words gain that gain anything
+        inside, and at its end the best transition out.  Where that is a loss from every word on,
+        leaving any span out makes a path better.
+        """
+        begin, inside = np.arange(1, len(STATES), 2), np.arange(2, len(STATES), 2)
+        stay = self.moves[0, 0]
+        into = self.moves[:, begin].max(axis=0) - stay
+        on = np.maximum(self.moves[begin, inside], self.moves[inside, inside]) - stay
+        out = max(self.moves[1:, 0].max() - stay, 0)
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        first = (scores[:, begin] - scores[:, :1] + into).max(axis=1)
+        at_start = scores[starts][:, begin] - scores[starts][:, :1] + self.first[begin] - self.first[0]
+        first[starts] = np.maximum(first[starts], at_start.max(axis=1))
+        later = np.maximum(scores[:, inside] - scores[:, :1] + on, 0).max(axis=1)
+        sums = np.concatenate([[0], np.cumsum(later, dtype=np.float64)])
+        rest = sums[np.repeat(ends, lengths)] - sums[1:]
+        return np.maximum.reduceat(first + rest + out, starts) > -ROUNDING
+
     def emissions(self, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Scores by word and state; ``at`` are the row numbers of sequences one after another."""
         out = self.rows[at, 0]
@@ -390,39 +415,61 @@ def trained(rounds: int = 110, penalty: float = 1e-3, seed: int = 7) -> Field:
 
 #: Scores of one padded batch of lines.
 CELLS = 1 << 20
+#: What rounding may cost a path, and more.
+ROUNDING = 1e-2
 
 
 def field_spans(field: Field, docs: list[str]) -> list[list[tuple[int, int, str]]]:
     """Spans of the added kinds in each text."""
-    split = [[line.split() for line in text.split("\n")] for text in docs]
-    lines = [line for doc in split for line in doc if line]
+    split = [text.split("\n") for text in docs]
+    found = line_spans(field, list(dict.fromkeys(chain.from_iterable(split))))
     out: list[list[tuple[int, int, str]]] = [[] for _ in docs]
-    if not lines:
-        return out
+    if found:
+        for own, lines in zip(out, split, strict=True):
+            start = 0
+            for line in lines:
+                own += [(start + a, start + b, kind) for a, b, kind in found.get(line, ())]
+                start += len(line) + 1
+    return out
+
+
+def line_spans(field: Field, texts_: list[str]) -> dict[str, list[tuple[int, int, str]]]:
+    """The spans of the lines that have any."""
+    lines = [x.split() for x in texts_]
+    filled = [k for k, words in enumerate(lines) if words]
+    if not filled:
+        return {}
+    lines = [lines[k] for k in filled]
     sizes = np.array(list(map(len, lines)))
-    states = labelled(field, lines, sizes)
-    ends = np.cumsum([sum(map(len, doc)) for doc in split])
+    scores = field.emissions(field.lookup(lines, int(sizes.sum())), sizes)
+    held = field.may_hold(scores, sizes)
+    if not held.any():
+        return {}
+    open_, scores, sizes = np.flatnonzero(held), scores[np.repeat(held, sizes)], sizes[held]
+    states = labelled(field, scores, sizes)
+    ends = np.cumsum(sizes)
     hits = np.flatnonzero(states)
-    first_words = np.zeros(len(states), dtype=bool)
-    first_words[np.cumsum(sizes) - sizes] = True
+    found: dict[str, list[tuple[int, int, str]]] = {}
     for d in np.unique(np.searchsorted(ends, hits, side="right")).tolist():
-        base = int(ends[d - 1]) if d else 0
-        runs_ = list(RUN.finditer(docs[d]))
+        base, text = int(ends[d] - sizes[d]), texts_[filled[open_[d]]]
+        own: list[tuple[int, int, str]] = []
+        runs_ = list(RUN.finditer(text))
         for i in hits[(hits >= base) & (hits < ends[d])].tolist():
             kind, m = STATES[states[i]][2:], runs_[i - base]
             a, b = CORE.match(m.group()).span(1)
             if a == b:
                 continue
-            if STATES[states[i]][0] == "I" and out[d] and out[d][-1][2] == kind and not first_words[i] and states[i - 1]:
-                out[d][-1] = (out[d][-1][0], m.start() + b, kind)
+            if STATES[states[i]][0] == "I" and own and own[-1][2] == kind and i > base and states[i - 1]:
+                own[-1] = (own[-1][0], m.start() + b, kind)
             else:
-                out[d].append((m.start() + a, m.start() + b, kind))
-    return out
+                own.append((m.start() + a, m.start() + b, kind))
+        if own:
+            found[text] = own
+    return found
 
 
-def labelled(field: Field, lines: list[list[str]], sizes: np.ndarray) -> np.ndarray:
-    """The best state of each word of the lines, one after another."""
-    flat = field.emissions(field.lookup(lines, int(sizes.sum())), sizes)
+def labelled(field: Field, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The best state of each word of the lines, whose scores stand one after another."""
     starts = np.cumsum(sizes) - sizes
     order = np.argsort(sizes, kind="stable")
     states = np.zeros(len(flat), dtype=np.int8)
