@@ -1,25 +1,30 @@
 """Exact top-k inner products by searching a cover tree of queries and one of data together.
 
-Vectors of integers are dealt to the nearest of a few centres, a farthest-first cover of
-a drawn sample of at most ``SAMPLE`` vectors, and from there by their id into blocks of
-about ``BLOCK`` rows; so a vector that very many rows share fills many blocks.  Each
+Vectors of integers are dealt by a cover in levels: to the nearest of a few centres, a
+farthest-first cover of a drawn sample; then, in each group of more than ``BLOCK`` rows, to
+the nearest centre of a cover of the group's own sample, ``LEVELS`` times at most, so
+that groups get narrower as the table grows.  A group that is still larger, for instance
+of one vector that very many rows share, is dealt to blocks by the id.  Each
 block becomes a tree: a node covers its points within a radius, its children within
 about half of it.  For nodes with centres p, q and radii r, s no two points' product
 exceeds <p, q> + r |q| + s |p| + r s.
 
 1. Each block of queries is searched against its ``SEEDS`` data blocks of highest bound.
    That gives every query a kth score.
-2. Pairs of blocks whose bound is below the worst kth score of the queries are dropped;
-   in all others the two trees are searched together, pairs of nodes pruned the same
-   way, queries starting from the kth scores known.
+2. From there a query block descends: to the groups whose bound reaches the worst kth score
+   of its queries, to their blocks that do, and in these both trees are searched together.  All
+   pairs of nodes of two trees are bounded in one matrix and the walk masks it level by level;
+   the leaves left are scored in one matrix product.
 3. The ranks over what was found are counted per query.
 
-The number of block pairs looked at is (query blocks) x (data blocks), each a row of two
-centres; blocks themselves move only for the pairs kept.
+What the bounds save depends on the data: clustered vectors are pruned well, vectors
+spread evenly over a sphere of many dimensions not at all, and then every product is
+computed, block by block.  The cover's centres are broadcast, at most ``GROUPS`` times
+``CENTRES`` of them.
 
 Vectors that are null or hold null or non-finite components, and rows without an id,
 take no part.  Missing components of shorter vectors are zeros.  Rows that repeat an id
-count once, with their least vector.  Ties go to the smaller id.
+count once, with their least vector.  Ties go to the smaller id.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,9 +41,13 @@ from rollbook.llm.storage import written
 
 SAMPLE = 1024
 CENTRES = 32
+#: Times that groups are divided after the first cover, groups that are, and rows drawn of each.
+LEVELS, GROUPS, GROUP_SAMPLE = 2, CENTRES**2, 256
 BLOCK = 2048
 QUERY_BLOCK = 256
 LEAF, QUERY_LEAF = 48, 12
+#: Points, in multiples of k, that a query is scored against before other leaves are bounded.
+FIRST_POINTS = 4
 CHILDREN = 12
 SEEDS = 2
 NOTHING = np.iinfo(np.int64).min
@@ -95,9 +104,12 @@ class Tree:
             nodes.append([a, b, centre, radius, []])
             if parent >= 0:
                 nodes[parent][4].append(k)
-            if b - a <= leaf or radius == 0:
+            small = b - a <= leaf
+            if radius == 0 or b - a < 3 or small and radius <= nodes[0][3] / 2:
                 continue
-            chosen, at, _ = farthest_first(own, CHILDREN, radius / 2)
+            chosen, at, near = farthest_first(own, CHILDREN, radius / 2)
+            if small and near.max() > radius / 2:
+                continue  # a wide leaf that falls into no clusters
             by = np.argsort(at, kind="stable")
             order[a:b] = order[a:b][by]
             cuts = a + np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(chosen)))])
@@ -108,7 +120,16 @@ class Tree:
         self.centres = np.stack([n[2] for n in nodes])
         self.radii = np.array([n[3] for n in nodes])
         self.norms = np.sqrt((self.centres**2).sum(axis=1))
-        self.children = [np.array(n[4], dtype=np.int64) for n in nodes]
+        self.parts = np.array([len(n[4]) for n in nodes])
+        self.children = np.array([c for n in nodes for c in n[4]], dtype=np.int64)
+        self.children_at = np.cumsum(self.parts) - self.parts
+
+    def below(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The children of all the nodes, and for each the place of its parent among them."""
+        parts = self.parts[nodes]
+        up = np.repeat(np.arange(len(nodes)), parts)
+        nth = np.arange(len(up)) - np.repeat(np.cumsum(parts) - parts, parts)
+        return self.children[self.children_at[nodes][up] + nth], up
 
     def widened(self, width: int) -> None:
         if (more := width - self.points.shape[1]) > 0:
@@ -130,6 +151,7 @@ class Search:
         self.scores = np.full((len(queries.ids), k), NOTHING, dtype=np.int64)
         self.ids = np.full((len(queries.ids), k), np.iinfo(np.int64).max)
         self.floor = floor.copy()  # a kth score that each query has already
+        self.scored = 0  # products taken
 
     def against(self, data: Tree) -> None:
         q = self.queries
@@ -137,41 +159,90 @@ class Search:
         q.widened(width)
         data.widened(width)
         most = float(np.abs(q.points).max(initial=0)) * float(np.abs(data.points).max(initial=0)) * width
-        as_float = most < 2**53
-        own = q.points.astype(np.float64) if as_float else q.points
-        other = data.points.astype(np.float64) if as_float else data.points
-        stack = [(0, 0, np.inf)]
-        while stack:
-            a, b, most = stack.pop()
-            rows = slice(q.first[a], q.last[a])
-            if most < self.floor[rows].min():
-                continue
-            split_a, split_b = len(q.children[a]) > 0, len(data.children[b]) > 0
-            if not split_a and not split_b:
-                self._leaf(rows, data.ids[data.first[b] : data.last[b]], own[rows] @ other[data.first[b] : data.last[b]].T)
-                continue
-            if split_a and (not split_b or q.radii[a] >= data.radii[b]):
-                parts, rest = q.children[a], np.full(len(q.children[a]), b)
-            else:
-                rest, parts = data.children[b], np.full(len(data.children[b]), a)
-            product = (q.centres[parts] * data.centres[rest]).sum(axis=1)
-            limits = bound(product, q.radii[parts], q.norms[parts], data.radii[rest], data.norms[rest])
-            for i in np.argsort(limits):  # the most promising last, to be taken first
-                stack.append((int(parts[i]), int(rest[i]), float(limits[i])))
-
-    def _leaf(self, rows: slice, ids: np.ndarray, scores: np.ndarray) -> None:
-        scores = scores.astype(np.int64)
-        scores[self.queries.ids[rows, None] == ids] = NOTHING
-        hit = np.flatnonzero((scores >= self.floor[rows, None]).any(axis=1))
-        if not len(hit):
+        kind = np.float64 if most < 2**53 else np.int64
+        own, other = q.points.astype(kind), data.points.astype(kind)
+        limits = bound(q.centres @ data.centres.T, q.radii[:, None], q.norms[:, None], data.radii, data.norms)
+        a, b = self._open_leaves(data, limits)
+        if not len(a):
             return
-        at = rows.start + hit
-        all_scores = np.concatenate([self.scores[at], scores[hit]], axis=1)
-        all_ids = np.concatenate([self.ids[at], np.broadcast_to(ids, (len(hit), len(ids)))], axis=1)
-        order = np.lexsort((all_ids, ~all_scores), axis=-1)[:, : self.k]
-        self.scores[at] = np.take_along_axis(all_scores, order, axis=1)
-        self.ids[at] = np.take_along_axis(all_ids, order, axis=1)
-        self.floor[at] = np.maximum(self.floor[at], self.scores[at, -1])
+        leaves_a, at_a = np.unique(a, return_inverse=True)
+        leaves_b, at_b = np.unique(b, return_inverse=True)
+        asked = np.zeros((len(leaves_a), len(leaves_b)), dtype=bool)
+        asked[at_a, at_b] = True
+        rows, leaf_a = spans(q.first[leaves_a], q.last[leaves_a])
+        asked = asked[leaf_a]
+        # each query by itself is a node of radius 0
+        points = q.points[rows].astype(np.float64)
+        product = points @ data.centres[leaves_b].T
+        norms = np.sqrt((points**2).sum(axis=1))[:, None]
+        limits = bound(product, 0.0, norms, data.radii[leaves_b], data.norms[leaves_b])
+        # its nearest leaves first: their scores narrow what is left
+        near = np.argsort(np.where(asked, -product, np.inf), axis=1)
+        sizes = (data.last - data.first)[leaves_b][near]
+        first = np.zeros_like(asked)
+        np.put_along_axis(first, near, np.cumsum(sizes, axis=1) - sizes < FIRST_POINTS * self.k, axis=1)
+        first &= asked
+        self._score(data, own, other, rows, leaves_b, first)
+        self._score(data, own, other, rows, leaves_b, asked & ~first & (limits >= self.floor[rows][:, None]))
+
+    def _worst(self) -> np.ndarray:
+        """The least kth score of the queries in each node."""
+        q = self.queries
+        return np.array([self.floor[x:y].min() for x, y in zip(q.first, q.last, strict=True)])
+
+    def _open_leaves(self, data: Tree, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of leaves whose bounds, and those of the nodes above, reach the kth scores."""
+        q, worst = self.queries, self._worst()
+        a = b = np.zeros(1, dtype=np.int64)
+        found_a, found_b = [], []
+        while len(a):
+            keep = limits[a, b] >= worst[a]
+            a, b = a[keep], b[keep]
+            leaf = (q.parts[a] == 0) & (data.parts[b] == 0)
+            found_a.append(a[leaf])
+            found_b.append(b[leaf])
+            a, b = a[~leaf], b[~leaf]
+            first = (q.parts[a] > 0) & ((data.parts[b] == 0) | (q.radii[a] >= data.radii[b]))
+            down_a, up_a = q.below(a[first])
+            down_b, up_b = data.below(b[~first])
+            a, b = np.concatenate([down_a, a[~first][up_b]]), np.concatenate([b[first][up_a], down_b])
+        return np.concatenate(found_a), np.concatenate(found_b)
+
+    def _score(self, data: Tree, own: np.ndarray, other: np.ndarray, rows: np.ndarray, leaves: np.ndarray, asked: np.ndarray) -> None:
+        """Takes the products of queries with the points of the leaves ``asked`` for into the best of each query."""
+        live, some = asked.any(axis=1), asked.any(axis=0)
+        if not live.any():
+            return
+        q = self.queries
+        rows, leaves, asked = rows[live], leaves[some], asked[live][:, some]
+        columns, leaf_b = spans(data.first[leaves], data.last[leaves])
+        ids = data.ids[columns]
+        scores = (own[rows] @ other[columns].T).astype(np.int64)
+        wanted = asked[:, leaf_b]
+        self.scored += int(wanted.sum())
+        scores[~wanted | (q.ids[rows][:, None] == ids)] = NOTHING
+        all_scores = np.concatenate([self.scores[rows], scores], axis=1)
+        kth = np.partition(all_scores, -self.k, axis=1)[:, -self.k]
+        least = np.maximum(kth, self.floor[rows])
+        i, j = np.nonzero((all_scores >= least[:, None]) & (all_scores > NOTHING))
+        from_new = j >= self.k
+        found = np.where(from_new, ids[np.where(from_new, j - self.k, 0)], self.ids[rows[i], np.where(from_new, 0, j)])
+        value = all_scores[i, j]
+        order = np.lexsort((found, -value, i))
+        i, found, value = i[order], found[order], value[order]
+        rank = np.arange(len(i)) - np.searchsorted(i, i, side="left")
+        top = rank < self.k
+        at = rows[i[top]]
+        self.scores[rows], self.ids[rows] = NOTHING, np.iinfo(np.int64).max
+        self.scores[at, rank[top]], self.ids[at, rank[top]] = value[top], found[top]
+        self.floor[rows] = np.maximum(self.floor[rows], self.scores[rows, -1])
+
+
+def spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places from each first to its last, and which of the spans each is of."""
+    sizes = last - first
+    which = np.repeat(np.arange(len(first)), sizes)
+    return np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first[which], which
 
 
 # ---------------------------------------------------------------- in Spark
@@ -193,54 +264,120 @@ def centres_of(rows: DataFrame) -> np.ndarray:
     return points[farthest_first(points, CENTRES, 0.0)[0]]
 
 
-def trees(rows: DataFrame, centres: np.ndarray, block: int, leaf: int) -> DataFrame:
-    """(block, centre, radius, tree): every row in the tree of one block."""
+def nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    own = np.pad(centres, ((0, 0), (0, points.shape[1] - centres.shape[1])))
+    return ((own**2).sum(axis=1) - 2 * points @ own.T).argmin(axis=1)
+
+
+def divided(rows: DataFrame, covers: dict[int, np.ndarray], out: str) -> DataFrame:
+    """(id, v, at): group ``at`` becomes ``at`` * CENTRES + the nearest centre of its cover, or 0 where it has none."""
+    shared = rows.sparkSession.sparkContext.broadcast(covers)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("v").to_pylist()
-            width = max([centres.shape[1], *map(len, lists)])
-            points = matrix_of(lists, width).astype(np.float64)
-            own = np.pad(centres, ((0, 0), (0, width - centres.shape[1])))
-            far = (own**2).sum(axis=1) - 2 * points @ own.T
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(far.argmin(axis=1).astype(np.int32))], names=["id", "v", "at"])
-
-    dealt = written(rows.mapInArrow(deal, "id long, v array<long>, at int"), "dealt")
-    sizes = {r["at"]: r["rows"] for r in dealt.groupBy("at").agg(F.count(F.lit(1)).alias("rows")).collect()}  # a row a centre
-    parts = F.lit([max(1, -(-sizes.get(k, 0) // block)) for k in range(len(centres))])
-    part = F.pmod(F.xxhash64("id"), F.get(parts, F.col("at"))).cast("long")
-    keyed = dealt.withColumn("block", F.col("at").cast("long") * (1 << 32) + part)
+            lists, at = batch.column("v").to_pylist(), batch.column("at").to_numpy()
+            width = max([1, *map(len, lists), *(c.shape[1] for c in shared.value.values())])
+            points, new = matrix_of(lists, width).astype(np.float64), at * CENTRES
+            for group in np.unique(at).tolist():
+                if group in shared.value:
+                    own = at == group
+                    new[own] += nearest(points[own], shared.value[group])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(new)], names=["id", "v", "at"])
+
+    found = written(rows.mapInArrow(deal, "id long, v array<long>, at long"), out)
+    shared.destroy()
+    return found
+
+
+def group_covers(dealt: DataFrame, large: dict[int, int]) -> dict[int, np.ndarray]:
+    """Covers of samples of the large groups (their rows by group)."""
+    parts = 1 << 20
+    share = F.create_map(*(F.lit(x) for at, n in large.items() for x in (at, min(parts, parts * GROUP_SAMPLE // n + 1))))
+    drawn = dealt.filter(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)) < share[F.col("at")])
+
+    def cover(table: pa.Table) -> pa.Table:
+        points = matrix_of(table.sort_by("id").column("v").to_pylist()).astype(np.float64)
+        centres = points[farthest_first(points, CENTRES, 0.0)[0]]
+        return pa.table({"at": table.column("at").slice(0, 1), "cover": pa.array([pickle.dumps(centres)], pa.binary())})
+
+    found = drawn.groupBy("at").applyInArrow(cover, "at long, cover binary").collect()
+    return {r["at"]: pickle.loads(r["cover"]) for r in found}
+
+
+def trees(rows: DataFrame, centres: np.ndarray, block: int, leaf: int) -> DataFrame:
+    """(block, at, centre, radius, tree): every row in the tree of one block of group ``at``."""
+    dealt = divided(rows.select("id", "v", F.lit(0).cast("long").alias("at")), {0: centres}, "dealt")
+    for level in range(LEVELS + 1):
+        # at most CENTRES ** (level + 1) rows
+        sizes = {r["at"]: r["rows"] for r in dealt.groupBy("at").agg(F.count(F.lit(1)).alias("rows")).collect()}
+        large = {at: n for at, n in sizes.items() if n > block}
+        if not large or level == LEVELS or len(large) > GROUPS:
+            break
+        dealt = divided(dealt, group_covers(dealt, large), "dealt")
+    keyed = dealt.withColumn("block", F.col("at") * (1 << 32))
+    if large:
+        parts = F.create_map(*(F.lit(x) for at, n in large.items() for x in (at, -(-n // block))))[F.col("at")]
+        keyed = keyed.withColumn("block", F.col("block") + F.pmod(F.xxhash64("id"), F.coalesce(parts, F.lit(1))))
 
     def grow(table: pa.Table) -> pa.Table:
         tree = Tree(table.column("id").to_numpy(), matrix_of(table.column("v").to_pylist()), leaf)
         return pa.table({
-            "block": table.column("block").slice(0, 1), "centre": pa.array([tree.centres[0]], pa.list_(pa.float64())),
+            "block": table.column("block").slice(0, 1), "at": table.column("at").slice(0, 1), "centre": pa.array([tree.centres[0]], pa.list_(pa.float64())),
             "radius": pa.array([tree.radii[0]]), "tree": pa.array([pickle.dumps(tree)], pa.binary()),
         })
 
-    return keyed.groupBy("block").applyInArrow(grow, "block long, centre array<double>, radius double, tree binary")
+    return keyed.groupBy("block").applyInArrow(grow, "block long, at long, centre array<double>, radius double, tree binary")
 
 
 def _norm(v: str) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
 
 
-def block_pairs(queries: DataFrame, data: DataFrame, shelves: int) -> DataFrame:
-    """(q, b, most): all pairs of query block and data block and the bound of their products.
+def _inner(a: str, b: str) -> Column:
+    zero = F.lit(0.0)
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x, zero) * F.coalesce(y, zero)), zero, lambda s, x: s + x)
 
-    Data blocks lie on shelves by number; each query block visits every shelf.
-    """
-    shelf = F.pmod(F.xxhash64("block"), F.lit(shelves))
-    left = queries.select(
-        F.col("block").alias("q"), F.col("centre").alias("p"), F.col("radius").alias("r"), _norm("centre").alias("n"),
-        F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))).alias("shelf"),
-    )
-    right = data.select(
-        F.col("block").alias("b"), F.col("centre").alias("p2"), F.col("radius").alias("r2"), _norm("centre").alias("n2"), shelf.cast("int").alias("shelf"),
-    )
+
+def group_nodes(data: DataFrame) -> DataFrame:
+    """(at, centre, radius): a node above the blocks of each group, around the centre of one of them."""
+    balls = data.select("at", "block", "centre", "radius")
+    centre = balls.groupBy("at").agg(F.min(F.struct("block", "centre"))["centre"].alias("middle"))
     zero = F.lit(0.0)
-    product = F.aggregate(F.zip_with("p", "p2", lambda x, y: F.coalesce(x, zero) * F.coalesce(y, zero)), zero, lambda s, x: s + x)
-    return left.join(right, "shelf").select("q", "b", bound(product, F.col("r"), F.col("n"), F.col("r2"), F.col("n2")).alias("most"))
+    gaps = F.zip_with("centre", "middle", lambda x, y: F.pow(F.coalesce(x, zero) - F.coalesce(y, zero), F.lit(2.0)))
+    reach = F.sqrt(F.aggregate(gaps, zero, lambda s, x: s + x)) + F.col("radius")
+    return balls.join(centre, "at").groupBy("at").agg(F.first("middle").alias("centre"), F.max(reach).alias("radius"))
+
+
+def block_pairs(queries: DataFrame, groups: DataFrame, data: DataFrame, nearest_: int | None = None) -> DataFrame:
+    """(q, b, most): pairs of query block and data block that may hold one of the best, with the bound of their products.
+
+    ``queries`` has block, centre, radius and ``worst``, the score that a bound must reach.  With
+    ``nearest_`` only that many groups of highest bound are descended to.
+    """
+    held = groups.collect()  # at most CENTRES ** (LEVELS + 1) rows
+    width = max([1, *(len(r["centre"]) for r in held)])
+    centres = np.array([r["centre"] + [0.0] * (width - len(r["centre"])) for r in held]).reshape(len(held), width)
+    radii, ats = np.array([r["radius"] for r in held]), np.array([r["at"] for r in held], dtype=np.int64)
+    shared = queries.sparkSession.sparkContext.broadcast((centres, radii, np.sqrt((centres**2).sum(axis=1)), ats))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, radii, norms, ats = shared.value
+        for batch in batches:
+            for q, p, r, worst in zip(*(batch.column(c).to_pylist() for c in ("block", "centre", "radius", "worst")), strict=True):
+                own = np.zeros(max(width, len(p)))
+                own[: len(p)] = p
+                limits = bound(centres @ own[:width], r, np.sqrt((own**2).sum()), radii, norms)
+                keep = np.flatnonzero(limits >= worst)
+                if nearest_ is not None:
+                    keep = keep[np.argsort(-limits[keep], kind="stable")[:nearest_]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keep), q)), pa.array(ats[keep])], names=["q", "at"])
+
+    asked = queries.select("block", "centre", "radius", "worst")
+    visited = asked.mapInArrow(visit, "q long, at long")
+    left = asked.select(F.col("block").alias("q"), F.col("centre").alias("p"), F.col("radius").alias("r"), _norm("centre").alias("n"), "worst")
+    right = data.select("at", F.col("block").alias("b"), F.col("centre").alias("p2"), F.col("radius").alias("r2"), _norm("centre").alias("n2"))
+    most = bound(_inner("p", "p2"), F.col("r"), F.col("n"), F.col("r2"), F.col("n2"))
+    return visited.join(right, "at").join(left, "q").select("q", "b", most.alias("most"), "worst").filter("most >= worst").drop("worst")
 
 
 def searched(pairs: DataFrame, queries: DataFrame, data: DataFrame, known: DataFrame, k: int) -> DataFrame:
@@ -284,10 +421,11 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     data = written(trees(rows, centres, BLOCK, LEAF), "data-trees")
     few = max(1, min(len(centres), -(-queries.count() // QUERY_BLOCK)))
     asked = written(trees(queries, centres[:few], QUERY_BLOCK, QUERY_LEAF), "query-trees")
-    pairs = written(block_pairs(asked, data, shelves=16), "pairs")
+    groups = written(group_nodes(data), "groups")
+    pairs = block_pairs(asked.withColumn("worst", F.lit(float("-inf"))), groups, data, SEEDS)
 
     best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("most"), "b"))
-    seeds = pairs.withColumn("rank", best).filter(F.col("rank") <= SEEDS).select("q", "b")
+    seeds = written(pairs.withColumn("rank", best).filter(F.col("rank") <= SEEDS).select("q", "b"), "seeds")
     nothing = asked.select(F.col("block").alias("q")).filter("false").selectExpr("q", "array(0L) AS ids", "array(0L) AS floors")
     first = written(searched(seeds, asked, data, nothing, k), "first")
 
@@ -299,7 +437,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         .select("q", F.col("all_.id").alias("ids"), F.col("all_.floor").alias("floors"), "worst"),
         "known",
     )
-    left = pairs.join(seeds, ["q", "b"], "left_anti").join(known.select("q", "worst"), "q").filter(F.col("most") >= F.col("worst"))
+    open_ = asked.join(known.select(F.col("q").alias("block"), F.col("worst").cast("double").alias("worst")), "block")
+    left = block_pairs(open_, groups, data).select("q", "b").join(seeds, ["q", "b"], "left_anti")
     rest = searched(left, asked, data, known.drop("worst"), k)
     return ranked(first.unionAll(rest), k)
 

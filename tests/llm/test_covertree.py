@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 
 import numpy as np
 import pytest
@@ -78,9 +79,34 @@ def test_tree_prunes_and_covers():
     for a, b, centre, radius in zip(tree.first, tree.last, tree.centres, tree.radii, strict=True):
         assert covertree.distances(tree.points[a:b], centre).max() <= radius + 1e-6
     queries = covertree.Tree(np.arange(3000, 3040), points[:40], leaf=4)
-    leaves = []
     search = covertree.Search(queries, 5, np.full(40, covertree.NOTHING))
-    leaf = search._leaf
-    search._leaf = lambda rows, ids, scores: (leaves.append(scores.size), leaf(rows, ids, scores))
     search.against(tree)
-    assert sum(leaves) < 0.5 * 40 * 3000
+    assert search.scored < 0.5 * 40 * 3000
+
+
+def test_clusters_of_64_dimensions_are_pruned():
+    """With kth scores from the nearest block, hardly a leaf of the other clusters is scored."""
+    draw = np.random.default_rng(2)
+    centres = draw.normal(size=(40, 64)) * 1000
+    member = draw.integers(40, size=4000)
+    points = (centres[member] + draw.normal(size=(4000, 64)) * 60).astype(np.int64)
+    tree = covertree.Tree(np.arange(4000), points)
+    queries = covertree.Tree(np.arange(4000, 4100), points[:100], leaf=covertree.QUERY_LEAF)
+    search = covertree.Search(queries, 10, np.full(100, covertree.NOTHING))
+    search.against(tree)
+    assert search.scored < 0.25 * 100 * 4000
+    scores = points[queries.ids - 4000] @ points.T
+    assert (np.sort(search.scores, axis=1) == np.sort(scores, axis=1)[:, -10:]).all()
+
+
+def test_groups_are_divided_by_cover(spark, monkeypatch):
+    """A table of many groups gets narrower blocks, and equal vectors are dealt by id."""
+    monkeypatch.setattr(covertree, "BLOCK", 50)
+    draw = np.random.default_rng(4)
+    points = draw.integers(-1000, 1000, size=(3000, 4)).tolist() + [[7, 7, 7, 7]] * 400
+    rows = spark.createDataFrame([(n, v) for n, v in enumerate(points)], "id long, v array<long>")
+    data = covertree.trees(rows, covertree.centres_of(rows), covertree.BLOCK, 8).collect()
+    held = [pickle.loads(r["tree"]) for r in data]
+    assert sorted(i for t in held for i in t.ids.tolist()) == list(range(3400))
+    assert max(len(t.ids) for t in held) <= 2 * covertree.BLOCK
+    assert np.median([r["radius"] for r in data]) < 500
