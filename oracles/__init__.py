@@ -47,6 +47,8 @@ ANSWERS: dict[str, str] = {
     "post_start_positive": "positives_on_treatment",
     "conversion_pairs": "confirming_pairs",
     "initial_conversion": "conversion",
+    "register_grain": "register_grain",
+    "register_grain_forecast": "register_grain",
 }
 
 

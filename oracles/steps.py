@@ -302,7 +302,7 @@ STEPS: dict[str, str] = {
         FROM nearest_positive p LEFT JOIN nearest_negative n ON p.{P} = n.{P}""",
     "negatives_on_treatment": _on_treatment(NEGATIVE),
     "positives_on_treatment": _on_treatment(POSITIVE),
-    "confirming_pairs": f"""
+    "conversion_pairs_every": f"""
         SELECT a.{P}, a.collection_date AS collection_date1, b.collection_date AS collection_date2,
                CAST(b.collection_date - a.collection_date AS INTEGER) AS days_between,
                CAST(count(base.closest_positive) AS BIGINT) AS pos_baseline,
@@ -316,9 +316,10 @@ STEPS: dict[str, str] = {
         JOIN negatives_on_treatment b ON a.{P} = b.{P} AND b.collection_date > a.collection_date + 15
         LEFT JOIN positives_on_treatment p ON a.{P} = p.{P}
         LEFT JOIN baseline_pair base ON a.{P} = base.{P}
-        GROUP BY a.{P}, a.collection_date, b.collection_date
-        QUALIFY b.collection_date = min(b.collection_date)
-                OVER (PARTITION BY a.{P}, a.collection_date)""",
+        GROUP BY a.{P}, a.collection_date, b.collection_date""",
+    "confirming_pairs": f"""
+        SELECT * FROM conversion_pairs_every
+        QUALIFY collection_date2 = min(collection_date2) OVER (PARTITION BY {P}, collection_date1)""",
     "conversion": f"""
         SELECT a.{P}, a.collection_date AS initial_cc_date,
                CASE WHEN EXISTS (SELECT 1 FROM positives_on_treatment p WHERE p.{P} = a.{P}

@@ -6,6 +6,14 @@ ordinary enrolment has chunk 0 only; of a heavy one the rows of its largest form
 dealt over as many chunks as they fill, and everything else is repeated for each.  Which
 enrolments are heavy is counted in the same plan, with map-side combine, and meets the
 tables as a DataFrame; nothing is collected, refused or planned differently by size.
+
+The chunk of a row follows from the row alone: equal rows are counted, and the copies
+of a row take the chunks from the row's hash on.  A task that runs again therefore deals
+its rows as before, in whatever order they come to it.  Only rows of heavy enrolments are
+counted; where there are none, adaptive execution drops that branch unread.
+
+Tables that are stored clustered by enrolment need no exchange for ordinary enrolments:
+``clustered`` joins those on the enrolment alone and only the heavy ones on (enrolment, chunk).
 """
 
 from __future__ import annotations
@@ -13,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.sources.schemas import PID
@@ -40,19 +48,70 @@ def heavy_enrolments(keys: Mapping[str, DataFrame], chunk_rows: int) -> DataFram
     return found.repartition(LARGEST)
 
 
-def _dealt(name: str, table: DataFrame, heavy: DataFrame, place: Column | None) -> DataFrame:
-    """The table's rows with their chunks; ``place`` numbers rows of a form, none repeats every row."""
-    each = F.sequence(F.lit(0), F.col(CHUNKS) - 1)
-    if place is not None:
-        own = F.array(F.pmod(place, F.col(CHUNKS)).cast("int"))
-        each = F.when(F.col(LARGEST) == name, own).otherwise(each)
-    chunks = F.when(F.col(CHUNKS).isNull(), F.array(F.lit(0))).otherwise(each)
-    return table.join(heavy, PID, "left").withColumn(CHUNK, F.explode(chunks)).drop(CHUNKS)
+def dealt(name: str, table: DataFrame, heavy: DataFrame) -> DataFrame:
+    """The form's rows of the enrolments that have most of it, each copy of a row in its chunk."""
+    columns = [F.col(f"`{c}`") for c in table.columns]
+    own = table.join(heavy.where(F.col(LARGEST) == name), PID)
+    copies = own.groupBy(*columns, LARGEST, CHUNKS).agg(F.count(F.lit(1)).alias("copies_"))
+    each = copies.withColumn("copy_", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies_") - 1)))
+    place = F.pmod(F.xxhash64(*columns), F.col(CHUNKS)) + F.col("copy_")
+    return each.select(*columns, LARGEST, F.pmod(place, F.col(CHUNKS)).cast("int").alias(CHUNK))
+
+
+def repeated(table: DataFrame, heavy: DataFrame, how: str) -> DataFrame:
+    """Rows once, or for each chunk of a heavy enrolment."""
+    chunks = F.when(F.col(CHUNKS).isNull(), F.array(F.lit(0))).otherwise(
+        F.sequence(F.lit(0), F.col(CHUNKS) - 1)
+    )
+    return table.join(heavy, PID, how).withColumn(CHUNK, F.explode(chunks)).drop(CHUNKS)
+
+
+def _chunked(name: str, table: DataFrame, heavy: DataFrame, how: str) -> DataFrame:
+    others = repeated(table, heavy, how)
+    if how == "left":
+        others = others.where(F.col(LARGEST).isNull() | (F.col(LARGEST) != name))
+    else:
+        others = others.where(F.col(LARGEST) != name)
+    return others.unionByName(dealt(name, table, heavy))
+
+
+def _divided(
+    required: Mapping[str, DataFrame],
+    optional: Mapping[str, DataFrame],
+    together: DataFrame | None,
+    heavy: DataFrame,
+    how: str,
+) -> DataFrame:
+    """The joins on (enrolment, chunk), of all enrolments or (``how="inner"``) of heavy ones."""
+    rows = None
+    for name, table in {**required, **optional}.items():
+        own = _chunked(name, table, heavy, how).withColumn(f"has_{name}_", F.lit(True))
+        if rows is None:
+            rows = own
+        else:
+            rows = rows.join(own.drop(LARGEST), [PID, CHUNK], "inner" if name in required else "left")
+    if together is not None:
+        rows = rows.join(repeated(together, heavy, how).drop(LARGEST), [PID, CHUNK], "left")
+    # a chunk that got no row of the enrolment's largest form has nothing to say
+    for name in optional:
+        rows = rows.where(F.col(LARGEST).isNull() | (F.col(LARGEST) != name) | F.col(f"has_{name}_"))
+    return rows.drop(CHUNK, LARGEST, *(f"has_{name}_" for name in (*required, *optional)))
 
 
-def _numbered(table: DataFrame) -> DataFrame:
-    """Rows with a number that a task drawn again draws again: files are read in one order."""
-    return table.withColumn("place_", F.monotonically_increasing_id())
+def _ordinary(
+    required: Mapping[str, DataFrame],
+    optional: Mapping[str, DataFrame],
+    together: DataFrame | None,
+    heavy: DataFrame,
+) -> DataFrame:
+    """The joins on the enrolment alone, without heavy enrolments."""
+    first, *others = required
+    rows = required[first].join(heavy.select(PID), PID, "left_anti")
+    for name in others:
+        rows = rows.join(required[name], PID)
+    for table in optional.values():
+        rows = rows.join(table, PID, "left")
+    return rows if together is None else rows.join(together, PID, "left")
 
 
 def join_chunked(
@@ -61,30 +120,22 @@ def join_chunked(
     features: Iterable[DataFrame] = (),
     keys: Mapping[str, DataFrame] | None = None,
     chunk_rows: int | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """Required forms joined, then optional forms and features where present.
 
     ``features`` have one row per enrolment and are clustered by it; they are joined to
     one another first, so they share one exchange to the chunks.  ``keys`` may name
     smaller tables that hold a form's enrolments about as often as the form does; they
-    are counted in its place.
+    are counted in its place.  ``clustered`` says that the tables are stored clustered by
+    enrolment; it changes the plan and no row.
     """
-    tables = {**required, **optional}
-    heavy = heavy_enrolments({**tables, **(keys or {})}, chunk_rows or CHUNK_ROWS)
-    rows = None
-    for name, table in tables.items():
-        own = _dealt(name, _numbered(table), heavy, F.col("place_")).drop("place_")
-        own = own.withColumn(f"has_{name}_", F.lit(True))
-        if rows is None:
-            rows = own
-        else:
-            rows = rows.join(own.drop(LARGEST), [PID, CHUNK], "inner" if name in required else "left")
+    heavy = heavy_enrolments({**required, **optional, **(keys or {})}, chunk_rows or CHUNK_ROWS)
+    # a union would lose types; every feature has each enrolment once
     features = list(features)
-    if features:
-        # a union would lose types; every feature has each enrolment once
-        together = reduce(lambda a, b: a.join(b, PID, "full"), features)
-        rows = rows.join(_dealt("", together, heavy, None).drop(LARGEST), [PID, CHUNK], "left")
-    # a chunk that got no row of the enrolment's largest form has nothing to say
-    for name in optional:
-        rows = rows.where(F.col(LARGEST).isNull() | (F.col(LARGEST) != name) | F.col(f"has_{name}_"))
-    return rows.drop(CHUNK, LARGEST, *(f"has_{name}_" for name in tables))
+    together = reduce(lambda a, b: a.join(b, PID, "full"), features) if features else None
+    if not clustered:
+        return _divided(required, optional, together, heavy, "left")
+    return _ordinary(required, optional, together, heavy).unionByName(
+        _divided(required, optional, together, heavy, "inner")
+    )

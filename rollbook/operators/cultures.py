@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.functions.ranges import join_within
+from rollbook.functions.ranges import join_since, join_within
 from rollbook.sources.schemas import PID
 
 # Culture results of the mart.
@@ -53,12 +53,10 @@ def baseline_window(
 def post_start_cultures(
     initiations: DataFrame, results: DataFrame, specimens: DataFrame, wanted: str
 ) -> DataFrame:
-    """(enrolment, date) of wanted cultures on or after treatment start."""
-    return (
-        culture_events(results, specimens, wanted)
-        .join(initiations.select(PID, START), PID)
-        .where(F.col(COLLECTED) >= F.col(START))
-        .select(PID, F.col(COLLECTED).cast("date").alias("collection_date"))
+    """(enrolment, date) of wanted cultures on or after treatment start, once for each such start."""
+    events = culture_events(results, specimens, wanted).select(PID, COLLECTED)
+    return join_since(events, initiations.select(PID, START), PID, COLLECTED, START).select(
+        PID, F.col(COLLECTED).cast("date").alias("collection_date")
     )
 
 
@@ -263,16 +261,21 @@ def initial_conversion(summary: DataFrame) -> DataFrame:
     )
 
 
+#: First days of pairs that one task takes of an enrolment; it tunes the spread and never changes rows.
+PAIR_DAYS = 366
+
+
 def conversion_pairs(
-    timeline: DataFrame, confirm_after: int = CONFIRM_AFTER_DAYS
+    timeline: DataFrame, confirm_after: int = CONFIRM_AFTER_DAYS, every: bool = False
 ) -> DataFrame:
     """Each negative day on treatment with the first negative that can confirm it.
 
     The confirming day is the nearest negative more than ``confirm_after`` days
     later; if a positive lies between these two it lies in every longer pair too,
-    so one row per first day decides conversion.  The counters carry the
-    multiplicity of a join of both days with the enrolment's positive cultures
-    and its baseline positive (one unit per joined row), taken from running sums.
+    so one row per first day decides conversion.  ``every`` lists the longer pairs as well.
+    The counters carry the multiplicity of a join of both days with the enrolment's
+    positive cultures and its baseline positive (one unit per joined row), taken from
+    running sums at the two ends: no pair meets a positive.
     """
     so_far, all_days = _so_far(), _all_days()
     positives = F.col("positive") * F.col("starts")
@@ -285,20 +288,8 @@ def conversion_pairs(
         F.sum(positives).over(so_far).alias("positives_so_far"),
         F.sum(positives).over(all_days).alias("positives_total"),
     )
-    # Latest day first, so the frame "at least this many days later" only grows.
-    later = (
-        Window.partitionBy(PID)
-        .orderBy(-F.unix_date("day"))
-        .rangeBetween(Window.unboundedPreceding, -(confirm_after + 1))
-    )
-    confirming = F.min(
-        F.when(F.col("negatives") > 0, F.struct("day", "negatives", "positives_so_far"))
-    ).over(later)
-    pairs = (
-        counted.withColumn("to", confirming)
-        .where((F.col("negatives") > 0) & F.col("to").isNotNull())
-        .withColumn("rows", F.col("negatives") * F.col("to.negatives"))
-    )
+    paired = _every_later(counted, confirm_after) if every else _first_later(counted, confirm_after)
+    pairs = paired.withColumn("rows", F.col("negatives") * F.col("to.negatives"))
     joined = F.col("rows") * F.greatest(F.lit(1), F.col("positives_total"))
     baseline, nothing = F.col("closest_positive"), F.lit(0)
     between = F.col("to.positives_so_far") - F.col("positives_so_far") + F.col("positives")
@@ -313,3 +304,39 @@ def conversion_pairs(
         F.when(baseline < F.col("day"), joined).otherwise(nothing).alias("cc_after_pos"),
         (F.col("rows") * after).alias("pos_after_cc"),
     )
+
+
+def _later_end() -> Column:
+    """What a pair needs of its later day."""
+    return F.struct("day", "negatives", "positives_so_far")
+
+
+def _first_later(counted: DataFrame, confirm_after: int) -> DataFrame:
+    # Latest day first, so the frame "at least this many days later" only grows.
+    later = (
+        Window.partitionBy(PID)
+        .orderBy(-F.unix_date("day"))
+        .rangeBetween(Window.unboundedPreceding, -(confirm_after + 1))
+    )
+    confirming = F.min(F.when(F.col("negatives") > 0, _later_end())).over(later)
+    return counted.withColumn("to", confirming).where((F.col("negatives") > 0) & F.col("to").isNotNull())
+
+
+def _every_later(counted: DataFrame, confirm_after: int) -> DataFrame:
+    """Negative days with each negative day far enough behind them.
+
+    The pairs of an enrolment are dealt by calendar stretches of the first day: a later
+    day is repeated for each stretch from the enrolment's first negative day to itself,
+    so a task has the pairs of one stretch, however long the enrolment is.
+    """
+    stretch = F.floor(F.unix_date("day") / PAIR_DAYS).cast("int")
+    negatives = counted.where("negatives > 0").withColumn("stretch", stretch)
+    earliest = F.min("stretch").over(Window.partitionBy(PID))
+    ends = negatives.withColumn("since", earliest).select(
+        F.col(PID).alias("later_key"),
+        F.explode(F.sequence("since", "stretch")).alias("later_stretch"),
+        _later_end().alias("to"),
+    )
+    apart = F.date_diff("to.day", "day") > confirm_after
+    same = (F.col(PID) == F.col("later_key")) & (F.col("stretch") == F.col("later_stretch"))
+    return negatives.join(ends, same & apart).drop("stretch", "later_key", "later_stretch")

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions.chunks import join_chunked
+from rollbook.functions.chunks import CHUNK_ROWS, join_chunked
 from rollbook.functions.dates import as_of_moment
 from rollbook.operators import columns as col_ops
 from rollbook.operators import cultures, facility, medication, serology
@@ -19,17 +19,35 @@ from rollbook.sources.schemas import PID
 START = cultures.START
 
 
-def with_patient(rows: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Rows left-joined to attributes of their patient.
+def with_patient(rows: DataFrame, attributes: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Rows left-joined to attributes of their patient, both sides read once.
 
-    The outer join is written as an inner join and the rows without a match: Spark
-    divides a heavy patient on either side of an inner join, but never on the optional
-    side of an outer one.
+    Equal attributes are counted first, with map-side combine, and expanded after the
+    join.  A patient with very many different ones, whom Spark never divides on the
+    optional side of an outer join, has them dealt over chunks by their hash, and rows
+    of the patient repeated for each; a patient with very many rows is on the side that adaptive
+    execution divides.
     """
-    known = attributes.select("patient_id").distinct()
-    return rows.join(attributes, "patient_id").unionByName(
-        rows.join(known, "patient_id", "left_anti"), allowMissingColumns=True
+    names = attributes.columns
+    # without null patients, and counted by the copies: so that both uses are one exchange
+    known = attributes.where(F.col("patient_id").isNotNull())
+    kinds = known.groupBy(*names).agg(F.count(F.lit(1)).alias("copies_"))
+    heavy = (
+        kinds.groupBy("patient_id")
+        .agg(F.ceil(F.count_if(F.col("copies_") > 0) / chunk_rows).cast("int").alias("chunks_"))
+        .where("chunks_ > 1")
     )
+    chunks = F.col("chunks_")
+    first = F.array(F.lit(0))
+    place = F.when(chunks.isNull(), 0).otherwise(F.pmod(F.xxhash64(*names), chunks).cast("int"))
+    each = F.when(chunks.isNull(), first).otherwise(F.sequence(F.lit(0), chunks - 1))
+    there = kinds.join(heavy, "patient_id", "left").withColumn("chunk_", place).drop("chunks_")
+    spread = rows.join(heavy, "patient_id", "left").withColumn("chunk_", F.explode(each))
+    joined = spread.join(there, ["patient_id", "chunk_"], "left")
+    # a chunk that got no attribute of a heavy patient has nothing to say
+    kept = joined.where(chunks.isNull() | F.col("copies_").isNotNull())
+    copies = F.sequence(F.lit(1).cast("long"), F.coalesce("copies_", F.lit(1).cast("long")))
+    return kept.withColumn("copy_", F.explode(copies)).drop("chunk_", "chunks_", "copies_", "copy_")
 
 
 def district(program_rows: DataFrame, persons: DataFrame) -> DataFrame:
@@ -146,7 +164,11 @@ def assemble(mart: Mart, variant: Variant) -> DataFrame:
         "registered": mart["patient_program_data_default"],
     }
     return join_chunked(
-        required_forms(mart, variant), optional_forms(mart), features(mart, variant), keys
+        required_forms(mart, variant),
+        optional_forms(mart),
+        features(mart, variant),
+        keys,
+        clustered=mart.clustered,
     )
 
 
@@ -217,13 +239,14 @@ def register(
 
     ``as_of`` fixes the moment that open treatments are measured to (default: the
     clock).  ``ordered`` sorts by the patient of the identifier table, unknown
-    patients last; leave it off when writing at scale.
+    patients last; leave it off when writing at scale.  Rows of one patient, and those of
+    unknown ones, are ordered by a hash of their enrolment, which lets the sort's ranges part them.
     """
     if isinstance(variant, str):
         variant = VARIANTS[variant]
     rows = assemble(mart, variant)
     if ordered:
-        rows = rows.orderBy(F.asc_nulls_last("identified_patient_id"))
+        rows = rows.orderBy(F.asc_nulls_last("identified_patient_id"), F.xxhash64(PID))
     columns = register_columns(variant, as_of_moment(as_of))
     return rows.select(*[columns[c].alias(label) for c, label in variant.labels().items()])
 
@@ -248,3 +271,30 @@ def grain(rows: DataFrame, key: str = PID) -> DataFrame:
         .groupBy("rows_per_enrolment")
         .agg(F.count(F.lit(1)).alias("enrolments"))
     )
+
+
+def grain_forecast(mart: Mart, variant: Variant = GENERIC) -> DataFrame:
+    """What ``grain`` will find, from counts of forms alone and before any of them is joined.
+
+    An enrolment's register rows are the product of its rows of each form; a form that
+    may be absent counts once then.  Every form is counted with map-side combine, and
+    only counts meet.
+    """
+    required, optional = required_forms(mart, variant), optional_forms(mart)
+    stacked = None
+    for name, table in {**required, **optional}.items():
+        counts = table.where(F.col(PID).isNotNull()).groupBy(PID).agg(F.count(F.lit(1)).alias("rows"))
+        own = counts.select(PID, F.lit(name).alias("form"), "rows")
+        stacked = own if stacked is None else stacked.unionAll(own)
+    rows = {name: F.coalesce(F.sum(F.when(F.col("form") == name, F.col("rows"))), F.lit(0)) for name in (*required, *optional)}
+    product = F.lit(1).cast("long")
+    for name in required:
+        product = product * rows[name]
+    for name in optional:
+        product = product * F.greatest(rows[name], F.lit(1))
+    forecast = stacked.groupBy(PID).agg(product.alias("rows_per_enrolment"))
+    return (
+        forecast.where("rows_per_enrolment > 0")
+        .groupBy("rows_per_enrolment")
+        .agg(F.count(F.lit(1)).alias("enrolments"))
+    )

@@ -201,6 +201,9 @@ NAMED: dict[str, Query] = {
     "conversion_pairs": lambda m: cultures.conversion_pairs(
         cultures.culture_timeline(cultures.culture_counts(_marks(m)))
     ),
+    "conversion_pairs_every": lambda m: cultures.conversion_pairs(
+        cultures.culture_timeline(cultures.culture_counts(_marks(m))), every=True
+    ),
     "initial_conversion": lambda m: cultures.initial_conversion(_summary(m)),
     "treatment_period": lambda m: _keyed(_spine(m), col_ops.treatment_period(F.col(START))),
     "treatment_duration": _treatment_duration,
@@ -240,6 +243,7 @@ NAMED: dict[str, Query] = {
     ).select(PID, F.col("patientDistrict").alias("District")),
     "register_spine": lambda m: _spine(m).select(PID, "patient_id", START),
     "register_grain": lambda m: reg.grain(_register("generic")(m)),
+    "register_grain_forecast": lambda m: reg.grain_forecast(m, GENERIC),
     "register_generic": _register("generic"),
     "register_pk": _register("pk"),
     "register_png": _register("png"),

@@ -6,19 +6,29 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollbook.sources.schemas import TABLES
+from rollbook.sources.schemas import PID, TABLES
+
+#: Forms that repeat and so decide whether a mart counts as clustered by enrolment.
+FORMS = (
+    "treatment_initiation_template",
+    "program_attributes",
+    "baseline_template",
+    "outcome_end_of_treatment_template",
+)
 
 
 class Mart:
     """The input tables by name, each loaded on first use and kept as a plan.
 
     A register touches only the tables its variant needs, so a site may leave
-    the others out.
+    the others out.  ``clustered`` says that the forms are stored clustered by enrolment,
+    so that ordinary enrolments are joined where they lie.
     """
 
-    def __init__(self, load: Callable[[str], DataFrame]):
+    def __init__(self, load: Callable[[str], DataFrame], clustered: bool = False):
         self._load = load
         self._tables: dict[str, DataFrame] = {}
+        self.clustered = clustered
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in TABLES:
@@ -44,8 +54,14 @@ class Mart:
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str) -> Mart:
-        """Catalog tables; bucketing by enrolment there saves the exchanges here."""
-        return cls(lambda name: spark.table(f"{database}.{name}"))
+        """Catalog tables; where the forms are bucketed by enrolment, ordinary enrolments need no exchange."""
+        forms = [f"{database}.{name}" for name in FORMS]
+        clustered = all(
+            spark.catalog.tableExists(form)
+            and any(c.name == PID and c.isBucket for c in spark.catalog.listColumns(form))
+            for form in forms
+        )
+        return cls(lambda name: spark.table(f"{database}.{name}"), clustered)
 
     @classmethod
     def from_jdbc(

@@ -8,9 +8,13 @@ import pytest
 from minimart import DAY_0, MartBuilder
 
 from rollbook import queries as named
+from rollbook.functions.chunks import join_chunked
 from rollbook.operators import cultures, medication, serology
+from rollbook.plans import register as reg
 from rollbook.plans.register import register
 from rollbook.plans.variants import VARIANTS
+from rollbook.sources.mart import Mart
+from rollbook.sources.schemas import PID, TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -54,9 +58,57 @@ def test_register_moves_each_table_once_per_key(sort_merge, mart, variant):
     found = exchanges(plan)
     # initiation, programme, attributes, baseline, site, registration, outcome, features
     assert found.count("patient_program_id, chunk_") == 8
-    # Heavy enrolments are one plan, which adaptive execution runs once and reuses.
-    once = [k for k in found if k == "largest_form_"]
-    assert len(once) == 8
+    # Heavy enrolments are one plan, which adaptive execution runs once and reuses: once
+    # to repeat rows of a form, once to deal them.
+    assert found.count("largest_form_") == 8 + 7
+
+
+FORMS = (
+    "treatment_initiation_template", "patient_program_view", "program_attributes", "baseline_template",
+    "baseline_disease_site", "patient_program_data_default", "outcome_end_of_treatment_template",
+)
+
+
+@pytest.fixture
+def bucketed(spark, mart, tmp_path):
+    """The mart as catalog tables, those with enrolments bucketed by them."""
+    spark.sql(f"CREATE DATABASE bucketed_mart LOCATION '{tmp_path}/tables'")
+    for name in TABLES:
+        writer = mart[name].write
+        if PID in mart[name].columns:
+            writer = writer.bucketBy(4, PID).sortBy(PID)
+        writer.saveAsTable(f"bucketed_mart.{name}")
+    yield Mart.from_catalog(spark, "bucketed_mart")
+    spark.sql("DROP DATABASE bucketed_mart CASCADE")
+
+
+def test_stored_clustered_forms_stay_where_they_are(spark, sort_merge, mart, bucketed):
+    """Ordinary enrolments are joined bucket by bucket: no form of theirs is moved."""
+    assert bucketed.clustered and not mart.clustered
+    required = {"initiation": reg.treated(bucketed[FORMS[0]]), "program": bucketed[FORMS[1]]}
+    rows = join_chunked(required, reg.optional_forms(bucketed), clustered=True)
+    plan = plan_of(rows)
+    ordinary = plan[plan.index("Union") : plan.index("chunk_")]
+    moved = [k for k in exchanges(ordinary) if k == "patient_program_id"]
+    # heavy enrolments only: their forms' counts meet, and their keys go to the buckets
+    assert len(moved) == 2
+    assert ordinary.count("Bucketed: true") >= len(FORMS)
+    # the whole register: programme rows come from joins on the patient, so they are moved
+    plain = register(mart, "generic", "2020-02-01").collect()
+    assert register(bucketed, "generic", "2020-02-01").collect() == plain
+
+
+def test_patients_are_read_once_a_side(spark, sort_merge, tmp_path):
+    b = MartBuilder()
+    for k in range(20):
+        b.enrolment(k)
+        b.person(k, f"district {k}")
+    mart = b.mart(spark, tmp_path)
+    rows = reg.district(mart["patient_program_view"], mart["person_attributes"])
+    rows.collect()
+    plan = plan_of(rows).split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 2  # the count of attributes a patient is a reused exchange
+    assert "ReusedExchange" in plan
 
 
 def test_culture_windows_share_one_exchange(sort_merge, mart):
