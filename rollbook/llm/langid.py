@@ -32,7 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache, reduce
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,8 @@ CELLS = 8_000_000
 UNIT = 1 << 20
 #: Quantiles of all training rows are right to this part of their number.
 ACCURACY = 100_000
-REMEMBERED = 100_000
+#: Words that a task counts or scores at once, and their characters.
+REMEMBERED, REMEMBERED_CHARACTERS = 300_000, 8_000_000
 #: A rejected text's entropy is this many times that of all but a thousandth of the training rows.
 SLACK = 2.0
 UNKNOWN = "und"
@@ -106,12 +107,15 @@ def counted(rows: DataFrame, lang: Column, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
             words.clear()
 
+        read = 0
         for batch in batches:
             for part in slices(batch, "text"):
                 for name, doc in zip(part.column("lang").to_pylist(), texts(part, "text"), strict=True):
                     words.setdefault(name, Counter()).update(WORD.findall(doc.lower()))
-                if sum(map(len, words.values())) > REMEMBERED:
+                    read += len(doc)
+                if sum(map(len, words.values())) > REMEMBERED or read > 8 * REMEMBERED_CHARACTERS:
                     yield from flush()
+                    read = 0
         yield from flush()
 
     partial = rows.mapInArrow(count, "lang string, gram long, n long")
@@ -220,6 +224,7 @@ class Scorer:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.characters = 0
         #: Words with grams that are not held, and these grams; by place, whether a word is one.
         self.open: dict[str, list[int]] = {}
         self.is_open = np.zeros(0, dtype=bool)
@@ -231,35 +236,39 @@ class Scorer:
         each = np.zeros((len(packed), self.rows.shape[1]), dtype=np.int64)
         each[known, :-2] = self.scores[at[known]]
         each[:, -2], each[:, -1] = 1, (packed & ((1 << CLASS_BITS) - 1)) != 0
+        is_open = np.zeros(len(new), dtype=bool)
         if not known.all():
             word = np.searchsorted(starts, np.flatnonzero(~known), side="right") - 1
+            is_open[word] = True
             for k, gram in zip(word.tolist(), packed[~known].tolist(), strict=True):
                 self.open.setdefault(new[k], []).append(gram)
-        self.is_open = np.concatenate([self.is_open, np.fromiter((w in self.open for w in new), bool, len(new))])
+        self.is_open = np.concatenate([self.is_open, is_open])
         self.place.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
+        self.characters += sum(map(len, new))
         self.rows = np.concatenate([self.rows, np.add.reduceat(each, starts, axis=0)])
 
     def sums(self, docs: list[str]) -> tuple[np.ndarray, list[Counter]]:
         """Of each text: scores by language, symbols, letters; and how often it has each gram that is not held."""
-        words = [WORD.findall(x.lower()) for x in docs]
-        if len(self.place) > REMEMBERED:
+        if len(self.place) > REMEMBERED or self.characters > REMEMBERED_CHARACTERS:
             self._forget()
-        if new := list(set().union(*words).difference(self.place)):
-            self._learn(new)
+        words = [WORD.findall(x.lower()) for x in docs]
         ends = np.cumsum([0, *map(len, words)])
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64, ends[-1])
+        flat = list(chain.from_iterable(words))
+        at = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
+        if len(missing := np.flatnonzero(at < 0)):
+            unknown = [flat[k] for k in missing.tolist()]
+            self._learn(list(dict.fromkeys(unknown)))
+            at[missing] = np.fromiter(map(self.place.__getitem__, unknown), np.int64, len(unknown))
         out = np.zeros((len(docs), self.rows.shape[1]), dtype=np.int64)
         some = np.flatnonzero(np.diff(ends))
         if len(some):
             out[some] = np.add.reduceat(self.rows[at], ends[:-1][some], axis=0)
-        if not self.open:
-            return out, [Counter()] * len(docs)
         rest: list[Counter] = [Counter()] * len(docs)
-        for place in np.flatnonzero(self.is_open[at]).tolist():
-            doc = int(np.searchsorted(ends, place, side="right")) - 1
+        for k in np.flatnonzero(self.is_open[at]).tolist():
+            doc = int(np.searchsorted(ends, k, side="right")) - 1
             if not rest[doc]:
                 rest[doc] = Counter()
-            rest[doc].update(self.open[words[doc][place - ends[doc]]])
+            rest[doc].update(self.open[flat[k]])
         return out, rest
 
 
@@ -273,7 +282,9 @@ def least_count(table: DataFrame, held: int) -> int:
     return 1 << least
 
 
-def with_sums(df: DataFrame, model: Model, text: str, wanted: DataFrame | None = None, held: int | None = None) -> DataFrame:
+def with_sums(
+    df: DataFrame, model: Model, text: str, wanted: DataFrame | None = None, held: int | None = None, keep_text: bool = True
+) -> DataFrame:
     """``df`` with ``SUMS``: by language the sum of log-probabilities in units of 1 / ``UNIT``, then symbols, letters.
 
     Every executor holds the ``held`` grams of most occurrences; the others of a text meet
@@ -286,13 +297,17 @@ def with_sums(df: DataFrame, model: Model, text: str, wanted: DataFrame | None =
         wanted = written(counted(df, F.lit(""), text).select("gram", "n"), "wanted")
     whole = F.transform("scores", lambda x: F.round(x * UNIT).cast("long"))
     table = written(model.scored(wanted).select("gram", "n", whole.alias("scores")), "gram-scores")
-    first = table.filter(F.col("n") >= least_count(table, held)).select("gram", "scores").toArrow().combine_chunks()
+    least = least_count(table, held)
+    first = table.filter(F.col("n") >= least).select("gram", "scores").toArrow().combine_chunks()
     keys = first.column("gram").to_numpy()
     scores = first.column("scores").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
     order = np.argsort(keys)
     shared = df.sparkSession.sparkContext.broadcast((keys[order], scores[order].astype(np.int32)))
     rest_type = T.ArrayType(T.StructType([T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())]))
-    schema = T.StructType([*df.schema.fields, T.StructField(SUMS, T.ArrayType(T.LongType())), T.StructField(REST, rest_type)])
+    if least > 1:  # copies of a text have the same grams; one of them is enough
+        df = df.withColumn(KEY, F.md5(F.col(text).cast("binary")))
+    kept = [f for f in df.schema.fields if keep_text or f.name != text]
+    schema = T.StructType([*kept, T.StructField(SUMS, T.ArrayType(T.LongType())), T.StructField(REST, rest_type)])
     arrow_rest = pa.list_(pa.struct([("gram", pa.int64()), ("n", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,17 +317,19 @@ def with_sums(df: DataFrame, model: Model, text: str, wanted: DataFrame | None =
                 sums, rest = scorer.sums(texts(part, text))
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1, dtype=np.int32) * (n + 2)), pa.array(sums.reshape(-1)))
                 others = pa.array([[{"gram": g, "n": c} for g, c in x.items()] for x in rest], arrow_rest)
-                yield pa.RecordBatch.from_arrays([*part.columns, listed, others], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), listed, others], names=schema.names)
 
     read = df.mapInArrow(work, schema)
-    left = read.filter(F.size(REST) > 0).withColumn(KEY, F.md5(F.col(text).cast("binary")))
-    # copies of a text have the same grams; one of them is enough
+    if least == 1:  # all grams are held
+        return read.drop(REST)
+    read = written(read, "read")
+    left = read.filter(F.size(REST) > 0)
     tokens = left.select(KEY, F.explode(REST).alias("t")).select(KEY, "t.*").dropDuplicates([KEY, "gram"])
     joined = tokens.join(table.select("gram", "scores"), "gram")
     more = joined.groupBy(KEY).agg(F.array(*(F.sum(F.col("n") * F.col("scores")[k]) for k in range(n))).alias(MORE))
     both = F.zip_with(SUMS, MORE, lambda x, y: x + F.coalesce(y, F.lit(0)))
     summed = left.drop(REST).join(more, KEY).withColumn(SUMS, both).drop(KEY, MORE)
-    return read.filter(F.size(REST) == 0).drop(REST).unionByName(summed)
+    return read.filter(F.size(REST) == 0).drop(REST, KEY).unionByName(summed)
 
 
 def confidence(sums: Column, symbols: Column, heat: float) -> Column:
@@ -378,8 +395,8 @@ def judged(df: DataFrame, learn: Column, lang: str = "lang", text: str = "text",
     if not model.languages:
         return predict(df if keep_text else df.drop(text), model, text)
     wanted = written(found.groupBy("gram").agg(F.sum("n").alias("n")), "wanted")
-    scored = with_sums(df.drop("lang_pred", "score", "rejected").withColumn(TAUGHT, taught), model, text, wanted)
-    sums = written(scored if keep_text else scored.drop(text), "sums")
+    rows = df.drop("lang_pred", "score", "rejected").withColumn(TAUGHT, taught)
+    sums = written(with_sums(rows, model, text, wanted, keep_text=keep_text), "sums")
     marked = sums.filter(F.col(TAUGHT).isNotNull()).select(F.col(TAUGHT).alias("lang"), SUMS)
     calibrate(model, marked.select(_number(model.languages), SUMS))
     return told(sums.drop(TAUGHT), model)
