@@ -85,12 +85,10 @@ def _stars(edges: DataFrame) -> bool:
 def components(edges: DataFrame, finish: int = FINISH) -> DataFrame:
     """(node, component): every node of an edge u, v and the least node that it is connected with.
 
-    Nodes are longs.  Each round is written, so no lineage grows.  Loops and repeated edges change nothing
-    but that a node of loops only is its own component.
+    Nodes are longs.  Each round is written, so no lineage grows.  Loops and repeated edges change nothing.
     """
-    now = written(_contracted(edges.filter("u IS NOT NULL AND v IS NOT NULL"), finish, roots=True), "edges")
+    now = written(_contracted(edges.filter("u <> v"), finish), "edges")
     while now.count() > finish:
-        now = now.filter("u <> v")
         if _stars(now):
             roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return now.distinct().select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)

@@ -26,7 +26,8 @@ links that join two components are emitted, fewer than nodes in a tile pair.
 
 Null and blank texts have an empty set, link with nothing and are their own component.
 Rows with a null id take part; a component's id is its least id that is not null.
-Repeated rows are copies of each other.
+Repeated rows are copies of each other.  Very long texts are read whole; an empty table gives no rows;
+columns other than id and text are ignored by ``linked`` and kept, whatever their names, by ``deduplicated``.
 """
 
 from __future__ import annotations
@@ -373,32 +374,38 @@ def tile_pairs(tiles: DataFrame, least: tuple[int, int]) -> DataFrame:
 
 
 class Bitmaps:
-    """Bitmaps of different lengths, each also folded to half of it."""
+    """Bitmaps of different lengths, which are folded to those of smaller sets."""
 
     def __init__(self, marks: list[bytes]):
         self.length = np.array([len(m).bit_length() for m in marks])
         self.place = np.zeros(len(marks), dtype=np.int64)
-        self.full, self.half = {}, {}
+        self.held: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         for length in np.unique(self.length).tolist():
             rows = np.flatnonzero(self.length == length)
             self.place[rows] = np.arange(len(rows))
             full = np.frombuffer(b"".join([marks[k] for k in rows.tolist()]), dtype=U).reshape(len(rows), -1)
-            half = full.shape[1] // 2
-            folded = full[:, :half] | full[:, half:]
-            self.full[length] = (full, np.bitwise_count(full).sum(axis=1, dtype=np.int64))
-            self.half[length] = (folded, np.bitwise_count(folded).sum(axis=1, dtype=np.int64))
+            self.held[length, 0] = (full, np.bitwise_count(full).sum(axis=1, dtype=np.int64))
+
+    def folded(self, length: int, times: int) -> tuple[np.ndarray, np.ndarray]:
+        """All bitmaps of a length folded to half of it so many times, and their numbers of ones."""
+        if (length, times) not in self.held:
+            rows, _ = self.folded(length, times - 1)
+            half = rows.shape[1] // 2
+            rows = rows[:, :half] | rows[:, half:]
+            self.held[length, times] = (rows, np.bitwise_count(rows).sum(axis=1, dtype=np.int64))
+        return self.held[length, times]
 
     def most_shared(self, i: int, others: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """No set of ``others`` shares more with set i; those are as long as i's or twice that."""
+        """No set of ``others``, none smaller, shares more with set i."""
         length, out = int(self.length[i]), np.zeros(len(others), dtype=np.int64)
-        own, own_ones = (x[self.place[i]] for x in self.full[length])
-        for step, held in ((0, self.full), (1, self.half)):
-            at = np.flatnonzero(self.length[others] == length + step)
-            if len(at):
-                rows, ones = (x[self.place[others[at]]] for x in held[length + step])
-                both = np.bitwise_count(rows & own).sum(axis=1, dtype=np.int64)
-                # every bit that only one set has is a shingle that the other lacks
-                out[at] = both + np.minimum(n[i] - own_ones, n[others[at]] - ones)
+        own, own_ones = (x[self.place[i]] for x in self.folded(length, 0))
+        lengths = self.length[others]
+        for other in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == other)
+            rows, ones = (x[self.place[others[at]]] for x in self.folded(other, other - length))
+            both = np.bitwise_count(rows & own).sum(axis=1, dtype=np.int64)
+            # every bit that only one set has is a shingle that the other lacks
+            out[at] = both + np.minimum(n[i] - own_ones, n[others[at]] - ones)
         return out
 
 

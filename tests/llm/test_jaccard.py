@@ -92,6 +92,14 @@ def test_many_tiles(spark, docs, monkeypatch):
     assert found(spark, docs) == brute(docs)
 
 
+def test_sets_of_very_different_sizes(spark):
+    """Below a half, bitmaps of very different lengths are compared."""
+    words = [f"word{k}" for k in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:100])), (3, " ".join(words[:30])), (4, "nothing of the kind in here")]
+    assert found(spark, rows, size=1, least=(24, 100)) == brute(rows, 1, (24, 100))
+    assert {c for _, n, c in found(spark, rows, size=1, least=(24, 100)) if n > 30} == {1}
+
+
 def test_null_and_repeated_ids(spark):
     text = "some text that is long enough to have shingles"
     rows = [(None, text), (5, text), (5, text), (None, "another text that nobody else has at all"), (7, None), (7, "")]
@@ -128,7 +136,8 @@ def test_hashes_follow_words_not_places():
     assert len({int(x) for x in got}) == 4
 
 
-def test_components(spark):
+@pytest.mark.parametrize("finish", [graph.FINISH, 7])
+def test_components(spark, finish):
     draw = random.Random(2)
     edges = [(n, n + 1) for n in range(0, 60)] + [(100, n) for n in range(101, 400)] + [(7, 7), (500, 501), (501, 500)]
     edges += [(draw.randrange(1000, 1200), draw.randrange(1000, 1200)) for _ in range(80)]
@@ -142,7 +151,7 @@ def test_components(spark):
     for a, b in edges:
         a, b = root(a), root(b)
         label[max(a, b)] = min(a, b)
-    got = graph.components(spark.createDataFrame(edges, "u long, v long")).collect()
+    got = graph.components(spark.createDataFrame(edges, "u long, v long").repartition(4), finish).collect()
     alone = {x for x in label if not any(x in e and e[0] != e[1] for e in edges)}
     assert {r["node"]: r["component"] for r in got} == {x: root(x) for x in label if x not in alone}
     assert len(got) == len({r["node"] for r in got})
