@@ -10,6 +10,7 @@ A role that is no plain word stands in its header coded in letters.  A control s
 backslashes, and one of the marks below, or its counterpart in square brackets;
 inside texts every one gets one more backslash after its bracket, and reading back
 takes one away, so any text comes back unchanged and none can open or close a block.
+Very long texts are formatted whole; an empty table gives no conversations.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ def _segments(said: Column) -> Column:
 
 def _header(role: Column) -> Column:
     """A role as it stands in a header: plain if it is a word other than the marks', else its bytes in letters a to p."""
-    plain = role.rlike("^[a-z]+$") & ~role.isin("then", "end")
+    plain = role.rlike(r"\A[a-z]+\z") & ~role.isin("then", "end")
     return F.when(plain, role).otherwise(F.concat(F.lit("_"), F.translate(F.hex(F.encode(role, "UTF-8")), "0123456789ABCDEF", "abcdefghijklmnop")))
 
 

@@ -27,6 +27,7 @@ def conversations():
     found[100] = [(n, ("user", "assistant")[n % 7 < 3], TRICKY[n % len(TRICKY)]) for n in range(3000)]
     found[101] = [(0, "system", "a"), (0, "system", "a"), (0, "assistant", "b"), (None, "user", "first")]
     found[102] = [(0, None, "no role"), (1, "Weird <|role|>", "x"), (2, "end", "y"), (3, "then", "z"), (4, "_", "w")]
+    found[103] = [(n, role, "<|user\n|>hi") for n, role in enumerate(["user\n", "", "\n", "a\x00b", "\r", "user\t", "user", "\u2028", "assistant"])]
     found[None] = [(0, "user", "no id"), (1, "assistant", "q" * 100_000)]
     return found
 
