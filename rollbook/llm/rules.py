@@ -2,8 +2,8 @@
 
 1. One pass over the texts gives each document's statistics (shares of character
    classes, words, lines), which are written.
-2. On a drawn sample of at most about ``SAMPLE_ROWS`` labelled rows (the classifier's
-   documented bound) small trees are boosted; every path from a root to a node is a rule,
+2. On a sample of at most about ``SAMPLE_ROWS`` labelled rows (the classifier's
+   documented bound), drawn by the hash of their id, small trees are boosted; every path from a root to a node is a rule,
    a conjunction of bounds on statistics.
 3. A lasso logistic regression gives most rules no weight.
 4. The rules left are compiled into Spark column expressions, so scoring is a projection.
@@ -11,7 +11,8 @@
 Null and empty texts have zero statistics and are scored like all others.  Labels other
 than 0 and 1 and labels without a document teach nothing; a document with several
 labels counts with each.  With one class only, the score is that class's smoothed
-share; without labels it is 0.5.
+share; without labels it is 0.5.  Very long texts are read whole; an empty table gives no
+rows; columns named like statistics are replaced.
 """
 
 from __future__ import annotations
@@ -226,11 +227,14 @@ def fit(x: np.ndarray, y: np.ndarray, names=STATISTICS, seed: int = 7) -> RuleEn
     return RuleEnsemble(intercept, tuple(chosen))
 
 
-def trained(stats: DataFrame, label: str, rows: int = SAMPLE_ROWS, seed: int = 7) -> RuleEnsemble:
-    """An ensemble from a sample of the rows of ``stats`` whose ``label`` is 0 or 1."""
-    labelled = stats.filter(F.col(label).isin(0, 1)).select(*STATISTICS, F.col(label).cast("double").alias("y_"))
-    total = labelled.count()
-    sample = labelled if total <= rows else labelled.sample(rows / total, seed=seed)
-    found = sample.toPandas()
+def trained(stats: DataFrame, label: str, rows: int = SAMPLE_ROWS, seed: int = 7, key: str = "doc_id") -> RuleEnsemble:
+    """An ensemble from a sample of the rows of ``stats`` whose ``label`` is 0 or 1.
+
+    The sample follows from the keys, so other partitions of the same rows fit the same rules.
+    """
+    labelled = stats.filter(F.col(label).isin(0, 1))
+    total, parts = labelled.count(), 1 << 30
+    drawn = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(parts)) < parts * min(rows, max(total, 1)) // max(total, 1)
+    found = labelled.filter(drawn).select(*STATISTICS, F.col(label).cast("double").alias("y_")).toPandas()
     found = found.sort_values(list(found.columns))  # the same model whatever the order
     return fit(found[list(STATISTICS)].to_numpy(), found["y_"].to_numpy())

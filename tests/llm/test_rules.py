@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -59,3 +61,57 @@ def test_odd_texts(spark):
     assert got[5]["share_other"] == 1.0
     assert stats.filter(F.isnan("word_bytes")).isEmpty()
     assert rules.with_statistics(frame.limit(0)).count() == 0
+
+
+def plain_statistics(text):
+    """The 18 statistics of a text in plain Python."""
+    raw, words, lines = text.encode(), text.split(), text.split("\n") if text else []
+    over = lambda a, b: a / b if b else 0.0
+    own = {c: sum(x in members for x in raw) for c, members in rules.CLASSES.items()}
+    return {
+        "log_bytes": math.log1p(len(raw)), "log_words": math.log1p(len(words)), "log_lines": math.log1p(len(lines)),
+        **{f"share_{c}": over(n, len(raw)) for c, n in own.items()},
+        "share_other": over(sum(x >= 0x80 for x in raw), len(raw)),
+        "word_bytes": over(len(raw) - own["spaces"], len(words)),
+        "longest_word": float(max(map(len, words), default=0)),
+        "share_different_words": over(len(set(words)), len(words)),
+        "share_short_words": over(sum(len(w) <= 3 for w in words), len(words)),
+        "share_different_lines": over(len(set(lines)), len(lines)),
+        "line_bytes": over(len(raw), len(lines)),
+        "words_a_stop": over(len(words), own["stops"]),
+    }
+
+
+def test_statistics_and_rules_against_plain_python(spark):
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts += ["", "a", "\n", "é 漢 😀!", "tab\tand\nlines\n\nA B", "UPPER lower 123 #$%"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, text string").repartition(3)
+    draw = np.random.default_rng(5)
+    want = [plain_statistics(t) for t in texts]
+    names = list(rules.STATISTICS)
+    assert set(want[0]) == set(names)
+    made = []
+    for _ in range(40):
+        bounds = []
+        for name in draw.choice(names, size=int(draw.integers(1, 4)), replace=False):
+            # a bound that is no text's value: both sides have room for rounding
+            values = sorted({w[name] for w in want})
+            at = int(draw.integers(len(values)))
+            bounds.append((str(name), str(draw.choice(["above", "upto"])), (values[at] + values[min(at + 1, len(values) - 1)]) / 2 + 1e-9))
+        made.append((tuple(bounds), float(draw.normal())))
+    model = rules.RuleEnsemble(0.25, tuple(made))
+    got = rules.with_statistics(frame).withColumn("score", model.score()).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        w = want[r["n"]]
+        assert [r[c] for c in names] == pytest.approx([w[c] for c in names], rel=1e-12)
+        total = 0.25 + sum(weight for bounds, weight in made if all((w[c] > x) == (side == "above") for c, side, x in bounds))
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-total)), rel=1e-9)
+
+
+def test_the_same_rules_whatever_the_partitions(spark):
+    draw = np.random.default_rng(7)
+    rows = [(n, float(n % 2), *map(float, draw.random(len(rules.STATISTICS)))) for n in range(1200)]
+    schema = "doc_id long, quality double, " + ", ".join(f"{c} double" for c in rules.STATISTICS)
+    frame = spark.createDataFrame(rows, schema)
+    assert rules.trained(frame.repartition(7), "quality", rows=300) == rules.trained(frame.coalesce(1), "quality", rows=300)
