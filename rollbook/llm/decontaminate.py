@@ -13,7 +13,8 @@ window's shingle that is rarest over all documents.
    the bitmap, if they are long enough for a window (length bound).  They are written.
 2. Shingles are counted over these runs; each window keeps its rarest as its prefix.
 3. Positions with a prefix shingle are joined with the windows, the window has to fit
-   into the run there (positional bound), and all its words are compared.
+   into the run there (positional bound), and all its words are compared.  A position
+   carries the words that a window there can reach and no more.
 
 The join is salted, so a passage that a third of all documents share is dealt over
 ``SALTS`` tasks.  The driver gets the bitmap (128 KB) and at most three rows of lengths.
@@ -166,15 +167,24 @@ def _verified(inside: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     )
     bits = bitmap(prefix.select(F.split("shingle", " ").alias("w")).select(shingle_hash(F.col("w"), F.lit(0), k).alias("h")))
     salted = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    at = marked_positions(k, bits)
-    candidates = inside.select("row", "start", "words", F.explode(at).alias("at")).select(
-        "row", "start", "words", "at",
-        F.array_join(F.slice("words", F.col("at") + 1, F.lit(k)), " ").alias("shingle"),
+    reach = WINDOW - 1
+    at = F.transform(
+        marked_positions(k, bits),
+        lambda i: F.struct(
+            i.alias("at"), F.greatest(i - reach, F.lit(0)).alias("low"),
+            F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.lit(2 * reach + 1)).alias("near"),
+        ),
+    )
+    candidates = inside.select("row", "start", F.size("words").alias("size"), F.explode(at).alias("p")).select(
+        "row", "start", "size", "p.*",
         F.pmod(F.col("row"), F.lit(SALTS)).cast("int").alias("salt"),
     )
+    candidates = candidates.withColumn(
+        "shingle", F.array_join(F.slice("near", F.col("at") - F.col("low") + 1, F.lit(k)), " ")
+    )
     first = F.col("at") - F.col("offset")
-    fits = (first >= 0) & (first + F.col("length") <= F.size("words"))
-    here = F.array_join(F.slice("words", F.greatest(first, F.lit(0)) + 1, F.col("length")), " ")
+    fits = (first >= 0) & (first + F.col("length") <= F.col("size"))
+    here = F.array_join(F.slice("near", F.greatest(first - F.col("low"), F.lit(0)) + 1, F.col("length")), " ")
     return (
         candidates.join(salted, ["shingle", "salt"])
         .filter(fits & (here == F.col("window")))
