@@ -47,6 +47,7 @@ def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     ``files`` merges the parts of a small result.
     """
     spark = df.sparkSession
+    importable(spark)
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
