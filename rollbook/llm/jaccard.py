@@ -514,7 +514,9 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     sizes = documents.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(key).alias(key))
     grouped = written(sizes.join(nodes, "node"), "grouped")
     marks = written(sets_of(docs, grouped.select(key), key, text, size, whole=False), "marks")
-    groups = components(open_pairs(edges, marks, grouped.select("node", "n"), least))
+    # written, so that no task needs two Python workers
+    near = written(open_pairs(edges, marks, grouped.select("node", "n"), least), "open-pairs")
+    groups = components(near)
     members = grouped.join(groups, "node").select("node", "component", "n")
     open_ = connected(written(members, "members"), marks, least, exact=False)
     # few nodes are left now: only their sets are read again and moved

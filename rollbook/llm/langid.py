@@ -52,7 +52,9 @@ UNIT = 1 << 20
 #: Quantiles of all training rows are right to this part of their number.
 ACCURACY = 100_000
 #: Words that a task counts or scores at once, and their characters.
-REMEMBERED, REMEMBERED_CHARACTERS = 300_000, 8_000_000
+REMEMBERED, REMEMBERED_CHARACTERS = 200_000, 8_000_000
+#: Words whose grams are worked out at once.
+PART = 20_000
 #: A rejected text's entropy is this many times that of all but a thousandth of the training rows.
 SLACK = 2.0
 UNKNOWN = "und"
@@ -89,6 +91,14 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- counting
 
 
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each different key once, with the sum of its numbers."""
+    found, at = np.unique(keys, return_inverse=True)
+    sums = np.zeros(len(found), dtype=np.int64)
+    np.add.at(sums, at, n)
+    return found, sums
+
+
 def counted(rows: DataFrame, lang: Column, text: str) -> DataFrame:
     """(lang, gram, n): grams of the highest order over all rows."""
     rows = rows.select(lang.alias("lang"), F.col(text).alias("text"))
@@ -100,10 +110,12 @@ def counted(rows: DataFrame, lang: Column, text: str) -> DataFrame:
             for name, counts in words.items():
                 if not counts:
                     continue
-                packed, starts = grams(list(counts))
-                each = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), np.diff([*starts, len(packed)]))
-                keys, at = np.unique(packed, return_inverse=True)
-                n = np.bincount(at, weights=each).astype(np.int64)
+                listed, numbers = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+                parts = []
+                for at in range(0, len(listed), PART):
+                    packed, starts = grams(listed[at : at + PART])
+                    parts.append(summed(packed, np.repeat(numbers[at : at + PART], np.diff([*starts, len(packed)]))))
+                keys, n = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
             words.clear()
 
