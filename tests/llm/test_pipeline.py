@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rollbook.llm import pii
+from rollbook.llm import byte_bpe, langid, pii
 from rollbook.llm.storage import table, written
 from test_decontaminate import brute as hits
 from test_jaccard import brute as groups
@@ -70,6 +72,47 @@ def test_ids_decode_to_texts(steps):
         assert r["n_tokens"] == len(r["ids"])
 
 
+def test_from_end_to_end(spark):
+    """All stages together against plain versions one after another, with planted documents among the supplied ones."""
+    import public_tokenizers
+    import tiktoken
+
+    docs = table(spark, SF, "documents")
+    plain = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    long = max((t for _, t in plain if t), key=len).split()
+    items = [(r["item_id"], r["text"]) for r in table(spark, SF, "benchmark").collect()]
+    passage = max((t for _, t in items if t), key=len)
+    planted = [
+        (90_001, " ".join(long[:400])), (90_002, " ".join(long[:400])), (90_003, " ".join([*long[:399], "changed"])),
+        (90_004, passage), (90_005, None), (90_006, "0123 4567 !!!"), (90_007, f"{' '.join(long[400:460])} write to some.one@example.org now"),
+        (90_008, "qxzv jkwq " * 300),
+    ]
+    folder = tempfile.mkdtemp(prefix="corpus-")
+    extra = spark.createDataFrame([(d, t, "en", "planted", len(t or "")) for d, t in planted], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.unionByName(extra.select(*(F.col(c).cast(docs.schema[c].dataType) for c in docs.columns))).write.parquet(f"{folder}/documents.parquet")
+    table(spark, SF, "benchmark").write.parquet(f"{folder}/benchmark.parquet")
+
+    whole = table(spark, folder, "documents")
+    learnt = langid.trained(whole.filter(~F.coalesce(langid.remainder("doc_id", 4) == 2, F.lit(False))))
+    kept = langid.predict(whole, learnt).filter("NOT rejected")
+    texts = dict(pairs(kept))
+    assert not {90_005, 90_006, 90_008} & set(texts)
+    first = {c for _, n, c in groups(list(texts.items()), 5, (80, 100)) if n}
+    bad = {r[0] for r in hits([(d, texts[d]) for d in first], items) if r[4]}
+    assert 90_004 in bad and not {90_002, 90_003} & first
+    field = pii.trained()
+    ranks = byte_bpe.Vocabulary(public_tokenizers.path(byte_bpe.RANKS)).ranks
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    expected = {}
+    for d in first - bad:
+        text = pii.redacted(texts[d], pii.all_spans(pii.base_spans(texts[d]), pii.field_spans(field, [texts[d]])[0]))
+        ids = library.encode_ordinary(text)
+        expected[d] = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in got} == expected
+    assert len(got) == len(expected) and 90_007 in expected
+
+
 def odd(spark):
     rows = [
         (None, "words without an id " * 5, "en", None, None, "a", 1), (1, None, None, "s", 5, "b", 2), (2, "", "en", "s", 0, "c", 3),
