@@ -27,10 +27,10 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield batch.slice(at, to - at)
         at = to
-    _release()
+    release()
 
 
-def _release() -> None:
+def release() -> None:
     """Gives memory that was freed back to the system: workers live on from stage to stage."""
     trim = getattr(_LIBRARY, "malloc_trim", None)
     if trim is not None:

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.llm.arrowtext import buffers, slices
+from rollbook.llm.arrowtext import buffers, release, slices
 from rollbook.llm.graph import components
 from rollbook.llm.storage import written
 
@@ -212,6 +212,8 @@ def prefix_tokens(docs: DataFrame, text: str, size: int, least: tuple[int, int],
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(totals, np.int32), sizes)),
                          pa.array(np.repeat(np.array(nodes, np.int64), sizes))], names=["token", "n", "node"])
+        given.clear()
+        release()
 
     return docs.select(text).mapInArrow(work, "token long, n int, node long")
 
@@ -475,6 +477,8 @@ def links(tiles: DataFrame, sets: DataFrame, pairs: DataFrame, least: tuple[int,
                     seen.add(value[0])
                     held.append(value)
         yield from done()
+        held.clear()
+        release()
 
     dealt = rows.select("component", "a", "b", "tile", "node", "n", *data)
     return dealt.repartition("component", "a", "b").sortWithinPartitions("component", "a", "b").mapInArrow(work, "u long, v long")

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.llm.arrowtext import slices, texts
+from rollbook.llm.arrowtext import release, slices, texts
 from rollbook.llm.storage import written
 
 ORDER = 4
@@ -129,6 +129,7 @@ def counted(rows: DataFrame, lang: Column, text: str) -> DataFrame:
                     yield from flush()
                     read = 0
         yield from flush()
+        release()
 
     partial = rows.mapInArrow(count, "lang string, gram long, n long")
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -330,6 +331,8 @@ def with_sums(
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1, dtype=np.int32) * (n + 2)), pa.array(sums.reshape(-1)))
                 others = pa.array([[{"gram": g, "n": c} for g, c in x.items()] for x in rest], arrow_rest)
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), listed, others], names=schema.names)
+        del scorer
+        release()
 
     read = df.mapInArrow(work, schema)
     if least == 1:  # all grams are held
