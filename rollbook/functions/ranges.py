@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,27 +25,42 @@ def join_within(
     per-key step after it, so adaptive skew splitting applies without an extra
     exchange.  ``how="left_semi"`` keeps each event once, whatever it matches.
     """
-    width = hi - lo + 1
+    placed = place_events(events, event_on, lo, hi)
+    return join_placed(placed, F.col(event_on), anchors, key, anchor_on, lo, hi, how)
 
-    def bucket(days):
-        return F.floor(days / F.lit(width)).cast("int")
 
+def _bucket(days: Column, lo: int, hi: int) -> Column:
+    return F.floor(days / F.lit(hi - lo + 1)).cast("int")
+
+
+def place_events(events: DataFrame, event_on: str, lo: int, hi: int) -> DataFrame:
+    """Dated events with their bucket, which a caller may narrow before ``join_placed`` moves them."""
+    day = F.unix_date(F.col(event_on).cast("date"))
+    return events.where(F.col(event_on).isNotNull()).withColumn("_bucket", _bucket(day, lo, hi))
+
+
+def join_placed(
+    placed_events: DataFrame,
+    on: Column,
+    anchors: DataFrame,
+    key: str,
+    anchor_on: str,
+    lo: int,
+    hi: int,
+    how: str = "inner",
+) -> DataFrame:
+    """``join_within`` for placed events, whose date is ``on``."""
     anchor_day = F.unix_date(F.col(anchor_on).cast("date"))
-    event_day = F.unix_date(F.col(event_on).cast("date"))
+    covered = F.sequence(_bucket(anchor_day + lo, lo, hi), _bucket(anchor_day + hi, lo, hi))
     placed_anchors = (
         anchors.where(F.col(anchor_on).isNotNull())
-        .withColumn(
-            "_covered", F.explode(F.sequence(bucket(anchor_day + lo), bucket(anchor_day + hi)))
-        )
+        .withColumn("_covered", F.explode(covered))
         .withColumnRenamed(key, "_key")
     )
-    placed_events = events.where(F.col(event_on).isNotNull()).withColumn(
-        "_bucket", bucket(event_day)
-    )
     near = (
         (F.col(key) == F.col("_key"))
         & (F.col("_bucket") == F.col("_covered"))
-        & F.col(event_on).between(F.date_add(anchor_on, lo), F.date_add(anchor_on, hi))
+        & on.between(F.date_add(anchor_on, lo), F.date_add(anchor_on, hi))
     )
     return placed_events.join(placed_anchors, near, how).drop("_key", "_bucket", "_covered")
 

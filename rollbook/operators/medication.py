@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rollbook.functions.ranges import join_within
+from rollbook.functions.packing import Part, named, pack, place, row, unpack
+from rollbook.functions.ranges import join_placed, place_events
 from rollbook.functions.text import dose_text, number_text
 from rollbook.sources.schemas import PID
 
@@ -63,6 +65,20 @@ def first_drug_start(orders: DataFrame, drug: str) -> DataFrame:
     return first_drug_starts(orders, {drug: "start_date"})
 
 
+#: What an order's number holds on its way to the treatment starts.
+ORDER: dict[str, Part] = {"drug": (1, 6), "dose": (0, 16)}
+
+
+def _narrow(orders: DataFrame) -> DataFrame:
+    """Orders with drug and dose as one number; a row that does not fit keeps its columns."""
+    return pack(orders, {"drug": place(F.col("drug"), list(DRUGS)), "dose": F.col("dose")}, ORDER)
+
+
+def _drug_and_dose(kind: T.DataType) -> Column:
+    read = unpack(ORDER)
+    return row(ORDER, {"drug": named(read["drug"], list(DRUGS)), "dose": read["dose"].cast(kind)})
+
+
 def orders_near_start(
     orders: DataFrame, initiations: DataFrame, days: int = NEAR_START_DAYS
 ) -> DataFrame:
@@ -71,7 +87,7 @@ def orders_near_start(
     A semi join on the distinct starts: repeated initiation forms neither repeat
     an order nor lengthen the search for its match.
     """
-    named = orders.where(F.col("coded_drug_name").isNotNull()).select(
+    dated = orders.where(F.col("coded_drug_name").isNotNull()).select(
         PID,
         F.col("coded_drug_name").alias("drug"),
         "dose",
@@ -81,10 +97,15 @@ def orders_near_start(
     starts = initiations.select(
         PID, F.col("tuberculosis_drug_treatment_start_date").alias("treatment_start")
     ).distinct()
-    near = join_within(
-        named, starts, PID, "start_date", "treatment_start", -days, days, "left_semi"
+    placed, kind = place_events(dated, "start_date", -days, days), dated.schema["dose"].dataType
+    whole = isinstance(kind, T.IntegralType)
+    near = join_placed(
+        _narrow(placed) if whole else placed,
+        *(F.col("start_date"), starts, PID, "treatment_start", -days, days, "left_semi"),
     )
-    return near.drop("start_date")
+    if whole:
+        near = near.withColumn("order", _drug_and_dose(kind))
+    return near.select(PID, *(("order.drug", "order.dose") if whole else ORDER), "dose_unit")
 
 
 def regimen_near_start(
