@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
+#: Bytes of rows that go to a Python worker at once; a longer row goes alone.
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 #: The folder that this package is imported from.
 SOURCE = str(Path(__file__).resolve().parents[2])
@@ -24,8 +28,18 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, SOURCE]))
 
 
+def bounded(spark: SparkSession) -> None:
+    """Batches for Python workers end at ``BATCH_BYTES``, unless the session has its own limit.
+
+    Spark's is 10,000 rows or 64 MB, which each task holds in the executor's JVM and again in its worker.
+    """
+    if BATCH_LIMIT not in spark.conf.getAll:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -48,6 +62,7 @@ def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     importable(spark)
+    bounded(spark)
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
