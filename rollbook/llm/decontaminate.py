@@ -19,6 +19,10 @@ window's shingle that is rarest over all documents.
 The join is salted, so a passage that a third of all documents share is dealt over
 ``SALTS`` tasks.  The driver gets the bitmap (128 KB) and at most three rows of lengths.
 
+On a local or mounted file system an executor starts a process for every file it writes
+(Hadoop's ``chmod``), so no table here has more files than it needs: windows and prefixes
+``FILES`` at most, the result of ``contamination`` as many as its documents were written in.
+
 Null texts and texts without words have no words and are clean.  Items without words
 have no windows.  Repeated documents are judged each; repeated items count once.  An
 item whose id is null marks words but is not listed.
@@ -34,6 +38,7 @@ from rollbook.llm.storage import written
 WINDOW = 13
 SHINGLE = 3
 SALTS = 16
+FILES = 32
 BITS = 20
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -117,7 +122,7 @@ RUNS = "array<struct<k:int,start:int,words:array<string>>>"
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str) -> tuple[DataFrame, DataFrame]:
     """Documents (``row``, all columns but ``text``, ``key``, ``n_words``), and where windows occur in them (``row``, ``a``, ``b``, ``items``)."""
-    wanted = written(windows(benchmark, item, item_text), "windows")
+    wanted = written(windows(benchmark, item, item_text), "windows", files=FILES)
     lengths = {r["k"]: r["least"] for r in wanted.groupBy("k").agg(F.min("length").alias("least")).collect()}
     split = wanted.withColumn("words", F.split("window", " "))
 
@@ -164,6 +169,7 @@ def _verified(inside: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         .select("window", F.col("rarest.shingle").alias("shingle"), F.col("rarest.at").alias("offset"))
         .join(wanted.select("window", "items", "length"), "window"),
         "prefix",
+        files=FILES,
     )
     bits = bitmap(prefix.select(F.split("shingle", " ").alias("w")).select(shingle_hash(F.col("w"), F.lit(0), k).alias("h")))
     salted = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -211,7 +217,8 @@ def contamination(
         lambda s: s["n"],
     )
     hit = by_row.select("row", covered.alias("n_hit"), "items")
-    joined = marked.join(hit, "row", "left").drop("row")
+    # a row for each of the documents, in as many parts as they were written in
+    joined = marked.join(hit, "row", "left").drop("row").coalesce(max(1, len(marked.inputFiles())))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return joined.withColumns({
         "n_hit": n_hit,

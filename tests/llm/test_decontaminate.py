@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from rollbook.llm import decontaminate
+from rollbook.llm import decontaminate, storage
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans(decontaminate.UPPER, decontaminate.UPPER.lower())
@@ -76,3 +76,27 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(frame.limit(0), benchmark).count() == 0
     rows = decontaminate.contamination(frame, benchmark.limit(0)).collect()
     assert len(rows) == len(docs) and not any(r["contaminated"] or r["n_hit"] for r in rows)
+
+
+def test_no_more_files_than_needed(spark, monkeypatch):
+    own, folders = spark.newSession(), {}
+    own.conf.set("spark.sql.shuffle.partitions", "97")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def kept(df, name, files=None):
+        found = storage.written(df, name, files)
+        folders.setdefault(name, []).append(len(found.inputFiles()))
+        return found
+
+    monkeypatch.setattr(decontaminate, "written", kept)
+    docs, items = case(False)
+    frame = own.createDataFrame(docs, "doc_id long, text string").coalesce(4)
+    benchmark = own.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contamination(frame, benchmark)
+    out = storage.written(found, "result")
+    assert set(folders) == {"windows", "marked", "prefix"}
+    assert max(folders["windows"] + folders["prefix"]) <= decontaminate.FILES
+    assert len(out.inputFiles()) <= folders["marked"][0] <= 4
+    rows = out.select("doc_id", "n_words", "n_hit", "items", "contaminated").collect()
+    assert sorted(map(tuple, rows), key=str) == brute(docs, items)
