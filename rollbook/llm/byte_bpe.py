@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.llm.arrowtext import slices, texts
+from rollbook.llm.arrowtext import release, slices, texts
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Pieces that a worker remembers.
+#: Words that a worker remembers within a task.
 REMEMBERED = 300_000
 LONG_PIECE = 384
 #: Cells of one padded matrix.
@@ -201,9 +201,9 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.vocabulary, self.split = Vocabulary(path), regex.compile(pattern).findall
         self.mixed = re.compile(r" \s").search if pattern == public_tokenizers.PATTERN else lambda text: True
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -231,7 +231,7 @@ class Encoder:
         """All ids one after another, and the documents' offsets into them."""
         words = [self._words(x) for x in docs]
         if len(self.place) > REMEMBERED:
-            self._forget()
+            self.forget()
         if new := list(set().union(*words).difference(self.place)):
             self._learn(new)
         ends = np.cumsum([0, *map(len, words)])
@@ -287,6 +287,8 @@ def encode(
                 if decoded:
                     columns[decoded] = _binary(*decode_ids(own.vocabulary, ids, offsets))
                 yield _with(part, columns)
+        own.forget()
+        release()
 
     kinds = {out: T.ArrayType(T.IntegerType())} | ({decoded: T.BinaryType()} if decoded else {})
     return df.mapInArrow(work, _schema(df, **kinds))

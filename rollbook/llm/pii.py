@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from rollbook.llm.arrowtext import slices, texts
+from rollbook.llm.arrowtext import release, slices, texts
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("person", "identity", "secret")
@@ -533,5 +533,7 @@ def find(df: DataFrame, text: str = "text", redact: str | None = None) -> DataFr
                     raw = part.column(text).to_pylist()
                     columns[redact] = pa.array([x if x is None else redacted(x, s) for x, s in zip(raw, spans, strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        field.forget()
+        release()
 
     return df.mapInArrow(work, schema)

@@ -37,9 +37,18 @@ def bounded(spark: SparkSession) -> None:
         spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepared(spark: SparkSession) -> None:
+    """To be called before an operator is applied to tables that this module has not read.
+
+    Workers belong to the environment of the function they run: one made before ``importable``
+    has a daemon and workers of its own, which stay beside the others.
+    """
     importable(spark)
     bounded(spark)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -61,8 +70,7 @@ def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     ``files`` merges the parts of a small result.
     """
     spark = df.sparkSession
-    importable(spark)
-    bounded(spark)
+    prepared(spark)
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,11 +7,14 @@ import sys
 from collections.abc import Iterator
 from pathlib import Path
 
+import corpus_pipeline
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rollbook.llm import storage
+from rollbook.llm import byte_bpe, langid, pii, storage
 
 ROWS, LONG = 3000, 10_000
 
@@ -82,3 +85,47 @@ def test_memory_of_arrow_is_given_back():
     most, left = map(float, out.stdout.split())
     assert most > 150
     assert left < 75
+
+
+class Frame:
+    """Keeps the function that would go to the workers."""
+
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+    def mapInArrow(self, work, schema):  # noqa: N802
+        return work
+
+
+BATCH = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["Some words, some more of them.", None]})
+
+
+def test_words_of_byte_bpe_end_with_the_task():
+    own = byte_bpe.encoder(public_tokenizers.path(byte_bpe.RANKS), public_tokenizers.PATTERN)
+    work = byte_bpe.encode(Frame(), decoded="decoded")
+    first, again = (list(work(iter([BATCH]))) for _ in range(2))
+    assert first == again and first[0].num_rows == 2
+    assert not own.place and not len(own.flat)
+
+
+def test_words_of_the_field_end_with_the_task():
+    work = pii.find(Frame(), redact="text")
+    first, again = (list(work(iter([BATCH]))) for _ in range(2))
+    assert first == again and first[0].num_rows == 2
+    assert not pii.trained().place
+
+
+class Stop(Exception):
+    pass
+
+
+def test_first_stage_has_the_environment_of_the_others(spark, monkeypatch):
+    environment = spark.sparkContext.environment
+    monkeypatch.setitem(environment, "PYTHONPATH", "/elsewhere")
+
+    def judged(*args, **kwargs):
+        raise Stop(environment["PYTHONPATH"])
+
+    monkeypatch.setattr(langid, "judged", judged)
+    docs = spark.createDataFrame([(1, "a text", "en")], "doc_id long, text string, lang string")
+    with pytest.raises(Stop, match=storage.SOURCE):
+        corpus_pipeline.identify_language(spark, docs, "/nowhere")
