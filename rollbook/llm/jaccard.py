@@ -13,6 +13,10 @@ copies are never compared.
    beyond what chance does, hardly ever come into play.  Nodes that share such
    a shingle are connected into groups, which contain every link; where only two nodes
    of near sizes share it, their bitmaps (see below) have to leave the pair open.
+   The more texts there are, the more of them share such a shingle by chance alone, until
+   most are one group.  Groups of more than two tiles are therefore formed anew by parts of
+   sets: hashes deal a set into more parts than two similar sets can differ in, so some
+   parts are equal, and those with the most shingles that are not common are compared.
 3. A group's nodes are dealt into tiles by size; tiles whose sizes are too far apart are
    not paired.  In a pair of tiles, hashed bitmaps bound the overlap of two sets from
    above by bit counts.  Pairs left open by their bitmaps give narrower groups.
@@ -32,17 +36,18 @@ columns other than id and text are ignored by ``linked`` and kept, whatever thei
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook.llm.arrowtext import buffers, release, slices
 from rollbook.llm.graph import components
-from rollbook.llm.storage import written
+from rollbook.llm.storage import swept, written
 
 SHINGLE = 4
 #: Similarity as a fraction of integers.
@@ -51,6 +56,8 @@ LEAST = (85, 100)
 CELLS, CHUNK = 1 << 20, 1 << 12
 #: Sum over the nodes of a tile of (set size + NODE_WEIGHT).
 TILE_WEIGHT, NODE_WEIGHT = 400_000, 400
+#: Sums of two sets' sizes are in one class up to this ratio; sets have one part in ``SPARE`` more than they need.
+CLASS_RATIO, SPARE = (7, 5), 4
 #: Bits of the filter that picks the texts to read again.
 FILTER_BITS = 1 << 23
 #: Bits of a set's bitmap.
@@ -188,13 +195,18 @@ def prefix_size(n: int, least: tuple[int, int]) -> int:
     return n - -(-least[0] * n // least[1]) + 1
 
 
-def prefix_tokens(docs: DataFrame, text: str, size: int, least: tuple[int, int], common: np.ndarray) -> DataFrame:
-    """(token, n, node): the rarest shingles of each set of n; a task gives a node once."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+def tokens_of(docs: DataFrame, text: str, size: int, held: np.ndarray, chosen: Callable, passing: Broadcast | None = None) -> DataFrame:
+    """(token, n, node): what ``chosen`` takes of each set of n, given ``held``; a task gives a node once.
+
+    ``passing`` lets through the rows whose column ``bit`` it has.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, given = shared.value, set()
+        known, given = shared.value, set()
         for batch in batches:
+            if passing is not None:
+                batch = batch.filter(pa.array(passing.value[batch.column("bit").to_numpy()] == 1))
             for part in slices(batch, text):
                 tokens, nodes, totals, sizes = [], [], [], []
                 for own in shingle_sets(*buffers(part, text), size):
@@ -202,12 +214,10 @@ def prefix_tokens(docs: DataFrame, text: str, size: int, least: tuple[int, int],
                     if not len(own) or node in given:
                         continue
                     given.add(node)
-                    count = counts[(own & U(CELLS - 1)).astype(np.int64)]
-                    first = np.argsort(count, kind="stable")[: prefix_size(len(own), least)]
-                    tokens.append(own[first])
+                    tokens.append(chosen(own, known))
                     nodes.append(node)
                     totals.append(len(own))
-                    sizes.append(len(first))
+                    sizes.append(len(tokens[-1]))
                 if tokens:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(totals, np.int32), sizes)),
@@ -215,7 +225,58 @@ def prefix_tokens(docs: DataFrame, text: str, size: int, least: tuple[int, int],
         given.clear()
         release()
 
-    return docs.select(text).mapInArrow(work, "token long, n int, node long")
+    return docs.mapInArrow(work, "token long, n int, node long")
+
+
+def prefix_tokens(docs: DataFrame, text: str, size: int, least: tuple[int, int], common: np.ndarray) -> DataFrame:
+    """(token, n, node): the rarest shingles of each set of n; a task gives a node once."""
+
+    def first(own: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        count = counts[(own & U(CELLS - 1)).astype(np.int64)]
+        return own[np.argsort(count, kind="stable")[: prefix_size(len(own), least)]]
+
+    return tokens_of(docs.select(text), text, size, common, first)
+
+
+def size_classes(n: int, least: tuple[int, int]) -> list[int]:
+    """The largest sum of each class that the sizes of a set of n and of one similar enough can add up to."""
+    low, high, top, out = n - -(-least[0] * n // least[1]), n + least[1] * n // least[0], 1, []
+    while top < high:
+        top = max(top + 1, top * CLASS_RATIO[0] // CLASS_RATIO[1])
+        if top >= low:
+            out.append(top)
+    return out
+
+
+def part_signatures(own: np.ndarray, rare: np.ndarray, least: tuple[int, int]) -> np.ndarray:
+    """Hashes of parts of a sorted set, of which any two sets similar enough have one in common.
+
+    Sets whose sizes add up to s or less differ in s * (1 - t) / (1 + t) shingles at most, and
+    in as many parts.  Hashes deal both into that many parts, one and some spare ones, so more
+    parts than the spare ones are equal.  Parts are ordered by how many shingles of theirs are
+    ``rare``, whose own hash decides between equal numbers; the last ones, as many as are spare, are left out: of
+    the equal parts the first is among neither set's.
+    """
+    sums = np.concatenate([np.zeros(1, U), np.cumsum(mixed(own ^ U(0x8CB92BA72F3D8DD7)), dtype=U)])
+    counted = np.concatenate([[0], np.cumsum(rare[(own & U(CELLS - 1)).astype(np.int64)])])
+    out = []
+    for top in size_classes(len(own), least):
+        differ = top * (least[1] - least[0]) // (least[1] + least[0])
+        parts = differ + 1 + differ // SPARE
+        ends = np.searchsorted(((own >> U(32)) * U(parts)) >> U(32), np.arange(parts + 1, dtype=U))
+        place = np.arange(parts, dtype=U) * U(0x9FB21C651E98DF25) + U(top * 0xD6E8FEB86659FD93 & (2**64 - 1))
+        hashes = mixed((sums[ends[1:]] - sums[ends[:-1]]) ^ mixed(place))
+        out.append(hashes[np.lexsort((hashes, -(counted[ends[1:]] - counted[ends[:-1]])))[: differ + 1]])
+    return np.concatenate(out)
+
+
+def part_tokens(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int, least: tuple[int, int], common: np.ndarray) -> DataFrame:
+    """(token, n, node): the parts of the sets of ``wanted`` (key) and of few others."""
+    # more than chance puts into a cell
+    mean = common.mean(dtype=np.float64)
+    rare = common <= mean + 6 * np.sqrt(mean) + 6
+    passing = docs.sparkSession.sparkContext.broadcast(key_filter(wanted, key))
+    return tokens_of(docs.select(filter_bit(key).alias("bit"), text), text, size, rare, lambda own, known: part_signatures(own, known, least), passing)
 
 
 def group_edges(tokens: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -508,11 +569,29 @@ def connected(members: DataFrame, sets: DataFrame, least: tuple[int, int], exact
 # ---------------------------------------------------------------- all together
 
 
+def narrowed(
+    members: DataFrame, grouped: DataFrame, marks: DataFrame, docs: DataFrame, key: str, text: str, size: int, least: tuple[int, int], common: np.ndarray
+) -> DataFrame:
+    """``members`` (node, component, n), those in groups of more than two tiles in the groups that their parts form."""
+    weights = members.groupBy("component").agg(F.sum(F.col("n") + NODE_WEIGHT).alias("weight_"))
+    large = written(weights.filter(F.col("weight_") > 2 * TILE_WEIGHT).select("component"), "large", files=1)
+    if large.isEmpty():
+        return members
+    crowd = written(members.join(large, "component", "left_semi"), "crowd")
+    swept(docs.sparkSession)  # the prefixes' files, before those of the parts come
+    tokens = part_tokens(docs, grouped.join(crowd.select("node"), "node").select(key), key, text, size, least, common)
+    edges = written(group_edges(tokens, least), "part-edges")
+    near = written(open_pairs(edges, marks, crowd.select("node", "n"), least), "open-parts")
+    again = crowd.select("node", "n").join(components(near), "node").select("node", "component", "n")
+    return members.join(large, "component", "left_anti").select("node", "component", "n").unionAll(again)
+
+
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, least: tuple[int, int] = LEAST) -> DataFrame:
     """Per document: key, ``n`` (set size), ``node`` (of its set) and ``component`` (the least key reachable)."""
     read = written(profiles(docs, key, text, size), "profiles")
     documents = read.filter("chunk IS NULL").select(key, "n", "node")
-    tokens = prefix_tokens(docs, text, size, least, commonness(read))
+    common = commonness(read)
+    tokens = prefix_tokens(docs, text, size, least, common)
     edges = written(group_edges(tokens, least), "token-edges")
     nodes = edges.select(F.col("u").alias("node")).unionAll(edges.select(F.col("v").alias("node"))).distinct()
     sizes = documents.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(key).alias(key))
@@ -521,8 +600,9 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     # written, so that no task needs two Python workers
     near = written(open_pairs(edges, marks, grouped.select("node", "n"), least), "open-pairs")
     groups = components(near)
-    members = grouped.join(groups, "node").select("node", "component", "n")
-    open_ = connected(written(members, "members"), marks, least, exact=False)
+    members = written(grouped.join(groups, "node").select("node", "component", "n"), "members")
+    members = narrowed(members, grouped, marks, docs, key, text, size, least, common)
+    open_ = connected(written(members, "narrowed"), marks, least, exact=False)
     # few nodes are left now: only their sets are read again and moved
     last = written(grouped.join(open_, "node"), "last")
     sets = written(sets_of(docs, last.select(key), key, text, size, whole=True), "sets")

@@ -74,3 +74,8 @@ def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def swept(spark: SparkSession) -> None:
+    """Shuffle files of queries that have ended go as the driver's JVM collects its garbage; Spark alone asks for it twice an hour."""
+    spark.sparkContext._jvm.System.gc()

@@ -188,3 +188,40 @@ def test_runs_reach_over_batches():
             batches.append(pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["token", "n", "node"]))
         found = {(r["u"], r["v"], r["alone"]) for batch in stream.work(iter(batches)) for r in batch.to_pylist()}
         assert found == expected
+
+
+@pytest.mark.parametrize("least", [(85, 100), (80, 100), (24, 100)])
+def test_similar_sets_have_a_part_in_common(least):
+    draw = np.random.default_rng(5)
+    rare = np.ones(jaccard.CELLS, dtype=bool)
+    similar = shared = 0
+    for _ in range(1500):
+        n = int(draw.choice((1, 2, 6, 7, 20, 100, 900)))
+        pool = np.unique(draw.integers(0, 2**64, 3 * n + 3, dtype=np.uint64))
+        draw.shuffle(pool)
+        both = int(draw.integers(0, n + 1)) if draw.random() < 0.5 else n - int(n * draw.random() * (1 - least[0] / least[1]))
+        more = n - both if draw.random() < 0.5 else int(draw.integers(0, n + 2))
+        a, b = np.sort(pool[:n]), np.sort(np.concatenate([pool[:both], pool[n : n + more]]))
+        rare[(pool[: n // 3] & np.uint64(jaccard.CELLS - 1)).astype(np.int64)] = False
+        if len(b) and least[1] * both >= least[0] * (n + more):
+            similar += 1
+            assert set(jaccard.part_signatures(a, rare, least).tolist()) & set(jaccard.part_signatures(b, rare, least).tolist())
+        elif len(b) and 10 * both <= 2 * (n + more) and n >= 100 and least[0] >= 80:
+            shared += bool(set(jaccard.part_signatures(a, rare, least).tolist()) & set(jaccard.part_signatures(b, rare, least).tolist()))
+        rare[:] = True
+    assert similar > 300
+    assert shared < 10
+
+
+def test_chance_leaves_no_large_groups(spark, monkeypatch):
+    """Texts that share each of their shingles with a few others, but never many with the same one."""
+    draw = random.Random(8)
+    words = [f"w{k}" for k in range(3000)]
+    texts = [draw.sample(words, 100) for _ in range(300)]
+    texts += [t[:97] + draw.sample(words, 3) for t in texts[:30]]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    dealt, links = [], jaccard.links
+    monkeypatch.setattr(jaccard, "TILE_WEIGHT", 2000)
+    monkeypatch.setattr(jaccard, "links", lambda tiles, sets, pairs, least, exact: dealt.append(pairs.count()) or links(tiles, sets, pairs, least, exact))
+    assert found(spark, rows, size=1) == brute(rows, 1)
+    assert max(dealt) < 100
