@@ -213,15 +213,32 @@ def test_similar_sets_have_a_part_in_common(least):
     assert shared < 10
 
 
-def test_chance_leaves_no_large_groups(spark, monkeypatch):
-    """Texts that share each of their shingles with a few others, but never many with the same one."""
+def chance_texts(vocabulary):
+    """Texts that share each of their words with a few others, but never many with the same one, and near copies."""
     draw = random.Random(8)
-    words = [f"w{k}" for k in range(3000)]
+    words = [f"w{k}" for k in range(vocabulary)]
     texts = [draw.sample(words, 100) for _ in range(300)]
     texts += [t[:97] + draw.sample(words, 3) for t in texts[:30]]
-    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    return [(k, " ".join(t)) for k, t in enumerate(texts)]
+
+
+def pairs_dealt(monkeypatch):
+    """A list that gets the number of tile pairs of each step to come."""
     dealt, links = [], jaccard.links
     monkeypatch.setattr(jaccard, "TILE_WEIGHT", 2000)
     monkeypatch.setattr(jaccard, "links", lambda tiles, sets, pairs, least, exact: dealt.append(pairs.count()) or links(tiles, sets, pairs, least, exact))
+    return dealt
+
+
+def test_chance_leaves_no_large_groups(spark, monkeypatch):
+    rows, dealt = chance_texts(3000), pairs_dealt(monkeypatch)
     assert found(spark, rows, size=1) == brute(rows, 1)
     assert max(dealt) < 100
+
+
+def test_one_stays_where_chance_joins_texts(spark, monkeypatch):
+    """As the pipeline joins near copies: 0.8 or more, one document of each group."""
+    rows, dealt = chance_texts(9000), pairs_dealt(monkeypatch)
+    kept = jaccard.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), size=1, least=(80, 100))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in brute(rows, 1, (80, 100))})
+    assert max(dealt) < 100
